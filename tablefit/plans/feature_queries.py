@@ -92,7 +92,7 @@ def q_index_labels(spark, base):
 
 @query("onehot_string", "F6",
        _INDEX_CTE + "SELECT block_id, " + ", ".join(
-           f"CASE WHEN ci = {j} THEN 1.0 ELSE 0.0 END AS category_ohe_{j}" for j in range(4))
+           f"CASE WHEN ci = {j} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS category_ohe_{j}" for j in range(4))
        + " FROM blocks JOIN idx USING (category)")
 def q_onehot_string(spark, base):
     df = blocks(spark, base)
@@ -109,7 +109,7 @@ ONEHOT_INT = {"sex": 2, "education": 3, "marriage": 3}
 
 @query("onehot_int", "F7,P11",
        "SELECT id, " + ", ".join(
-           f"CASE WHEN {c} = {j} THEN 1.0 ELSE 0.0 END AS {c}_ohe_{j}"
+           f"CASE WHEN {c} = {j} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS {c}_ohe_{j}"
            for c, w in ONEHOT_INT.items() for j in range(w)) + " FROM clients_prep")
 def q_onehot_int(spark, base):
     df = prepared_clients(spark, base)
@@ -156,7 +156,7 @@ def _staged_sql() -> str:
         "cnt AS (SELECT category, count(*) AS n FROM tr GROUP BY category), "
         "idx AS (SELECT category, row_number() OVER (ORDER BY n DESC, category) - 1 AS ci FROM cnt) "
         "SELECT block_id, " + ", ".join(f"round({c} / s_{c}, 8) AS {c}" for c in num) + ", "
-        + ", ".join(f"CASE WHEN ci = {j} THEN 1.0 ELSE 0.0 END AS category_ohe_{j}" for j in range(4))
+        + ", ".join(f"CASE WHEN ci = {j} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS category_ohe_{j}" for j in range(4))
         + " FROM imp JOIN idx USING (category), sd"
     )
 
@@ -183,7 +183,7 @@ def _client_slot_names() -> list[str]:
 
 
 def _modelling_sql() -> str:
-    slots = [f"CASE WHEN {c} = {j} THEN 1.0 ELSE 0.0 END AS {c}_ohe_{j}"
+    slots = [f"CASE WHEN {c} = {j} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS {c}_ohe_{j}"
              for c in CLIENT_CATEGORICAL for j in range(CLIENT_SLOTS[c])]
     return (
         "WITH sd AS (SELECT stddev_samp(limit_bal) AS s FROM clients_split WHERE bucket < 80) "

@@ -222,7 +222,7 @@ def q_age_class(spark, base):
 
 
 @query("pay_mean", "P14",
-       "SELECT id, round((pay_1 + pay_2 + pay_3 + pay_4 + pay_5 + pay_6) / 6.0, 6) AS pay_mean FROM clients_prep")
+       "SELECT id, round((pay_1 + pay_2 + pay_3 + pay_4 + pay_5 + pay_6) / 6.0::DOUBLE, 6) AS pay_mean FROM clients_prep")
 def q_pay_mean(spark, base):
     out = derive.row_mean(prepared_clients(spark, base), PAY, "pay_mean").select("id", "pay_mean")
     return profile.with_rounded(out, {"pay_mean": 6})
@@ -230,7 +230,7 @@ def q_pay_mean(spark, base):
 
 @query("bill_change", "P15,P16",
        "SELECT id, " + ", ".join(
-           f"round(CASE WHEN bill_amt{i} = 0 THEN -2.0 ELSE (bill_amt{i + 1} - bill_amt{i}) / bill_amt{i} END, 8)"
+           f"round(CASE WHEN bill_amt{i} = 0 THEN -2.0::DOUBLE ELSE (bill_amt{i + 1} - bill_amt{i}) / bill_amt{i} END, 8)"
            f" AS bill_change{i}" for i in range(1, 6)) + " FROM clients")
 def q_bill_change(spark, base):
     out = derive.relative_change(clients(spark, base), BILL, "bill_change", newest_first=True)
