@@ -97,12 +97,18 @@ def binary_metrics(df: DataFrame, label: str = "label", prediction: str = "predi
 
 
 def auc(df: DataFrame, label: str = "label", score: str | Column = "score",
-        buckets: int = DEFAULT_AUC_BUCKETS, accuracy: int = 10_000, positive: float = 1.0) -> DataFrame:
-    """Exact area under ROC of a score, one-row frame ``(auc)``; see module doc."""
+        buckets: int = DEFAULT_AUC_BUCKETS, accuracy: int = 10_000, positive: float = 1.0,
+        group_by: Sequence[str] = ()) -> DataFrame:
+    """Exact area under ROC of a score, one row per group: ``(*group_by, auc)``.
+
+    See the module doc; with ``group_by`` (e.g. a ``model`` column of stacked
+    predictions) every group is ranked separately in the same jobs.
+    """
+    keys = list(group_by)
     s = as_col(score).cast("double")
-    base = df.select(s.alias("s"), (F.col(label).cast("double") == F.lit(positive)).alias("y"))
+    base = df.select(*keys, s.alias("s"), (F.col(label).cast("double") == F.lit(positive)).alias("y"))
     base = base.where(F.col("s").isNotNull() & ~F.isnan("s") & F.col("y").isNotNull())
-    g = base.groupBy("s").agg(
+    g = base.groupBy(*keys, "s").agg(
         F.count_if(F.col("y")).cast("double").alias("pos"),
         F.count_if(~F.col("y")).cast("double").alias("neg"),
     )
@@ -110,19 +116,51 @@ def auc(df: DataFrame, label: str = "label", score: str | Column = "score",
     bounds = g.agg(F.percentile_approx("s", probs, accuracy).alias("q")).head()["q"] if probs else []
     splits = [float("-inf")] + sorted(set(bounds or [])) + [float("inf")]
     gb = Bucketizer(splits=splits, inputCol="s", outputCol="b").transform(g)
-    totals = gb.groupBy("b").agg(F.sum("neg").alias("bneg"))  # <= buckets rows
-    offsets = totals.select(
-        "b",
-        F.coalesce(F.sum("bneg").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0.0)).alias("neg_before"),
-    )
-    within = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = gb.join(F.broadcast(offsets), "b").withColumn(
+    totals = gb.groupBy(*keys, "b").agg(F.sum("neg").alias("bneg"))  # <= groups x buckets rows
+    before = Window.partitionBy(*keys).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, "b", F.coalesce(F.sum("bneg").over(before), F.lit(0.0)).alias("neg_before"))
+    if not keys:
+        offsets = F.broadcast(offsets)  # at most `buckets` rows
+    within = Window.partitionBy(*keys, "b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = gb.join(offsets, [*keys, "b"]).withColumn(
         "below", F.col("neg_before") + F.coalesce(F.sum("neg").over(within), F.lit(0.0)))
-    return ranked.agg(
-        F.try_divide(F.sum(F.col("pos") * (F.col("below") + F.lit(0.5) * F.col("neg"))),
-                     F.sum("pos") * F.sum("neg")).alias("auc")
-    )
+    agg = F.try_divide(F.sum(F.col("pos") * (F.col("below") + F.lit(0.5) * F.col("neg"))),
+                       F.sum("pos") * F.sum("neg")).alias("auc")
+    return ranked.groupBy(*keys).agg(agg) if keys else ranked.agg(agg)
+
+
+def stack_predictions(df: DataFrame, models: dict, label: str = "label",
+                      score_index: int = 1) -> DataFrame:
+    """Score ``df`` with several fitted classifiers in ONE pass and stack the
+    results as ``(model, label, prediction, score)``.
+
+    Each model writes its own output columns, so the input is scanned once
+    for all of them; the score is the positive-class probability.
+    """
+    out = df
+    for name, model in models.items():
+        m = model.copy()
+        m = m.setPredictionCol(f"{name}__prediction")
+        if m.hasParam("probabilityCol"):
+            m = m.setProbabilityCol(f"{name}__probability").setRawPredictionCol(f"{name}__raw")
+        out = m.transform(out)
+    from pyspark.ml.functions import vector_to_array
+
+    values = {
+        name: F.struct(F.col(f"{name}__prediction").alias("prediction"),
+                       vector_to_array(F.col(f"{name}__probability")).getItem(score_index).alias("score"))
+        for name in models
+    }
+    wide = out.select(F.col(label).cast("double").alias("label"), *[v.alias(n) for n, v in values.items()])
+    long = wide.unpivot(ids=["label"], values=list(models), variableColumnName="model", valueColumnName="v")
+    return long.select("model", "label", "v.prediction", "v.score")
+
+
+def model_metrics(stacked: DataFrame) -> DataFrame:
+    """Metric bundle + exact swept AUC per model of stacked predictions."""
+    bundle = binary_metrics(stacked, group_by=["model"])
+    swept = auc(stacked, score="score", group_by=["model"])
+    return bundle.join(swept, "model")  # one row per model on each side
 
 
 def leaderboard(bundles: Sequence[DataFrame], metric: str = "balanced_accuracy") -> DataFrame:

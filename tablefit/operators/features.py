@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -102,7 +103,13 @@ def fit_features(pipeline: Pipeline, df: DataFrame, train: DataFrame | None = No
     """Fit on the training rows (default) or on the whole table."""
     if fit_on not in ("train", "all"):
         raise ValueError("fit_on must be 'train' or 'all'")
-    return pipeline.fit(df if fit_on == "all" or train is None else train)
+    source = df if fit_on == "all" or train is None else train
+    # each stage's fit is one or more aggregation passes over the same rows
+    source.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return pipeline.fit(source)
+    finally:
+        source.unpersist()
 
 
 def modelling_frame(model: PipelineModel, df: DataFrame, id_col: str, label_col: str = "label",

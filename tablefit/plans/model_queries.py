@@ -259,28 +259,18 @@ def _client_frames(spark, base):
     return frame.where(F.col("split") == "train"), frame.where(F.col("split") == "test")
 
 
-def _score_bundle(name, model, test):
-    scored = model.transform(test)
-    bundle = evaluate.binary_metrics(scored)
-    swept = evaluate.auc(scored, score=vector_to_array("probability").getItem(1))
-    one = F.lit(1).alias("_one")
-    # both sides are single-row aggregates: an equi-join on a constant key
-    return (bundle.select("*", one).join(swept.select("*", one), "_one")
-            .drop("_one").withColumn("model", F.lit(name)))
-
-
 @query("leaderboard", "E8,M7,M8,M9,M10")
 def q_leaderboard(spark, base):
     train, test = _client_frames(spark, base)
-    bundles = []
+    fitted = {}
     with models.persisted(train):
         for name in ("logistic_regression", "decision_tree", "random_forest"):
             est = models.estimator(name)
             if est.hasParam("seed"):
                 est = est.copy({est.getParam("seed"): 1234})
-            est = models.with_checkpointing(est, spark)
-            bundles.append(_score_bundle(name, est.fit(train), test))
-    return evaluate.leaderboard(bundles, "balanced_accuracy")
+            fitted[name] = models.with_checkpointing(est, spark).fit(train)
+    stacked = evaluate.stack_predictions(test, fitted)
+    return evaluate.leaderboard([evaluate.model_metrics(stacked)], "balanced_accuracy")
 
 
 CV_GRID = {"regParam": [0.1, 0.0], "elasticNetParam": [0.0]}
@@ -309,4 +299,5 @@ def q_cv_best_params(spark, base):
 @query("cv_score", "T5,E7")
 def q_cv_score(spark, base):
     cvm, test = _cv(spark, base)
-    return _score_bundle("logistic_regression_cv", cvm, test)
+    stacked = evaluate.stack_predictions(test, {"logistic_regression_cv": cvm.bestModel})
+    return evaluate.model_metrics(stacked)

@@ -7,7 +7,7 @@ from tablefit.sources.schema import (
     suffixed,
 )
 from tablefit.sources.standins import blocks, clients
-from tablefit.sources.tables import TABLES, load, read_table, table_path, write_csv
+from tablefit.sources.tables import TABLES, load, read_table, spread, table_path, write_csv
 
 __all__ = [
     "TABLES",
@@ -20,6 +20,7 @@ __all__ = [
     "read_table",
     "rename_strict",
     "schema_frame",
+    "spread",
     "suffixed",
     "table_path",
     "write_csv",

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablefit.functions.expr import hex_hash, safe_ratio
-from tablefit.sources.tables import load
+from tablefit.sources.tables import load, spread
 
 SERIES = range(1, 7)  # six monthly steps, step 1 = newest
 
@@ -55,7 +55,7 @@ def blocks(spark: SparkSession, base_dir: str) -> DataFrame:
 
 
 def clients(spark: SparkSession, base_dir: str) -> DataFrame:
-    orders = load(spark, base_dir, "orders").select("o_orderkey", "o_custkey")
+    orders = spread(load(spark, base_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
     customer = load(spark, base_dir, "customer").select("c_custkey", "c_acctbal")
     base = orders.join(customer, orders.o_custkey == customer.c_custkey)
     k = F.col("o_orderkey")

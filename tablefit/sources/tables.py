@@ -52,3 +52,19 @@ def write_csv(df: DataFrame, path: str, header: bool = True, sep: str = ",") ->
     """Write a frame as CSV parts under ``path`` (a fresh shared-folder path)."""
     df.write.mode("errorifexists").option("header", header).option("sep", sep).csv(path)
     return path
+
+
+def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
+    """Hash-partition ``df`` by ``key`` when it has fewer partitions than the
+    cluster can run at once; otherwise return it unchanged.
+
+    A table stored as one file with one row group is scanned by a single task,
+    and a CPU-heavy projection after it (e.g. dozens of hashes per row) would
+    then run serially.  At scale the scan is split by row groups into many
+    tasks and this is a no-op (the check only plans, it runs no job).
+    Partitioning by the key keeps re-executed tasks deterministic.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)
