@@ -169,3 +169,15 @@ def leaderboard(bundles: Sequence[DataFrame], metric: str = "balanced_accuracy")
     for b in bundles[1:]:
         out = out.unionByName(b, allowMissingColumns=True)
     return out.withColumn("ranked_by", F.lit(metric)).orderBy(F.desc(metric), F.asc("model"))
+
+
+def stack_regressions(df: DataFrame, models: dict, label: str = "label") -> DataFrame:
+    """Score ``df`` with several fitted regressors in ONE pass and stack the
+    results as ``(model, label, prediction)``."""
+    out = df
+    for name, model in models.items():
+        out = model.copy().setPredictionCol(f"{name}__prediction").transform(out)
+    wide = out.select(F.col(label).cast("double").alias("label"),
+                      *[F.col(f"{n}__prediction").alias(n) for n in models])
+    return wide.unpivot(ids=["label"], values=list(models), variableColumnName="model",
+                        valueColumnName="prediction")

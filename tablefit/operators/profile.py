@@ -176,7 +176,9 @@ def correlation_long(df: DataFrame, cols: Sequence[str], method: str = "pearson"
         aggs, pairs = [], []
         for i in range(d):
             for j in range(i + 1, d):
-                aggs.append(F.corr(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double"))
+                x, y = F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")
+                # ``corr`` raises DIVIDE_BY_ZERO under ANSI mode on a constant column
+                aggs.append(F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
                             .alias(f"c{i}_{j}"))
                 pairs.append((i, j))
         if not aggs:

@@ -301,3 +301,53 @@ def q_cv_score(spark, base):
     cvm, test = _cv(spark, base)
     stacked = evaluate.stack_predictions(test, {"logistic_regression_cv": cvm.bestModel})
     return evaluate.model_metrics(stacked)
+
+
+# ------------------------------------------------ regression comparison (A)
+
+def _block_frames(spark, base):
+    """blocks -> (train, test) modelling frames: numeric columns imputed and
+    scaled, category one-hot; fitted on the training rows only."""
+    from tablefit.plans.feature_queries import _block_numeric
+
+    df = split.with_split(blocks(spark, base), "block_id")
+    pipe = features.feature_pipeline(numeric=_block_numeric(df), categorical=["category"])
+    fitted = features.fit_features(pipe, df, train=df.where(F.col("split") == "train"))
+    frame = fitted.transform(df).select("block_id", "split", "features",
+                                        F.col("total_value").alias("label"))
+    return frame.where(F.col("split") == "train"), frame.where(F.col("split") == "test")
+
+
+REGRESSORS = ("linear_regression", "decision_tree_regression", "random_forest_regression", "gbt_regression")
+
+
+@query("regression_leaderboard", "E1,E8,M1,M4,M5,M6,M10")
+def q_regression_leaderboard(spark, base):
+    train, test = _block_frames(spark, base)
+    fitted = {}
+    with models.persisted(train):
+        for name in REGRESSORS:
+            est = models.estimator(name)
+            if est.hasParam("seed"):
+                est = est.copy({est.getParam("seed"): 1234})
+            fitted[name] = models.with_checkpointing(est, spark).fit(train)
+    stacked = evaluate.stack_regressions(test, fitted)
+    metrics = evaluate.regression_metrics(stacked, group_by=["model"])
+    return metrics.orderBy(F.asc("rmse"), F.asc("model"))
+
+
+RF_REG_GRID = {"numTrees": [5, 10], "maxDepth": [5]}
+
+
+@query("rf_regression_cv", "T1,T2,T3,T4,T5")
+def q_rf_regression_cv(spark, base):
+    from pyspark.ml.evaluation import RegressionEvaluator
+
+    train, test = _block_frames(spark, base)
+    train = split.with_folds(train, "block_id", 3)
+    est = models.estimator("random_forest_regression", seed=1234)
+    cvm = tune.cross_validate(est, RF_REG_GRID, train, evaluator=RegressionEvaluator(metricName="rmse"),
+                              fold_col="fold", num_folds=3, parallelism=5)
+    scored = cvm.transform(test)
+    held_out = evaluate.regression_metrics(scored).withColumn("model", F.lit("random_forest_regression_cv"))
+    return held_out
