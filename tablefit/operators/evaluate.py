@@ -11,8 +11,9 @@ counted one half) -- what ``BinaryClassificationEvaluator`` computes with
 
 1. group by score: one row per distinct score with (pos, neg) counts
    (partial aggregation: a score repeated by a third of all rows is one row);
-2. cut the distinct scores into at most ``buckets`` ranges at approximate
-   quantiles (the boundaries -- at most ``buckets`` doubles -- are the only
+2. cut the distinct scores into ranges at approximate quantiles, about
+   ``rows_per_bucket`` distinct scores each and at most ``max_buckets``
+   ranges (the boundaries, at most ``max_buckets`` doubles, are the only
    thing on the driver);
 3. per-bucket negative totals (<= ``buckets`` rows) give each bucket its
    offset by a running sum on that small frame, broadcast back (bounded);
@@ -30,7 +31,8 @@ from pyspark.sql import functions as F
 
 from tablefit.functions.expr import as_col
 
-DEFAULT_AUC_BUCKETS = 1024
+DEFAULT_ROWS_PER_BUCKET = 2_000_000
+DEFAULT_MAX_BUCKETS = 16_384
 
 
 def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction",
@@ -97,12 +99,17 @@ def binary_metrics(df: DataFrame, label: str = "label", prediction: str = "predi
 
 
 def auc(df: DataFrame, label: str = "label", score: str | Column = "score",
-        buckets: int = DEFAULT_AUC_BUCKETS, accuracy: int = 10_000, positive: float = 1.0,
-        group_by: Sequence[str] = ()) -> DataFrame:
+        buckets: int | None = None, accuracy: int | None = None, positive: float = 1.0,
+        group_by: Sequence[str] = (), rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+        max_buckets: int = DEFAULT_MAX_BUCKETS) -> DataFrame:
     """Exact area under ROC of a score, one row per group: ``(*group_by, auc)``.
 
     See the module doc; with ``group_by`` (e.g. a ``model`` column of stacked
-    predictions) every group is ranked separately in the same jobs.
+    predictions) every group is ranked separately in the same jobs.  By
+    default the number of score ranges follows the number of distinct scores
+    (about ``rows_per_bucket`` each, at most ``max_buckets``), so the ordered
+    slice one window task holds stays bounded as the data grows; ``buckets``
+    fixes it instead.
     """
     keys = list(group_by)
     s = as_col(score).cast("double")
@@ -112,10 +119,12 @@ def auc(df: DataFrame, label: str = "label", score: str | Column = "score",
         F.count_if(F.col("y")).cast("double").alias("pos"),
         F.count_if(~F.col("y")).cast("double").alias("neg"),
     )
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = g.agg(F.percentile_approx("s", probs, accuracy).alias("q")).head()["q"] if probs else []
-    splits = [float("-inf")] + sorted(set(bounds or [])) + [float("inf")]
-    gb = Bucketizer(splits=splits, inputCol="s", outputCol="b").transform(g)
+    bounds = _score_boundaries(g, buckets, accuracy, rows_per_bucket, max_buckets)
+    if bounds:
+        splits = [float("-inf")] + bounds + [float("inf")]
+        gb = Bucketizer(splits=splits, inputCol="s", outputCol="b").transform(g)
+    else:
+        gb = g.withColumn("b", F.lit(0.0))
     totals = gb.groupBy(*keys, "b").agg(F.sum("neg").alias("bneg"))  # <= groups x buckets rows
     before = Window.partitionBy(*keys).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, "b", F.coalesce(F.sum("bneg").over(before), F.lit(0.0)).alias("neg_before"))
@@ -129,6 +138,34 @@ def auc(df: DataFrame, label: str = "label", score: str | Column = "score",
     return ranked.groupBy(*keys).agg(agg) if keys else ranked.agg(agg)
 
 
+def _quantile_grid(g: DataFrame, grid: int, accuracy: int | None, with_count: bool = False):
+    probs = [i / grid for i in range(1, grid)] or [0.5]
+    acc = accuracy or max(10_000, 4 * grid)
+    aggs = [F.percentile_approx("s", probs, acc).alias("q")]
+    if with_count:
+        aggs.append(F.count(F.lit(1)).alias("n"))
+    row = g.agg(*aggs).head()
+    bounds = sorted(set(row["q"] or [])) if grid > 1 else []
+    return bounds, (row["n"] if with_count else None)
+
+
+def _score_boundaries(g: DataFrame, buckets: int | None, accuracy: int | None,
+                      rows_per_bucket: int, max_buckets: int, coarse: int = 64) -> list[float]:
+    """Range boundaries over the distinct scores.  One pass gives their count
+    and a coarse grid; a finer grid costs a second pass only when the count
+    asks for more than ``coarse`` ranges."""
+    if buckets is not None:
+        return _quantile_grid(g, buckets, accuracy)[0]
+    bounds, n = _quantile_grid(g, coarse, accuracy, with_count=True)
+    wanted = min(max_buckets, max(1, -(-n // rows_per_bucket)))
+    if wanted <= 1:
+        return []
+    if wanted > coarse:
+        return _quantile_grid(g, wanted, accuracy)[0]
+    step = max(1, len(bounds) // wanted)
+    return bounds[step - 1::step]
+
+
 def stack_predictions(df: DataFrame, models: dict, label: str = "label",
                       score_index: int = 1) -> DataFrame:
     """Score ``df`` with several fitted classifiers in ONE pass and stack the

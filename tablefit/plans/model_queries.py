@@ -181,7 +181,7 @@ def q_auc_swept(spark, base):
 
 @query("auc_swept_fine", "E2", _auc_sql("limit_bal"))
 def q_auc_swept_fine(spark, base):
-    out = evaluate.auc(clients(spark, base), label="label", score="limit_bal", buckets=64)
+    out = evaluate.auc(clients(spark, base), label="label", score="limit_bal", rows_per_bucket=500)
     return profile.with_rounded(out, {"auc": 10})
 
 

@@ -60,3 +60,19 @@ def test_regression_metrics(spark):
     r = evaluate.regression_metrics(df).head()
     assert abs(r.mse - 5.0 / 3) < 1e-12 and abs(r.mae - 1.0) < 1e-12
     assert abs(r.r2 - (1 - (5.0 / 3) / (2.0 / 3))) < 1e-12
+
+
+@pytest.mark.parametrize("rows_per_bucket", [5, 50, 10_000])
+def test_auc_adaptive_ranges(spark, rows_per_bucket):
+    rng = random.Random(11)
+    rows = [(round(rng.random(), 3), int(rng.random() < 0.3)) for _ in range(1200)]
+    df = spark.createDataFrame(rows, "score double, label int")
+    got = evaluate.auc(df, rows_per_bucket=rows_per_bucket).head().auc
+    assert abs(got - _brute_auc(rows)) < 1e-12
+
+
+def test_auc_grouped(spark):
+    rows = [("a", 0.1, 0), ("a", 0.9, 1), ("a", 0.5, 0), ("b", 0.2, 1), ("b", 0.8, 0), ("b", 0.8, 1)]
+    df = spark.createDataFrame(rows, "model string, score double, label int")
+    got = {r.model: r.auc for r in evaluate.auc(df, group_by=["model"]).collect()}
+    assert got["a"] == 1.0 and got["b"] == pytest.approx(_brute_auc([(0.2, 1), (0.8, 0), (0.8, 1)]))
