@@ -8,16 +8,19 @@ found with scans whose aggregation state is bounded:
 1. one pass: count of valid values ``n`` and a GK sketch
    (``percentile_approx``) giving a bracket ``[lo, hi]`` around rank
    ``k = ceil(p * n)``;
-2. one pass: exact counts ``L = #(x < lo)`` and ``M = #(lo <= x <= hi)``.  The
-   counts, not the sketch, decide: if ``L < k <= L + M`` the answer is inside;
-   otherwise the bracket is moved to the side that holds rank ``k``;
+2. one pass: exact counts of values below ``lo``, equal to ``lo``, strictly
+   inside, and equal to ``hi``.  The counts, not the sketch, decide: rank
+   ``k`` is an end of the bracket (done), strictly inside (continue on the
+   open interval), or outside (move the bracket to that side);
 3. while ``M`` is above ``final_limit`` the bracket is refined by a sketch of
-   the in-bracket values only (each round shrinks it by ~``accuracy``/6);
-4. one pass: the at most ``final_limit`` in-bracket values are sorted per
+   the in-bracket values only (each round shrinks it by ~``accuracy``/6; a
+   round that does not halve it raises the sketch accuracy tenfold, so the
+   sketch becomes exact on the bracket after a few rounds at most);
+4. one pass: the at most ``final_limit`` values strictly inside are sorted per
    column (a bounded ``collect_list``) and the ``(k-L)``-th is taken.
 
-A bracket that has collapsed to one value (a value repeated by a third of all
-rows, say) answers immediately.  All columns advance together, one
+A rank that falls on a value repeated by a third of all rows is found as a
+bracket end at once, however many copies there are.  All columns advance together, one
 aggregation job per round; with ``accuracy=10^4`` a column of 10^12 values
 needs about five scans, a small one two.  Nulls and NaN are not values.
 """
@@ -54,14 +57,15 @@ def exact_quantiles(
         raise ValueError("p must be in [0, 1]")
     cols = list(cols)
     xs = {c: _value(df, c) for c in cols}
-    delta = 3.0 / accuracy
 
-    def bracket_probs(q: float) -> list[float]:
+    def bracket_probs(q: float, acc: int) -> list[float]:
+        delta = 3.0 / acc
         return [max(q - delta, 0.0), min(q + delta, 1.0)]
 
     first = df.agg(
         *[F.count(xs[c]).alias(f"n{i}") for i, c in enumerate(cols)],
-        *[F.percentile_approx(xs[c], bracket_probs(p), accuracy).alias(f"q{i}") for i, c in enumerate(cols)],
+        *[F.percentile_approx(xs[c], bracket_probs(p, accuracy), accuracy).alias(f"q{i}")
+          for i, c in enumerate(cols)],
     ).head()
 
     result: dict[str, float | None] = {}
@@ -76,51 +80,73 @@ def exact_quantiles(
             state[c] = {"k": k, "lo": -math.inf, "hi": math.inf, "L": 0, "M": n, "phase": "final"}
         else:
             lo, hi = first[f"q{i}"]
-            state[c] = {"k": k, "lo": lo, "hi": hi, "phase": "verify"}
+            state[c] = {"k": k, "lo": lo, "hi": hi, "phase": "verify", "M": n, "acc": accuracy}
 
     for _ in range(MAX_ROUNDS):
         if not state:
             return result
         aggs, plan = [], []
         for j, (c, s) in enumerate(state.items()):
-            x, lo, hi = xs[c], F.lit(s["lo"]), F.lit(s["hi"])
-            inside = (x >= lo) & (x <= hi)
+            x, lo, hi = xs[c], s["lo"], s["hi"]
+            inside = _between(x, lo, hi)
             if s["phase"] == "verify":
-                aggs += [F.count_if(x < lo).alias(f"L{j}"), F.count_if(inside).alias(f"M{j}")]
+                aggs += [F.count_if(_less(x, lo)).alias(f"A{j}"), F.count_if(_equal(x, lo)).alias(f"E{j}"),
+                         F.count_if(inside).alias(f"I{j}"), F.count_if(_equal(x, hi)).alias(f"H{j}")]
             elif s["phase"] == "refine":
                 q = (s["k"] - s["L"]) / s["M"]
-                aggs.append(F.percentile_approx(F.when(inside, x), bracket_probs(q), accuracy).alias(f"q{j}"))
+                aggs.append(F.percentile_approx(F.when(inside, x), bracket_probs(q, s["acc"]), s["acc"])
+                            .alias(f"q{j}"))
             else:  # final: bounded by final_limit values per column
                 aggs.append(F.sort_array(F.collect_list(F.when(inside, x))).alias(f"v{j}"))
             plan.append((j, c, s))
         row = df.agg(*aggs).head()
         for j, c, s in plan:
             if s["phase"] == "final":
-                values = row[f"v{j}"]
-                result[c] = float(values[s["k"] - s["L"] - 1])
+                result[c] = float(row[f"v{j}"][s["k"] - s["L"] - 1])
                 del state[c]
             elif s["phase"] == "refine":
                 s["lo"], s["hi"] = row[f"q{j}"]
                 s["phase"] = "verify"
             else:
-                L, M = row[f"L{j}"], row[f"M{j}"]
-                if s["k"] <= L:  # rank k lies below the bracket
+                a, e, inner, h, k = row[f"A{j}"], row[f"E{j}"], row[f"I{j}"], row[f"H{j}"], s["k"]
+                if k <= a:  # below the bracket
                     s["lo"], s["hi"] = -math.inf, s["lo"]
-                    continue
-                if s["k"] > L + M:  # above it
-                    s["lo"], s["hi"] = s["hi"], math.inf
-                    continue
-                s["L"], s["M"] = L, M
-                if s["lo"] == s["hi"]:
+                elif k <= a + e:  # rank k is the lower end itself
                     result[c] = float(s["lo"])
                     del state[c]
-                elif M <= final_limit:
-                    s["phase"] = "final"
-                else:
-                    s["phase"] = "refine"
+                elif k <= a + e + inner:  # strictly inside
+                    if inner > s["M"] // 2:
+                        # the sketch did not halve the bracket: sharpen it; once
+                        # its accuracy exceeds the bracket's count it is exact
+                        s["acc"] = min(s["acc"] * 10, 1 << 30)
+                    s["L"], s["M"] = a + e, inner
+                    s["phase"] = "final" if inner <= final_limit else "refine"
+                elif k <= a + e + inner + h:  # the upper end
+                    result[c] = float(s["hi"])
+                    del state[c]
+                else:  # above the bracket
+                    s["lo"], s["hi"] = s["hi"], math.inf
     raise RuntimeError(f"exact quantile did not converge for {sorted(state)}")
 
 
+def _less(x, bound: float):
+    return F.lit(False) if bound == -math.inf else x < F.lit(bound)
+
+
+def _equal(x, bound: float):
+    return F.lit(False) if math.isinf(bound) else x == F.lit(bound)
+
+
+def _between(x, lo: float, hi: float):
+    """Strictly inside (lo, hi); an infinite end is no bound at all."""
+    cond = x.isNotNull()
+    if lo != -math.inf:
+        cond = cond & (x > F.lit(lo))
+    if hi != math.inf:
+        cond = cond & (x < F.lit(hi))
+    return cond
+
+
 def exact_median(df: DataFrame, cols: Sequence[str], **kw) -> dict[str, float | None]:
     return exact_quantiles(df, cols, 0.5, **kw)
 
