@@ -13,7 +13,7 @@ expression inside whole-stage codegen, no UDF.
 
 from __future__ import annotations
 
-from pyspark import keyword_only
+from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols, HasRelativeError
@@ -48,6 +48,17 @@ class MissingValueImputer(Estimator, _ImputerParams, DefaultParamsReadable, Defa
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> "MissingValueImputerModel":
+        # exact medians take a few passes: keep the input cached meanwhile
+        cached = dataset.storageLevel.useMemory or dataset.storageLevel.useDisk
+        if not cached:
+            dataset = dataset.select(*self.getInputCols()).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return self._fit_cached(dataset)
+        finally:
+            if not cached:
+                dataset.unpersist()
+
+    def _fit_cached(self, dataset: DataFrame) -> "MissingValueImputerModel":
         cols = self.getInputCols()
         for c in cols:
             if not isinstance(dataset.schema[c].dataType, NumericType):
