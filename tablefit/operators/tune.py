@@ -69,3 +69,23 @@ def best_params(spark: SparkSession, cv_model: CrossValidatorModel, names: Seque
     pm = cv_model.bestModel.extractParamMap()
     rows = sorted((p.name, str(v)) for p, v in pm.items() if names is None or p.name in names)
     return spark.createDataFrame(rows, "param string, value string")
+
+
+def pipeline_grid(final_stage, grid: Mapping[str, Sequence]) -> list:
+    """Grid over params of the final stage of a pipeline (the whole pipeline
+    is what ``CrossValidator`` refits per fold, so no fitted statistic --
+    median, deviation, category list -- leaks from validation to training)."""
+    builder = ParamGridBuilder()
+    for name, values in grid.items():
+        builder = builder.addGrid(final_stage.getParam(name), list(values))
+    return builder.build()
+
+
+def cross_validate_pipeline(pipeline, final_stage, grid: Mapping[str, Sequence], train: DataFrame,
+                            evaluator=None, fold_col: str = "fold", num_folds: int = 3,
+                            parallelism: int = 1, seed: int = 1234) -> CrossValidatorModel:
+    cv = CrossValidator(estimator=pipeline, estimatorParamMaps=pipeline_grid(final_stage, grid),
+                        evaluator=evaluator or auc_evaluator(), numFolds=num_folds,
+                        parallelism=parallelism, seed=seed, foldCol=fold_col)
+    with persisted(train):
+        return cv.fit(train)

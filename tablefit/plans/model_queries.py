@@ -351,3 +351,19 @@ def q_rf_regression_cv(spark, base):
     scored = cvm.transform(test)
     held_out = evaluate.regression_metrics(scored).withColumn("model", F.lit("random_forest_regression_cv"))
     return held_out
+
+
+@query("cv_leak_free", "T1,T2,T3,T6,F8,D2")
+def q_cv_leak_free(spark, base):
+    """Cross-validate the feature pipeline and the classifier together: each
+    fold refits imputation, scaling and one-hot widths on its own training
+    rows (unseen codes in a validation fold are kept as an all-zero slot)."""
+    from pyspark.ml import Pipeline
+
+    df, pipe = client_features(spark, base, handle_invalid="keep")
+    train = split.with_folds(df.where(F.col("split") == "train"), "id", 3)
+    train = train.withColumn("label", F.col("label").cast("double"))
+    lr = models.estimator("logistic_regression")
+    whole = Pipeline(stages=[pipe, lr])
+    cvm = tune.cross_validate_pipeline(whole, lr, {"regParam": [0.1, 0.0]}, train, num_folds=3, parallelism=2)
+    return tune.cv_results(spark, cvm)
