@@ -98,15 +98,30 @@ def check_cardinality(df: DataFrame, cols: Sequence[str], max_categories: int =
         raise ValueError(f"columns {wide} exceed {max_categories} categories; hash or bucket them instead")
 
 
+def _indexed_columns(stage) -> list[str]:
+    """Input columns of every ``StringIndexer`` inside a (nested) pipeline."""
+    if isinstance(stage, Pipeline):
+        return [c for sub in stage.getStages() for c in _indexed_columns(sub)]
+    if isinstance(stage, StringIndexer):
+        return stage.getInputCols() if stage.isSet("inputCols") else [stage.getInputCol()]
+    return []
+
+
 def fit_features(pipeline: Pipeline, df: DataFrame, train: DataFrame | None = None,
-                 fit_on: str = "train") -> PipelineModel:
-    """Fit on the training rows (default) or on the whole table."""
+                 fit_on: str = "train", max_categories: int | None = DEFAULT_MAX_CATEGORIES) -> PipelineModel:
+    """Fit on the training rows (default) or on the whole table.
+
+    String columns to be indexed are first checked against ``max_categories``
+    (their label lists come to the driver); ``None`` skips the check.
+    """
     if fit_on not in ("train", "all"):
         raise ValueError("fit_on must be 'train' or 'all'")
     source = df if fit_on == "all" or train is None else train
     # each stage's fit is one or more aggregation passes over the same rows
     source.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if max_categories is not None:
+            check_cardinality(source, _indexed_columns(pipeline), max_categories)
         return pipeline.fit(source)
     finally:
         source.unpersist()

@@ -88,3 +88,11 @@ def test_cardinality_guard(spark):
     df = spark.range(100).select(F.col("id").cast("string").alias("s"))
     with pytest.raises(ValueError):
         features.check_cardinality(df, ["s"], max_categories=10)
+
+
+def test_fit_features_checks_indexed_cardinality(spark):
+    df = spark.range(200).select(F.col("id").cast("string").alias("s"), F.col("id").cast("double").alias("x"))
+    pipe = features.feature_pipeline(numeric=["x"], categorical=["s"])
+    with pytest.raises(ValueError):
+        features.fit_features(pipe, df, fit_on="all", max_categories=50)
+    assert features.fit_features(pipe, df, fit_on="all", max_categories=None) is not None
