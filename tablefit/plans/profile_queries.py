@@ -54,6 +54,15 @@ def q_csv_roundtrip(spark, base):
     return cast_like(repaired, src.schema)
 
 
+@query("csv_schema_read", "S1", "SELECT * FROM clients")
+def q_csv_schema_read(spark, base):
+    """The production route: a ';'-separated CSV read with an explicit schema
+    (no inference pass over the file)."""
+    src = clients(spark, base)
+    path = write_csv(src, scratch_path(spark, "clients-csv-sep"), sep=";")
+    return read_table(spark, path, fmt="csv", schema=src.schema, header=True, sep=";")
+
+
 @query("preview_first", "S7,O3,P2", "SELECT * FROM clients ORDER BY id LIMIT 5")
 def q_preview_first(spark, base):
     return profile.preview(clients(spark, base), 5, order_by=["id"])
