@@ -10,6 +10,6 @@ Every operator takes and returns ``pyspark.sql.DataFrame`` objects (or fitted
 * ``tablefit.streaming`` scoring and running confusion counts on streams
 """
 
-from tablefit.session import checkpoint_root, get_session, scratch_path
+from tablefit.session import checkpoint_root, cut_lineage, get_session, scratch_path
 
-__all__ = ["checkpoint_root", "get_session", "scratch_path"]
+__all__ = ["checkpoint_root", "cut_lineage", "get_session", "scratch_path"]

@@ -21,6 +21,7 @@ from tablefit.operators import evaluate, features, models, profile, split, tune
 from tablefit.plans.feature_queries import client_features
 from tablefit.plans.profile_queries import prepared_clients
 from tablefit.plans.registry import query
+from tablefit.session import cut_lineage
 from tablefit.sources import blocks, clients
 
 TRAIN_BLOCKS = "(SELECT * FROM blocks_split WHERE bucket < 80)"
@@ -254,8 +255,8 @@ def q_metric_bundle(spark, base):
 def _client_frames(spark, base):
     df, pipe = client_features(spark, base)
     fitted = features.fit_features(pipe, df, train=df.where(F.col("split") == "train"))
-    frame = fitted.transform(df).select("id", "split", "features",
-                                        F.col("label").cast("double").alias("label"))
+    frame = cut_lineage(fitted.transform(df).select("id", "split", "features",
+                                                    F.col("label").cast("double").alias("label")))
     return frame.where(F.col("split") == "train"), frame.where(F.col("split") == "test")
 
 
@@ -313,8 +314,8 @@ def _block_frames(spark, base):
     df = split.with_split(blocks(spark, base), "block_id")
     pipe = features.feature_pipeline(numeric=_block_numeric(df), categorical=["category"])
     fitted = features.fit_features(pipe, df, train=df.where(F.col("split") == "train"))
-    frame = fitted.transform(df).select("block_id", "split", "features",
-                                        F.col("total_value").alias("label"))
+    frame = cut_lineage(fitted.transform(df).select("block_id", "split", "features",
+                                                    F.col("total_value").alias("label")))
     return frame.where(F.col("split") == "train"), frame.where(F.col("split") == "test")
 
 
@@ -362,7 +363,7 @@ def q_cv_leak_free(spark, base):
 
     df, pipe = client_features(spark, base, handle_invalid="keep")
     train = split.with_folds(df.where(F.col("split") == "train"), "id", 3)
-    train = train.withColumn("label", F.col("label").cast("double"))
+    train = cut_lineage(train.withColumn("label", F.col("label").cast("double")))
     lr = models.estimator("logistic_regression")
     whole = Pipeline(stages=[pipe, lr])
     cvm = tune.cross_validate_pipeline(whole, lr, {"regParam": [0.1, 0.0]}, train, num_folds=3, parallelism=2)

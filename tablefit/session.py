@@ -66,3 +66,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared checkpoint folder."""
     root = checkpoint_root(spark)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+
+
+def cut_lineage(df):
+    """Reliable checkpoint of ``df`` into the shared checkpoint folder (eager):
+    later jobs -- iterative fits, several metric passes -- read the written
+    blocks, and a lost executor costs a re-read, not a recomputation of the
+    whole upstream plan.  Never ``localCheckpoint``: that data dies with the
+    executor that holds it."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
