@@ -156,8 +156,9 @@ def feature_names(df: DataFrame, vector_col: str, numeric_names: Sequence[str] =
 def unpack(df: DataFrame, vector_col: str, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Vector column -> one double column per slot (vectors are not comparable
     across engines; arrays of doubles are)."""
-    arr = vector_to_array(F.col(vector_col))
-    return df.select(*keep, *[arr.getItem(i).alias(n) for i, n in enumerate(names)])
+    # two projections: the array is computed once per row, not once per slot
+    arrays = df.select(*keep, vector_to_array(F.col(vector_col)).alias("_slots"))
+    return arrays.select(*keep, *[F.col("_slots").getItem(i).alias(n) for i, n in enumerate(names)])
 
 
 def label_mapping(spark: SparkSession, indexer_model) -> DataFrame:

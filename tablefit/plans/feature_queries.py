@@ -116,11 +116,10 @@ def q_onehot_int(spark, base):
     cols = list(ONEHOT_INT)
     model = features.integer_onehot_stage(cols).fit(df)
     out = model.transform(df)
-    arrays = []
-    for c, size in zip(cols, model.categorySizes):
-        arr = features.vector_to_array(F.col(f"{c}_ohe"))
-        arrays += [arr.getItem(j).alias(f"{c}_ohe_{j}") for j in range(size - 1)]
-    return out.select("id", *arrays)
+    arrays = out.select("id", *[features.vector_to_array(F.col(f"{c}_ohe")).alias(c) for c in cols])
+    slots = [F.col(c).getItem(j).alias(f"{c}_ohe_{j}")
+             for c, size in zip(cols, model.categorySizes) for j in range(size - 1)]
+    return arrays.select("id", *slots)
 
 
 ASSEMBLE_COLS = ["total_value", "balance", "lines"]
