@@ -21,6 +21,7 @@ string column, which is checked against ``max_categories`` before fitting.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -87,6 +88,34 @@ def feature_pipeline(numeric: Sequence[str] = (), categorical: Sequence[str] = (
     return Pipeline(stages=stages)
 
 
+@dataclass(frozen=True)
+class FeatureSpec:
+    """Declared roles of a modelling table: key, label and feature lists.
+
+    ``numeric`` are imputed and scaled, ``categorical`` (strings) indexed then
+    one-hot encoded, ``integer_categorical`` (non-negative codes) one-hot
+    encoded directly.  Everything else in the table is ignored.
+    """
+
+    id: str
+    label: str
+    numeric: tuple[str, ...] = ()
+    categorical: tuple[str, ...] = ()
+    integer_categorical: tuple[str, ...] = ()
+    handle_invalid: str = "error"
+    numeric_options: dict = field(default_factory=dict)
+
+    def pipeline(self, features_col: str = "features") -> Pipeline:
+        return feature_pipeline(numeric=list(self.numeric), categorical=list(self.categorical),
+                                integer_categorical=list(self.integer_categorical),
+                                features_col=features_col, handle_invalid=self.handle_invalid,
+                                **self.numeric_options)
+
+    def slot_names(self, model: PipelineModel, df: DataFrame, features_col: str = "features") -> list[str]:
+        """Names of the assembled slots (numeric names first, then one-hot slots)."""
+        return feature_names(model.transform(df.limit(0)), features_col, self.numeric)
+
+
 def check_cardinality(df: DataFrame, cols: Sequence[str], max_categories: int = DEFAULT_MAX_CATEGORIES) -> None:
     """Refuse to index a column whose label list would not fit the driver
     (one HyperLogLog pass over all columns at once)."""

@@ -177,10 +177,6 @@ CLIENT_CATEGORICAL = ["education", "sex", "marriage", *PAY]
 CLIENT_SLOTS = {"education": 3, "sex": 2, "marriage": 3, **{p: 8 for p in PAY}}
 
 
-def _client_slot_names() -> list[str]:
-    return ["limit_bal"] + [f"{c}_ohe_{j}" for c in CLIENT_CATEGORICAL for j in range(CLIENT_SLOTS[c])]
-
-
 def _modelling_sql() -> str:
     slots = [f"CASE WHEN {c} = {j} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS {c}_ohe_{j}"
              for c in CLIENT_CATEGORICAL for j in range(CLIENT_SLOTS[c])]
@@ -191,20 +187,27 @@ def _modelling_sql() -> str:
     )
 
 
+def client_spec(handle_invalid: str = "error") -> features.FeatureSpec:
+    """Declared features of the clients table: the credit limit (imputed,
+    scaled) and nine integer-coded categoricals (one-hot); id and the amount
+    series are not features."""
+    return features.FeatureSpec(id="id", label="label", numeric=("limit_bal",),
+                                integer_categorical=tuple(CLIENT_CATEGORICAL), handle_invalid=handle_invalid)
+
+
 def client_features(spark, base, handle_invalid: str = "error"):
-    """Prepared clients with split, and the unfitted feature pipeline:
-    credit limit (imputed, scaled) + nine integer-coded categoricals one-hot."""
+    """Prepared clients with split, and the unfitted feature pipeline."""
     df = split.with_split(prepared_clients(spark, base), "id")
-    pipe = features.feature_pipeline(numeric=["limit_bal"], integer_categorical=CLIENT_CATEGORICAL,
-                                     handle_invalid=handle_invalid)
-    return df, pipe
+    return df, client_spec(handle_invalid).pipeline()
 
 
 @query("modelling_frame", "F8,F9,F10", _modelling_sql())
 def q_modelling_frame(spark, base):
-    df, pipe = client_features(spark, base)
-    model = features.fit_features(pipe, df, train=df.where(F.col("split") == "train"))
-    frame = features.modelling_frame(model, df, "id")
-    res = features.unpack(frame, "features", _client_slot_names(), keep=["id", "label"])
+    spec = client_spec()
+    df = split.with_split(prepared_clients(spark, base), "id")
+    model = features.fit_features(spec.pipeline(), df, train=df.where(F.col("split") == "train"))
+    frame = features.modelling_frame(model, df, spec.id, spec.label)
+    # slot names from the fitted vector's metadata (limit_bal, education_ohe_0, ...)
+    res = features.unpack(frame, "features", spec.slot_names(model, df), keep=["id", "label"])
     return profile.with_rounded(res, {"limit_bal": 8})
 

@@ -96,3 +96,13 @@ def test_fit_features_checks_indexed_cardinality(spark):
     with pytest.raises(ValueError):
         features.fit_features(pipe, df, fit_on="all", max_categories=50)
     assert features.fit_features(pipe, df, fit_on="all", max_categories=None) is not None
+
+
+def test_feature_spec_slot_names(spark):
+    df = spark.createDataFrame([(1, 1.0, 0, 2, 0.0), (2, 3.0, 1, 1, 1.0), (3, None, 2, 1, 0.0)],
+                               "id int, x double, c int, d int, label double")
+    spec = features.FeatureSpec(id="id", label="label", numeric=("x",), integer_categorical=("c", "d"))
+    model = features.fit_features(spec.pipeline(), df, fit_on="all")
+    assert spec.slot_names(model, df) == ["x", "c_ohe_0", "c_ohe_1", "d_ohe_0", "d_ohe_1"]
+    frame = features.modelling_frame(model, df, spec.id, spec.label)
+    assert frame.columns == ["id", "features", "label"] and frame.count() == 3
