@@ -26,6 +26,15 @@ def hex_hash(key: str | Column, tag: str | None = None) -> Column:
     return F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("bigint")
 
 
+def hex_hash_sql(key: str, tag: str | None = None) -> str:
+    """:func:`hex_hash` as Spark SQL text, for building wide projections with a
+    single ``selectExpr`` call."""
+    s = f"CAST({key} AS STRING)"
+    if tag is not None:
+        s = f"concat({s}, ':{tag}')"
+    return f"CAST(conv(substring(md5({s}), 1, 8), 16, 10) AS BIGINT)"
+
+
 def hash_bucket(key: str | Column, buckets: int, tag: str | None = None) -> Column:
     """``hex_hash(key, tag) % buckets`` as INT: stable split / fold assignment."""
     return (hex_hash(key, tag) % F.lit(buckets)).cast("int")

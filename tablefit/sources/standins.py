@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablefit.functions.expr import hex_hash, safe_ratio
+from tablefit.functions.expr import hex_hash_sql, safe_ratio
 from tablefit.sources.tables import load, spread
 
 SERIES = range(1, 7)  # six monthly steps, step 1 = newest
@@ -58,31 +58,29 @@ def clients(spark: SparkSession, base_dir: str) -> DataFrame:
     orders = spread(load(spark, base_dir, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
     customer = load(spark, base_dir, "customer").select("c_custkey", "c_acctbal")
     base = orders.join(customer, orders.o_custkey == customer.c_custkey)
-    k = F.col("o_orderkey")
 
-    def hx(tag: str):
-        return hex_hash(k, tag)
+    def hx(tag: str) -> str:
+        return hex_hash_sql("o_orderkey", tag)
 
+    # One projection written as SQL text: a single call composes all ~40
+    # hash expressions (column-by-column composition costs a driver round
+    # trip per function and dominated the planning time).
     cols = {
-        "id": k,
-        "limit_bal": F.col("c_acctbal"),
-        "sex": (hx("sex") % 2 + 1).cast("int"),
-        "education": (hx("edu") % 7).cast("int"),
-        "marriage": (hx("mar") % 4).cast("int"),
-        "age": (18 + hx("age") % 52).cast("int"),
+        "id": "o_orderkey",
+        "limit_bal": "c_acctbal",
+        "sex": f"CAST({hx('sex')} % 2 + 1 AS INT)",
+        "education": f"CAST({hx('edu')} % 7 AS INT)",
+        "marriage": f"CAST({hx('mar')} % 4 AS INT)",
+        "age": f"CAST(18 + {hx('age')} % 52 AS INT)",
     }
     for i in SERIES:
-        cols[f"pay_{i}"] = (hx(f"pay{i}") % 11 - 2).cast("int")
+        cols[f"pay_{i}"] = f"CAST({hx(f'pay{i}')} % 11 - 2 AS INT)"
     for i in SERIES:
-        cols[f"bill_amt{i}"] = (
-            F.when(hx(f"zero{i}") % 10 == 0, F.lit(0))
-            .otherwise(hx("bill") % 100000 + hx(f"bill{i}") % 20000)
-            .cast("int")
-        )
+        cols[f"bill_amt{i}"] = (f"CAST(CASE WHEN {hx(f'zero{i}')} % 10 = 0 THEN 0 "
+                                f"ELSE {hx('bill')} % 100000 + {hx(f'bill{i}')} % 20000 END AS INT)")
     for i in SERIES:
-        cols[f"pay_amt{i}"] = (hx(f"amt{i}") % 5000).cast("int")
-    draw = hx("l") % 10
-    cols["label"] = (
-        F.when(((cols["pay_1"] >= 3) & (draw < 7)) | (draw == 9), F.lit(1)).otherwise(F.lit(0)).cast("int")
-    )
-    return base.select(*[c.alias(name) for name, c in cols.items()])
+        cols[f"pay_amt{i}"] = f"CAST({hx(f'amt{i}')} % 5000 AS INT)"
+    draw = f"{hx('l')} % 10"
+    cols["label"] = (f"CAST(CASE WHEN ({cols['pay_1']} >= 3 AND {draw} < 7) OR {draw} = 9 "
+                     "THEN 1 ELSE 0 END AS INT)")
+    return base.selectExpr(*[f"{expr} AS {name}" for name, expr in cols.items()])
