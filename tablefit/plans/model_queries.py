@@ -368,3 +368,33 @@ def q_cv_leak_free(spark, base):
     whole = Pipeline(stages=[pipe, lr])
     cvm = tune.cross_validate_pipeline(whole, lr, {"regParam": [0.1, 0.0]}, train, num_folds=3, parallelism=2)
     return tune.cv_results(spark, cvm)
+
+
+@query("stream_confusion", "M10,E6")
+def q_stream_confusion(spark, base):
+    """The held-out clients, written as parquet parts to the shared folder,
+    replayed as a file stream (one part per micro-batch), scored by the fitted
+    feature pipeline + logistic regression, and accumulated into a running
+    confusion matrix (four keys of state); returns the final counts."""
+    import uuid
+
+    from tablefit.session import scratch_path
+    from tablefit.streaming import read_stream, score_stream, start_confusion
+
+    df, pipe = client_features(spark, base, handle_invalid="keep")
+    df = df.withColumn("label", F.col("label").cast("double"))
+    train = df.where(F.col("split") == "train")
+    fitted = features.fit_features(pipe, df, train=train)
+    clf = models.estimator("logistic_regression").fit(cut_lineage(fitted.transform(train)))
+
+    test = df.where(F.col("split") == "test").drop("split")
+    path = scratch_path(spark, "stream-clients")
+    test.repartition(4, "id").write.parquet(path)
+    stream = read_stream(spark, path, test.schema, max_files_per_trigger=1)
+    name = f"confusion_{uuid.uuid4().hex[:12]}"
+    q = start_confusion(score_stream(clf, score_stream(fitted, stream)), name)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return spark.table(name)
