@@ -76,3 +76,17 @@ def test_auc_grouped(spark):
     df = spark.createDataFrame(rows, "model string, score double, label int")
     got = {r.model: r.auc for r in evaluate.auc(df, group_by=["model"]).collect()}
     assert got["a"] == 1.0 and got["b"] == pytest.approx(_brute_auc([(0.2, 1), (0.8, 0), (0.8, 1)]))
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.integers(0, 12).map(lambda v: v / 4.0), st.integers(0, 1)),
+                     min_size=2, max_size=80).filter(lambda r: len({y for _, y in r}) == 2),
+       rows_per_bucket=st.sampled_from([1, 3, 1000]))
+def test_auc_property(spark, rows, rows_per_bucket):
+    df = spark.createDataFrame(rows, "score double, label int")
+    got = evaluate.auc(df, rows_per_bucket=rows_per_bucket).head().auc
+    assert abs(got - _brute_auc(rows)) < 1e-12
