@@ -200,12 +200,18 @@ def model_metrics(stacked: DataFrame) -> DataFrame:
     return bundle.join(swept, "model")  # one row per model on each side
 
 
-def leaderboard(bundles: Sequence[DataFrame], metric: str = "balanced_accuracy") -> DataFrame:
-    """Union of one-row-per-model metric frames, best first (ties by model)."""
+def leaderboard(bundles: Sequence[DataFrame], metric: str = "balanced_accuracy",
+                larger_is_better: bool = True) -> DataFrame:
+    """Union of one-row-per-model metric frames, best first; ties go to the
+    faster fit (``fit_seconds``, when measured), then to the model name."""
     out = bundles[0]
     for b in bundles[1:]:
         out = out.unionByName(b, allowMissingColumns=True)
-    return out.withColumn("ranked_by", F.lit(metric)).orderBy(F.desc(metric), F.asc("model"))
+    order = [F.desc(metric) if larger_is_better else F.asc(metric)]
+    if "fit_seconds" in out.columns:
+        order.append(F.asc("fit_seconds"))
+    order.append(F.asc("model"))
+    return out.withColumn("ranked_by", F.lit(metric)).orderBy(*order)
 
 
 def stack_regressions(df: DataFrame, models: dict, label: str = "label") -> DataFrame:
