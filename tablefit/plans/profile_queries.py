@@ -129,6 +129,25 @@ def q_group_mean_sql(spark, base):
     return profile.with_rounded(out, {"avg_value": 6})
 
 
+CLIENT_SUMMARY_COLS = ["limit_bal", "age", "pay_1"]
+
+
+@query("summary_clients", "A3", _union([
+    f"SELECT '{c}' AS column_name, count({c}) AS count, round(avg({c}), 6) AS mean, "
+    f"round(stddev_samp({c}), 6) AS stddev, min({c})::DOUBLE AS min, max({c})::DOUBLE AS max FROM clients_prep"
+    for c in CLIENT_SUMMARY_COLS]))
+def q_summary_clients(spark, base):
+    out = profile.summary(prepared_clients(spark, base), CLIENT_SUMMARY_COLS)
+    return profile.with_rounded(out, {"mean": 6, "stddev": 6})
+
+
+@query("group_mean_education", "A6,P7",
+       "SELECT education, round(avg(limit_bal), 6) AS limit_bal_mean FROM clients_prep GROUP BY education")
+def q_group_mean_education(spark, base):
+    out = profile.group_mean(prepared_clients(spark, base), "education", "limit_bal", "limit_bal_mean")
+    return profile.with_rounded(out, {"limit_bal_mean": 6})
+
+
 CONTINGENCY_ATTRS = ["education", "marriage", "sex"]
 
 
