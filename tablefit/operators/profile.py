@@ -201,6 +201,20 @@ def correlation_long(df: DataFrame, cols: Sequence[str], method: str = "pearson"
     return spark.createDataFrame(rows, "x string, y string, corr double")
 
 
+def correlation_blocks(df: DataFrame, blocks: Mapping[str, Sequence[str]],
+                       method: str = "pearson") -> DataFrame:
+    """Several correlation matrices over overlapping column blocks from ONE
+    ``Correlation`` job on the union of their columns, sliced afterwards:
+    ``(block, x, y, corr)``.  The union is capped like a single matrix."""
+    union: list[str] = []
+    for cols in blocks.values():
+        union += [c for c in cols if c not in union]
+    full = correlation_long(df, union, method=method, via="matrix")
+    pairs = [(b, x, y) for b, cols in blocks.items() for x in cols for y in cols]
+    wanted = df.sparkSession.createDataFrame(pairs, "block string, x string, y string")  # d^2 rows at most
+    return wanted.join(full, ["x", "y"]).select("block", "x", "y", "corr")
+
+
 def numeric_only(df: DataFrame, cols: Sequence[str]) -> list[str]:
     return [c for c in cols if isinstance(df.schema[c].dataType, NumericType)]
 

@@ -193,6 +193,24 @@ def q_correlation_long(spark, base):
     return profile.with_rounded(out, {"corr": 10})
 
 
+# The four correlation blocks of the credit analysis (attributes,
+# repayment status, bill amounts, payment amounts), each with the label.
+CORR_BLOCKS = {
+    "attributes": ["limit_bal", "age", "education", "sex", "marriage", "label"],
+    "pay": PAY + ["label"],
+    "bill": BILL + ["label"],
+    "pay_amt": [f"pay_amt{i}" for i in range(1, 7)] + ["label"],
+}
+
+
+@query("correlation_blocks", "A11,F1,S8", _union([
+    f"SELECT '{b}' AS block, '{x}' AS x, '{y}' AS y, round(corr({x}, {y}), 10) AS corr FROM clients_prep"
+    for b, cols in CORR_BLOCKS.items() for x in cols for y in cols]))
+def q_correlation_blocks(spark, base):
+    out = profile.correlation_blocks(prepared_clients(spark, base), CORR_BLOCKS)
+    return profile.with_rounded(out, {"corr": 10})
+
+
 @query("correlation_agg", "A11", _union([
     f"SELECT '{x}' AS x, '{y}' AS y, round(corr({x}, {y}), 10) AS corr FROM clients"
     for x in BILL for y in BILL]))
