@@ -6,10 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tablefit.plans import catalogue
 from tablefit.sources.tables import TABLES
 from tools.check_oracle import compare
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(catalogue.queries())
 
 
 @pytest.fixture(scope="module")
