@@ -5,10 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import tablefit.llm
+
+# tasks get this subpackage's functions with their code, whether or not the library is installed on the executors
+cloudpickle.register_pickle_by_value(tablefit.llm)
+
 #: Rows and bytes handed to a Python worker at once: one batch must fit beside the worker's own state whatever the
 #: length of the texts (a single longer text still arrives whole).
 BATCH_ROWS = 1000

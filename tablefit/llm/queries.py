@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tablefit.llm import native_queries
+from tablefit.llm import native_queries, text_queries
 
-QUERIES = {**native_queries.QUERIES}
-ORACLES = {**native_queries.ORACLES}
+_PARTS = (native_queries, text_queries)
+QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
+ORACLES = {name: sql for part in _PARTS for name, sql in part.ORACLES.items()}
