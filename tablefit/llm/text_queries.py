@@ -5,19 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablefit.llm import decontaminate, quality, simhash
+from tablefit.llm import decontaminate, quality, sentencepiece_codec, simhash, token_counts
 from tablefit.llm.common import table
 
+#: The vocabulary file of the queries that encode or count tokens.
+PIECE_MODEL = "piece_bpe_32k.model"
+
 #: Fixed values of the SimHash contract.
 SHINGLE_WORDS = 4
 MAX_BITS = 4
 
 
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(PIECE_MODEL)
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentencepiece_codec.encoded_digests(docs, piece_model(), carry=["doc_id"])
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.simhash_components(docs, SHINGLE_WORDS, MAX_BITS)
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.token_counts(docs, piece_model(), carry=["doc_id"])
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"), carry=["doc_id"])
@@ -51,5 +70,6 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(docs, carry=["doc_id"]).select("doc_id", *quality.STATS, "base_failed", "kept", "quality")
 
 
-QUERIES = {"op3_simhash": op3_simhash, "op6_decontaminate": op6_decontaminate, "op7_quality_rules": op7_quality_rules}
+QUERIES = {"op2_sentencepiece": op2_sentencepiece, "op5_token_counts": op5_token_counts,
+           "op3_simhash": op3_simhash, "op6_decontaminate": op6_decontaminate, "op7_quality_rules": op7_quality_rules}
 ORACLES = {"op6_decontaminate": OP6_SQL}
