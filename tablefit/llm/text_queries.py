@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablefit.llm import decontaminate, quality, sentencepiece_codec, simhash, token_counts
+from tablefit.llm import decontaminate, quality, sentencepiece_codec, simhash, token_counts, toxicity
 from tablefit.llm.common import table
 
 #: The vocabulary file of the queries that encode or count tokens.
 PIECE_MODEL = "piece_bpe_32k.model"
 
+#: Fixed value of the toxicity contract.
+TOXIC_FROM = 0.3
 #: Fixed values of the SimHash contract.
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -22,6 +24,12 @@ def piece_model() -> str:
     return public_tokenizers.path(PIECE_MODEL)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scores = toxicity.toxicity_scores(docs, table(spark, sf_dir, "labels"))
+    return scores.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sentencepiece_codec.encoded_digests(docs, piece_model(), carry=["doc_id"])
@@ -70,6 +78,6 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(docs, carry=["doc_id"]).select("doc_id", *quality.STATS, "base_failed", "kept", "quality")
 
 
-QUERIES = {"op2_sentencepiece": op2_sentencepiece, "op5_token_counts": op5_token_counts,
+QUERIES = {"op1_toxicity": op1_toxicity, "op2_sentencepiece": op2_sentencepiece, "op5_token_counts": op5_token_counts,
            "op3_simhash": op3_simhash, "op6_decontaminate": op6_decontaminate, "op7_quality_rules": op7_quality_rules}
 ORACLES = {"op6_decontaminate": OP6_SQL}
