@@ -54,18 +54,22 @@ def map_text(
     bound_batches(df.sparkSession)
     names = [f.name for f in added.fields]
     kept = [c for c in (df.columns if carry is None else carry) if c not in names]
-    given = df.select(*[quoted(c) for c in kept], quoted(text_col).cast("string").alias("__text"))
-    schema = T.StructType([*given.schema.fields[:-1], *added.fields])
+    own = text_col in kept and df.schema[text_col].dataType == T.StringType()  # else the text travels beside the carried columns
+    # plain names on the way: a task cannot take a column whose name has a dot
+    given = df.select(*[quoted(c).alias(f"c{i}") for i, c in enumerate(kept)],
+                      *([] if own else [quoted(text_col).cast("string").alias(f"c{len(kept)}")]))
+    at = kept.index(text_col) if own else len(kept)
+    schema = T.StructType([*given.schema.fields[: len(kept)], *[T.StructField(f"f{i}", f.dataType) for i, f in enumerate(added.fields)]])
+    passed = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            out = fn(batch.column(batch.num_columns - 1).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *out], names=[f.name for f in schema.fields])
+            if batch.num_rows:
+                out = fn(batch.column(at).to_pylist())
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(passed) - len(out)], *out], names=passed)
 
-    return given.mapInArrow(run, schema)
+    return given.mapInArrow(run, schema).select(*[F.col(n).alias(c) for n, c in zip(passed, [*kept, *names], strict=True)])
 
 
 def quoted(name: str) -> Column:

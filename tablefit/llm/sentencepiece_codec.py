@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+from itertools import chain
 
 import ahocorasick
 import pyarrow as pa
@@ -60,7 +61,7 @@ class Encoder:
         self.automaton.make_automaton()
         self.fits: dict[tuple[str, str], bool] = {}
         self.stands: dict[str, bool] = {}
-        self.known: dict[str, tuple[int, str, str]] = {}
+        self.known: dict[str, tuple[list[int], str, str]] = {}
 
     def compatible(self, left: str, right: str) -> bool:
         """Whether both come out as themselves when their join is merged anew."""
@@ -139,9 +140,9 @@ class Encoder:
             out.append(run.decode("utf-8", "replace"))
         return "".join(out)
 
-    def _chunk(self, chunk: str) -> tuple[int, str, str]:
+    def _chunk(self, chunk: str) -> tuple[list[int], str, str]:
         ids = self.chunk_ids(chunk)
-        found = (len(ids), " ".join(map(str, ids)), self.decode_chunk(ids))
+        found = (ids, " ".join(map(str, ids)), self.decode_chunk(ids))
         if len(chunk) <= CACHE_CHARS:
             if len(self.known) >= CACHE_CHUNKS:
                 self.known.clear()
@@ -154,58 +155,49 @@ class Encoder:
     def decode(self, ids: list[int]) -> str:
         return self.decode_chunk(ids).removeprefix(" ")
 
-    def round_trip(self, text: str) -> tuple[int, str, str]:
-        """Number of ids, the ids joined by spaces, and their decoded text; chunk by chunk, as byte runs end with their chunk."""
+    def round_trip(self, text: str) -> tuple[list[int], str, str]:
+        """The ids, the ids joined by spaces, and their decoded text; chunk by chunk, as byte runs end with their chunk."""
         get, make = self.known.get, self._chunk
         parts = [get(c) or make(c) for c in chunks(text)]
-        return sum([p[0] for p in parts]), " ".join([p[1] for p in parts]), "".join([p[2] for p in parts]).removeprefix(" ")
+        return list(chain.from_iterable([p[0] for p in parts])), " ".join([p[1] for p in parts]), "".join([p[2] for p in parts]).removeprefix(" ")
 
 
-ENCODED = T.StructType([
-    T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
-TOKENS = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
+RESULTS = {"n_tokens": T.LongType(), "ids": T.ArrayType(T.IntegerType()), "ids_sha256": T.StringType(), "decoded": T.StringType(),
+           "decoded_sha256": T.StringType()}
 
 
-def encode_documents(docs: DataFrame, model_path: str, text_col: str = "text", carry: list[str] | None = None, add_eos: bool = True) -> DataFrame:
-    """The carried columns (all by default), ``ids`` (with the end id) and ``decoded``.
+def _sha(text: str) -> str:
+    return hashlib.sha256(text.encode("utf-8", "replace")).hexdigest()
 
-    Null texts are encoded as empty ones (the end id only); rows are encoded one by one, so repeated rows stay repeated and an empty table
-    gives no rows; carried columns with the name of a result give way to it.
-    """
-    model = shared_model(docs.sparkSession, model_path)
-
-    def make():
-        encoder = Encoder(model.value)
-        end = [encoder.pieces.eos] if add_eos else []
 
-        def fn(texts):
-            found = [encoder.round_trip(t or "") for t in texts]
-            return [pa.array([[*map(int, ids.split()), *end] for _, ids, _ in found], pa.list_(pa.int32())),
-                    pa.array([d for _, _, d in found], pa.string())]
+def encode_documents(docs: DataFrame, model_path: str, text_col: str = "text", carry: list[str] | None = None,
+                     results: tuple[str, ...] = ("n_tokens", "ids", "decoded")) -> DataFrame:
+    """The carried columns (all by default) and some of RESULTS, for the whole text of each row.
 
-        return fn
-
-    return map_text(docs, text_col, TOKENS, make, carry)
-
-
-def encoded_digests(docs: DataFrame, model_path: str, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """As ``encode_documents``, with ``n_tokens`` and the SHA-256 of the ids (decimal, joined by a space, end id included) and of the decoded text
-    in place of both."""
+    ``ids`` end with the end id; ``decoded`` is the text read back from them; the digests are lowercase hex of the decimal ids joined by one
+    space, and of the decoded text in UTF-8.  Null texts are encoded as empty ones (the end id only); rows are encoded
+    one by one, so repeated rows stay repeated and an empty table gives no rows; carried columns with the name of a result give way to it.
+    """
     model = shared_model(docs.sparkSession, model_path)
+    added = T.StructType([T.StructField(r, RESULTS[r]) for r in results])
+    types = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32()), "ids_sha256": pa.string(), "decoded": pa.string(), "decoded_sha256": pa.string()}
 
     def make():
         encoder = Encoder(model.value)
-        end = str(encoder.pieces.eos)
+        eos = encoder.pieces.eos
+        get = {
+            "n_tokens": lambda ids, _, __: len(ids) + 1,
+            "ids": lambda ids, _, __: [*ids, eos],
+            "ids_sha256": lambda _, joined, __: _sha(f"{joined} {eos}" if joined else str(eos)),
+            "decoded": lambda _, __, decoded: decoded,
+            "decoded_sha256": lambda _, __, decoded: _sha(decoded),
+        }
+        take = [get[r] for r in results]
 
         def fn(texts):
-            n, ids_sha, text_sha = [], [], []
-            for t in texts:
-                count, ids, decoded = encoder.round_trip(t or "")
-                n.append(count + 1)
-                ids_sha.append(hashlib.sha256((ids + " " + end if ids else end).encode()).hexdigest())
-                text_sha.append(hashlib.sha256(decoded.encode("utf-8", "replace")).hexdigest())
-            return [pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
+            rows = [[f(*found) for f in take] for found in map(encoder.round_trip, (t or "" for t in texts))]
+            return [pa.array([row[i] for row in rows], types[r]) for i, r in enumerate(results)]
 
         return fn
 
-    return map_text(docs, text_col, ENCODED, make, carry)
+    return map_text(docs, text_col, added, make, carry)

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -169,6 +169,13 @@ def _by_bucket(dealt: DataFrame, radius: int, limit: int | None) -> DataFrame:
     return dealt.repartition(n, "key").sortWithinPartitions("key").mapInArrow(_link_buckets(radius, limit), LINK_SCHEMA)
 
 
+def _rooted(fps: DataFrame, radius: int) -> DataFrame:
+    """(fp, least, root): of each fingerprint the smallest id that has it, and the smallest fingerprint that it reaches."""
+    classes = fps.groupBy("fp").agg(F.min("id").alias("least"))
+    found = connected_components(fingerprint_links(classes.select("fp"), radius))
+    return classes.join(found, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_components(docs: DataFrame, width: int = 4, radius: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id column, fingerprint, component_id) for each row of ``docs``.
 
@@ -177,9 +184,25 @@ def simhash_components(docs: DataFrame, width: int = 4, radius: int = 4, id_col:
     like any other; repeated rows stay repeated; other columns are ignored; an empty table gives no rows.
     """
     fps = cut_lineage(fingerprints(docs, width, id_col, text_col))
-    classes = fps.groupBy("fp").agg(F.min("id").alias("least"))
-    found = connected_components(fingerprint_links(classes.select("fp"), radius))
-    rooted = classes.join(found, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = cut_lineage(_rooted(fps, radius))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of = rooted.join(least, "root").select("fp", "component_id")
     return fps.join(of, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def drop_near_copies(docs: DataFrame, width: int = 4, radius: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near copies: of each component only the row with the smallest id stays (null ids come last; of several rows with that
+    id and fingerprint, the one first by a hash of its columns)."""
+    fps = cut_lineage(fingerprints(docs, width, id_col, text_col))
+    keepers = (
+        _rooted(fps, radius).groupBy("root").agg(F.min(F.struct(F.col("least").isNull(), "least", "fp")).alias("k"))
+        .select(F.col("k.least").alias("__id"), F.col("k.fp").alias("__keep"))
+    )
+
+    def make():
+        return lambda texts: [pa.array([_signed(fingerprint(t, width)) for t in texts], pa.int64())]
+
+    marked = map_text(docs, text_col, T.StructType([T.StructField("__fp", T.LongType())]), make)
+    kept = marked.join(keepers, (F.col("__fp") == F.col("__keep")) & quoted(id_col).cast("long").eqNullSafe(F.col("__id")))
+    one = Window.partitionBy("__keep", "__id").orderBy(F.xxhash64(*map(quoted, docs.columns)))
+    return kept.withColumn("__nth", F.row_number().over(one)).where("__nth = 1").select(*map(quoted, docs.columns))

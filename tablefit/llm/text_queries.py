@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablefit.llm import decontaminate, quality, sentencepiece_codec, simhash, token_counts, toxicity
+from tablefit.llm import decontaminate, quality, sentencepiece_codec, simhash, suffix_dedup, token_counts, toxicity
 from tablefit.llm.common import table
 
 #: The vocabulary file of the queries that encode or count tokens.
@@ -32,7 +32,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return sentencepiece_codec.encoded_digests(docs, piece_model(), carry=["doc_id"])
+    return sentencepiece_codec.encode_documents(docs, piece_model(), carry=["doc_id"], results=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +78,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(docs, carry=["doc_id"]).select("doc_id", *quality.STATS, "base_failed", "kept", "quality")
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op2_sentencepiece": op2_sentencepiece, "op5_token_counts": op5_token_counts,
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).drop("kept")
+
+
+QUERIES = {"op10_suffix_dedup": op10_suffix_dedup, "op1_toxicity": op1_toxicity, "op2_sentencepiece": op2_sentencepiece, "op5_token_counts": op5_token_counts,
            "op3_simhash": op3_simhash, "op6_decontaminate": op6_decontaminate, "op7_quality_rules": op7_quality_rules}
 ORACLES = {"op6_decontaminate": OP6_SQL}
