@@ -5,9 +5,9 @@ each class's counts over histories of ORDER - 1 characters, the discounted mass
 backoff counts are Kneser-Ney type counts (in how many different words an n-gram occurs), gathered from every word of the whole corpus,
 labelled or not; so an expression that is rare in a class is smoothed by what all texts say about it.
 
-A text is read in windows of WINDOW words: the toxic and the ordinary log-likelihood of a window, each divided by its length, are compared; a
-word repeated within a window counts once.  The largest difference and the mean difference of the text give the score, through a
-logistic curve fitted on labelled texts that the models have not seen.
+The toxic and the ordinary log-likelihood, each divided by the number of words, are compared for the whole text, for each window of WINDOW words
+(a word repeated within a window counts once) and for the STRONGEST most telling different words.  The mean difference, the largest one of a window
+and that of the strongest words give the score, through a logistic curve fitted on labelled texts that the models have not seen.
 """
 
 from __future__ import annotations
@@ -25,16 +25,18 @@ from pyspark.sql import types as T
 
 from tablefit.llm.common import bound_batches, map_text, quoted
 
-ORDER = 5
+ORDER = 12
 DISCOUNT = 0.75
 WINDOW = 8
+STRONGEST = 4
 #: Probability of a character below the shortest history.
 FLOOR = 1 / 2000
 #: The models are fitted on at most so many labelled texts of either class, those first by a hash of their ids.
 MAX_TOXIC = 10_000
 MAX_ORDINARY = 20_000
-#: And hold at most so many n-grams: the rarest are left out beyond.
-MAX_GRAMS = 1_000_000
+#: An n-gram is held if the labelled texts have it so often; beyond so many n-grams, the rarest are left out.
+MIN_COUNT = 3
+MAX_GRAMS = 400_000
 #: One in so many of the labelled texts is kept for the logistic curve.
 CALIBRATION = 4
 #: Words and texts that one task remembers.
@@ -55,82 +57,102 @@ def grams_of(word: str) -> Iterator[str]:
 
 
 def tails_of(gram: str) -> Iterator[str]:
-    """The shorter n-grams that a gram backs off to."""
-    for i in range(1 if len(gram) == ORDER else 0, len(gram)):
+    """The gram and the shorter n-grams that it backs off to."""
+    for i in range(len(gram)):
         yield gram[i:]
 
 
-class ToxicityModel:
-    """Log-likelihoods of words under both classes from (gram -> toxic count, ordinary count) and (shorter gram -> words that hold it)."""
+class SharedBackoff:
+    """The lower-order model of both classes, from the number of different words that hold each n-gram."""
 
-    def __init__(self, counts: dict[str, tuple[int, int]], types: dict[str, int]) -> None:
-        self.shared: dict[str, float] = {}
-        self.shared_backoff: dict[str, float] = {}
+    def __init__(self, types: dict[str, int]) -> None:
+        self.logs: dict[str, float] = {}
+        self.backoff: dict[str, float] = {}
         total, kinds = Counter(), Counter()
         for g, n in types.items():
             total[g[:-1]] += n
             kinds[g[:-1]] += 1
         for h, n in total.items():
-            self.shared_backoff[h] = DISCOUNT * kinds[h] / n
+            self.backoff[h] = DISCOUNT * kinds[h] / n
         for g in sorted(types, key=len):
             h = g[:-1]
-            self.shared[g] = max(types[g] - DISCOUNT, 0) / total[h] + self.shared_backoff[h] * self._shared(g[1:])
-        sums = defaultdict(lambda: [0, 0, 0, 0])  # counts and kinds of each class by history
-        for g, (t, o) in counts.items():
-            s = sums[g[:-1]]
-            s[0] += t
-            s[1] += o
-            s[2] += t > 0
-            s[3] += o > 0
-        self.backoff = {h: tuple(DISCOUNT * s[2 + c] / s[c] if s[c] else 1.0 for c in (0, 1)) for h, s in sums.items()}
-        self.logs: dict[str, tuple[float, float]] = {}
-        for g, n in counts.items():
-            s, low, back = sums[g[:-1]], self._shared(g[1:] if len(g) == ORDER else g), self.backoff[g[:-1]]
-            self.logs[g] = tuple(math.log((max(n[c] - DISCOUNT, 0) / s[c] if s[c] else 0) + back[c] * low) for c in (0, 1))
-        self.known: dict[str, tuple[float, float]] = {}
-
-    def _shared(self, gram: str) -> float:
-        """Probability of the last character after the others, by the shared model."""
+            self.logs[g] = max(types[g] - DISCOUNT, 0) / total[h] + self.backoff[h] * self.probability(g[1:])
+
+    def probability(self, gram: str) -> float:
+        """Of the last character after the others."""
         weight = 1.0
         while gram:
-            if (p := self.shared.get(gram)) is not None:
+            if (p := self.logs.get(gram)) is not None:
                 return weight * p
-            weight *= self.shared_backoff.get(gram[:-1], 1.0)
+            weight *= self.backoff.get(gram[:-1], 1.0)
             gram = gram[1:]
         return weight * FLOOR
 
-    def word_logs(self, word: str) -> tuple[float, float]:
-        """(toxic, ordinary) log-likelihood of a word."""
-        if (found := self.known.get(word)) is not None:
-            return found
-        toxic = ordinary = 0.0
-        for g in grams_of(word):
-            if (x := self.logs.get(g)) is None:
-                low = math.log(self._shared(g[1:] if len(g) == ORDER else g))
-                back = self.backoff.get(g[:-1])
-                x = (low + math.log(back[0]), low + math.log(back[1])) if back else (low, low)
-            toxic += x[0]
-            ordinary += x[1]
+
+def class_model(counts: dict[str, tuple[int, int]], shared: SharedBackoff) -> tuple[dict[str, tuple[float, float]], dict[str, tuple[float, float]]]:
+    """(toxic, ordinary) log-probability of each counted gram, and log-weight of the shared model after each counted history."""
+    sums = defaultdict(lambda: [0, 0, 0, 0])  # counts and kinds of each class by history
+    for g, (t, o) in counts.items():
+        s = sums[g[:-1]]
+        s[0] += t
+        s[1] += o
+        s[2] += t > 0
+        s[3] += o > 0
+    weight = {h: tuple(DISCOUNT * s[2 + c] / s[c] if s[c] else 1.0 for c in (0, 1)) for h, s in sums.items()}
+    logs = {}
+    for g, n in counts.items():
+        s, w, low = sums[g[:-1]], weight[g[:-1]], shared.probability(g)
+        logs[g] = tuple(math.log((max(n[c] - DISCOUNT, 0) / s[c] if s[c] else 0) + w[c] * low) for c in (0, 1))
+    return logs, {h: (math.log(a), math.log(b)) for h, (a, b) in weight.items()}
+
+
+class Differences:
+    """Toxic minus ordinary log-likelihood of words.  After a history that neither class has, both classes are the shared model and do not differ."""
+
+    def __init__(self, grams: dict[str, float], histories: dict[str, float]) -> None:
+        self.grams, self.histories = grams, histories
+        self.known: dict[str, float] = {}
+
+    @classmethod
+    def of(cls, counts: dict[str, tuple[int, int]], types: dict[str, int]) -> Differences:
+        logs, weights = class_model(counts, SharedBackoff(types))
+        return cls({g: a - b for g, (a, b) in logs.items()}, {h: a - b for h, (a, b) in weights.items()})
+
+    def word(self, word: str) -> float:
+        s = f"^{word}$"
+        out = 0.0
+        grams, histories = self.grams, self.histories
+        for i in range(1, len(s)):
+            start = max(0, i - ORDER + 1)
+            if (x := grams.get(s[start : i + 1])) is None:
+                x = histories.get(s[start:i])
+                if x is None:
+                    if start:
+                        continue
+                    break  # nor has either class a longer beginning
+            out += x
         if len(self.known) >= CACHE_WORDS:
             self.known.clear()
-        self.known[word] = toxic, ordinary
-        return toxic, ordinary
+        self.known[word] = out
+        return out
 
-    def features(self, text: str | None) -> tuple[float, float]:
-        """Largest difference of the two length-normalised log-likelihoods over windows, and that of the whole text; zeros without words."""
+    def features(self, text: str | None) -> tuple[float, float, float]:
+        """Differences of length-normalised log-likelihoods: the largest of a window, the whole text's, the strongest words'; zeros without words."""
         words = words_of(text)
         if not words:
-            return 0.0, 0.0
+            return 0.0, 0.0, 0.0
         names: dict[str, int] = {}
         ids = np.fromiter([names.setdefault(w, len(names)) for w in words], dtype=np.int64, count=len(words))
-        logs = np.array([self.word_logs(w) for w in names])
-        each = (logs[:, 0] - logs[:, 1])[ids]
+        get, find = self.known.get, self.word
+        by_word = np.array([x if (x := get(w)) is not None else find(w) for w in names])
+        each = by_word[ids]
         once = each.copy()
         for k in range(1, min(WINDOW, len(words))):
             once[k:][ids[k:] == ids[:-k]] = 0.0
         sums = np.concatenate(([0.0], np.cumsum(once)))
         k = min(WINDOW, len(words))
-        return float((sums[k:] - sums[:-k]).max() / WINDOW), float(each.mean())
+        strongest = np.sort(by_word)[-STRONGEST:].sum() / STRONGEST
+        return float((sums[k:] - sums[:-k]).max() / WINDOW), float(each.mean()), float(strongest)
 
 
 def logistic(features: np.ndarray, labels: np.ndarray, weights: np.ndarray, ridge: float = 0.01, rounds: int = 50) -> np.ndarray:
@@ -208,7 +230,9 @@ def _type_counts(words: DataFrame, wanted) -> DataFrame:
         for batch in batches:
             found: Counter = Counter()
             for w in batch.column(0).to_pylist():
-                found.update({t for g in grams_of(w) for t in tails_of(g) if t in keep})
+                s = f"^{w}$"
+                n = len(s)
+                found.update({s[i:j] for i in range(n) for j in range(max(i, 1) + 1, min(i + ORDER, n) + 1)} & keep)
             yield pa.RecordBatch.from_pydict({"gram": list(found), "n": list(found.values())},
                                              schema=pa.schema([("gram", pa.string()), ("n", pa.int64())]))
 
@@ -242,29 +266,30 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         only = float(shares.get(1, 0) > 0)
         return texts.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), F.lit(only).alias("score"))
 
-    grams = _gram_counts(train.where("not calibrate"), "text")
-    counts = {r["gram"]: (r["toxic"], r["ordinary"]) for r in grams.orderBy(F.desc(F.col("toxic") + F.col("ordinary")), "gram").limit(MAX_GRAMS).toLocalIterator()}
-    wanted = spark.sparkContext.broadcast({t for g in counts for t in tails_of(g)})  # at most (ORDER - 1) * MAX_GRAMS
+    grams = _gram_counts(train.where("not calibrate"), "text").where(F.col("toxic") + F.col("ordinary") >= MIN_COUNT)
+    grams = grams.orderBy(F.desc(F.col("toxic") + F.col("ordinary")), "gram").limit(MAX_GRAMS)
+    counts = {r["gram"]: (r["toxic"], r["ordinary"]) for r in grams.toLocalIterator()}
+    wanted = spark.sparkContext.broadcast({t for g in counts for t in tails_of(g)})  # at most ORDER * MAX_GRAMS
     types = {r["gram"]: r["n"] for r in _type_counts(corpus_words(texts), wanted).toLocalIterator()}
-    shared = spark.sparkContext.broadcast((counts, types))
+    shared = spark.sparkContext.broadcast(Differences.of(counts, types))
+    added = T.StructType([T.StructField(n, T.DoubleType()) for n in ("peak", "mean", "strongest")])
 
     def make():
-        model = ToxicityModel(*shared.value)
+        model = shared.value
 
         def fn(batch):
             found = [model.features(t) for t in batch]
-            return [pa.array([a for a, _ in found], pa.float64()), pa.array([b for _, b in found], pa.float64())]
+            return [pa.array([x[i] for x in found], pa.float64()) for i in range(3)]
 
         return fn
 
-    added = T.StructType([T.StructField("peak", T.DoubleType()), T.StructField("mean", T.DoubleType())])
-    seen = map_text(train.where("calibrate"), "text", added, make, ["toxic"]).select("toxic", "peak", "mean").collect()  # part of the sample
-    curve = [0.0, 0.0, math.log(shares[1] / shares[0])]
+    seen = map_text(train.where("calibrate"), "text", added, make, ["toxic"]).collect()  # part of the sample
+    curve = [0.0, 0.0, 0.0, math.log(shares[1] / shares[0])]
     if len({r["toxic"] for r in seen}) == 2:
         y = np.array([r["toxic"] for r in seen], dtype=float)
         # labels of each kind weigh as much as among all labelled texts
         each = np.where(y == 1, shares[1] / (y == 1).sum(), shares[0] / (y == 0).sum())
-        curve = logistic(np.array([[r["peak"], r["mean"]] for r in seen]), y, each * len(y) / each.sum()).tolist()
+        curve = logistic(np.array([[r["peak"], r["mean"], r["strongest"]] for r in seen]), y, each * len(y) / each.sum()).tolist()
     scored = map_text(texts, "text", added, make, ["id"])
-    z = curve[0] * F.col("peak") + curve[1] * F.col("mean") + F.lit(curve[2])
+    z = curve[0] * F.col("peak") + curve[1] * F.col("mean") + curve[2] * F.col("strongest") + F.lit(curve[3])
     return scored.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), (1 / (1 + F.exp(-z))).alias("score"))
