@@ -11,10 +11,9 @@ counted one half) -- what ``BinaryClassificationEvaluator`` computes with
 
 1. group by score: one row per distinct score with (pos, neg) counts
    (partial aggregation: a score repeated by a third of all rows is one row);
-2. cut the distinct scores into ranges at approximate quantiles, about
-   ``rows_per_bucket`` distinct scores each and at most ``max_buckets``
-   ranges (the boundaries, at most ``max_buckets`` doubles, are the only
-   thing on the driver);
+2. cut the distinct scores into ranges at approximate quantiles, at most about
+   ``rows_per_bucket`` distinct scores each (the boundaries, one double for
+   each range, are the only thing on the driver);
 3. per-bucket negative totals (<= ``buckets`` rows) give each bucket its
    offset by a running sum on that small frame, broadcast back (bounded);
 4. within a bucket, a running sum over the ordered scores (a window
@@ -32,23 +31,25 @@ from pyspark.sql import functions as F
 from tablefit.functions.expr import as_col
 
 DEFAULT_ROWS_PER_BUCKET = 2_000_000
-DEFAULT_MAX_BUCKETS = 16_384
+LEAST_BUCKETS = 64
 
 
 def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction",
                        group_by: Sequence[str] = ()) -> DataFrame:
-    """n, rmse, mse, mae, r2 (= 1 - mse / population variance of the label)."""
-    y = F.col(label).cast("double")
-    err = y - F.col(prediction).cast("double")
+    """n, rmse, mse, mae, r2 (= 1 - mse / population variance of the label), all over
+    the rows with a label and a prediction, and ``n_dropped``, the others."""
+    err = F.col(label).cast("double") - F.col(prediction).cast("double")
+    y = F.when(err.isNotNull(), F.col(label).cast("double"))
     aggs = [
-        F.count(F.lit(1)).alias("n"),
+        F.count(err).alias("n"),
+        F.count_if(err.isNull()).alias("n_dropped"),
         F.avg(err * err).alias("mse"),
         F.avg(F.abs(err)).alias("mae"),
         F.var_pop(y).alias("_var"),
     ]
     g = df.groupBy(*group_by).agg(*aggs) if group_by else df.agg(*aggs)
     return g.select(
-        *group_by, "n",
+        *group_by, "n", "n_dropped",
         F.sqrt("mse").alias("rmse"), "mse", "mae",
         (F.lit(1.0) - F.try_divide(F.col("mse"), F.col("_var"))).alias("r2"),
     )
@@ -100,26 +101,30 @@ def binary_metrics(df: DataFrame, label: str = "label", prediction: str = "predi
 
 def auc(df: DataFrame, label: str = "label", score: str | Column = "score",
         buckets: int | None = None, accuracy: int | None = None, positive: float = 1.0,
-        group_by: Sequence[str] = (), rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-        max_buckets: int = DEFAULT_MAX_BUCKETS) -> DataFrame:
-    """Exact area under ROC of a score, one row per group: ``(*group_by, auc)``.
+        group_by: Sequence[str] = (), rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+    """Exact area under ROC of a score, one row per group: ``(*group_by, auc, n_dropped)``.
+
+    ``n_dropped`` counts the rows left out: null or NaN score, or null label.
 
     See the module doc; with ``group_by`` (e.g. a ``model`` column of stacked
     predictions) every group is ranked separately in the same jobs.  By
     default the number of score ranges follows the number of distinct scores
-    (about ``rows_per_bucket`` each, at most ``max_buckets``), so the ordered
+    (about ``rows_per_bucket`` each, ``LEAST_BUCKETS`` at least), so the ordered
     slice one window task holds stays bounded as the data grows; ``buckets``
     fixes it instead.
     """
     keys = list(group_by)
     s = as_col(score).cast("double")
     base = df.select(*keys, s.alias("s"), (F.col(label).cast("double") == F.lit(positive)).alias("y"))
-    base = base.where(F.col("s").isNotNull() & ~F.isnan("s") & F.col("y").isNotNull())
-    g = base.groupBy(*keys, "s").agg(
+    # rows without a score or label are counted in one more group, whose score is null
+    usable = F.col("s").isNotNull() & ~F.isnan("s") & F.col("y").isNotNull()
+    counted = base.groupBy(*keys, F.when(usable, F.col("s")).alias("s")).agg(
         F.count_if(F.col("y")).cast("double").alias("pos"),
         F.count_if(~F.col("y")).cast("double").alias("neg"),
+        F.count(F.lit(1)).alias("rows"),
     )
-    bounds = _score_boundaries(g, buckets, accuracy, rows_per_bucket, max_buckets)
+    g = counted.where(F.col("s").isNotNull())
+    bounds = _score_boundaries(g, buckets, accuracy, rows_per_bucket)
     if bounds:
         splits = [float("-inf")] + bounds + [float("inf")]
         gb = Bucketizer(splits=splits, inputCol="s", outputCol="b").transform(g)
@@ -135,7 +140,10 @@ def auc(df: DataFrame, label: str = "label", score: str | Column = "score",
         "below", F.col("neg_before") + F.coalesce(F.sum("neg").over(within), F.lit(0.0)))
     agg = F.try_divide(F.sum(F.col("pos") * (F.col("below") + F.lit(0.5) * F.col("neg"))),
                        F.sum("pos") * F.sum("neg")).alias("auc")
-    return ranked.groupBy(*keys).agg(agg) if keys else ranked.agg(agg)
+    dropped = F.sum(F.when(F.col("s").isNull(), F.col("rows")).otherwise(0)).alias("n_dropped")
+    if not keys:
+        return ranked.agg(agg).join(counted.agg(F.coalesce(dropped, F.lit(0)).alias("n_dropped")))  # one row each
+    return counted.groupBy(*keys).agg(dropped).join(ranked.groupBy(*keys).agg(agg), keys, "left").select(*keys, "auc", "n_dropped")
 
 
 def _quantile_grid(g: DataFrame, grid: int, accuracy: int | None, with_count: bool = False):
@@ -150,20 +158,14 @@ def _quantile_grid(g: DataFrame, grid: int, accuracy: int | None, with_count: bo
 
 
 def _score_boundaries(g: DataFrame, buckets: int | None, accuracy: int | None,
-                      rows_per_bucket: int, max_buckets: int, coarse: int = 64) -> list[float]:
+                      rows_per_bucket: int) -> list[float]:
     """Range boundaries over the distinct scores.  One pass gives their count
-    and a coarse grid; a finer grid costs a second pass only when the count
-    asks for more than ``coarse`` ranges."""
+    and a grid of ``LEAST_BUCKETS`` ranges; a finer grid costs a second pass."""
     if buckets is not None:
         return _quantile_grid(g, buckets, accuracy)[0]
-    bounds, n = _quantile_grid(g, coarse, accuracy, with_count=True)
-    wanted = min(max_buckets, max(1, -(-n // rows_per_bucket)))
-    if wanted <= 1:
-        return []
-    if wanted > coarse:
-        return _quantile_grid(g, wanted, accuracy)[0]
-    step = max(1, len(bounds) // wanted)
-    return bounds[step - 1::step]
+    bounds, n = _quantile_grid(g, LEAST_BUCKETS, accuracy, with_count=True)
+    wanted = -(-n // rows_per_bucket)
+    return _quantile_grid(g, wanted, accuracy)[0] if wanted > LEAST_BUCKETS else bounds
 
 
 def stack_predictions(df: DataFrame, models: dict, label: str = "label",
@@ -202,16 +204,15 @@ def model_metrics(stacked: DataFrame) -> DataFrame:
 
 def leaderboard(bundles: Sequence[DataFrame], metric: str = "balanced_accuracy",
                 larger_is_better: bool = True) -> DataFrame:
-    """Union of one-row-per-model metric frames, best first; ties go to the
-    faster fit (``fit_seconds``, when measured), then to the model name."""
+    """Union of one-row-per-model metric frames, best first, with its ``rank``;
+    ties (to ten digits) go by the model name."""
     out = bundles[0]
     for b in bundles[1:]:
         out = out.unionByName(b, allowMissingColumns=True)
-    order = [F.desc(metric) if larger_is_better else F.asc(metric)]
-    if "fit_seconds" in out.columns:
-        order.append(F.asc("fit_seconds"))
-    order.append(F.asc("model"))
-    return out.withColumn("ranked_by", F.lit(metric)).orderBy(*order)
+    value = F.round(F.col(metric), 10)
+    order = [value.desc_nulls_last() if larger_is_better else value.asc_nulls_last(), F.asc("model")]
+    ranked = out.withColumn("rank", F.row_number().over(Window.orderBy(*order)))  # one row per model
+    return ranked.withColumn("ranked_by", F.lit(metric)).orderBy("rank")
 
 
 def stack_regressions(df: DataFrame, models: dict, label: str = "label") -> DataFrame:

@@ -145,15 +145,20 @@ def fit_features(pipeline: Pipeline, df: DataFrame, train: DataFrame | None = No
     """
     if fit_on not in ("train", "all"):
         raise ValueError("fit_on must be 'train' or 'all'")
-    source = df if fit_on == "all" or train is None else train
+    if fit_on == "train" and train is None:
+        raise ValueError("fit_on='train' needs the training rows; fit_on='all' fits on the whole table")
+    source = df if fit_on == "all" else train
     # each stage's fit is one or more aggregation passes over the same rows
-    source.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = source.storageLevel.useMemory or source.storageLevel.useDisk
+    if not cached:
+        source.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if max_categories is not None:
             check_cardinality(source, _indexed_columns(pipeline), max_categories)
         return pipeline.fit(source)
     finally:
-        source.unpersist()
+        if not cached:
+            source.unpersist()
 
 
 def modelling_frame(model: PipelineModel, df: DataFrame, id_col: str, label_col: str = "label",

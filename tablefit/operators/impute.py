@@ -102,7 +102,7 @@ class MissingValueImputerModel(Model, _ImputerParams, DefaultParamsReadable, Def
             missing = c.isNull()
             if isinstance(dtype, (DoubleType, FloatType)):
                 missing = missing | F.isnan(c)
-            out[oc] = F.when(missing, F.lit(value)).otherwise(c).cast(dtype)
+            out[oc] = F.when(missing, F.lit(value).cast(dtype)).otherwise(c)
         return dataset.withColumns(out)
 
 

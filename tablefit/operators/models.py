@@ -70,12 +70,15 @@ def with_checkpointing(est, spark: SparkSession, interval: int = 10):
 @contextmanager
 def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
     """Keep a frame cached for the duration of iterative fits; lost blocks are
-    recomputed from lineage."""
-    df.persist(level)
+    recomputed from lineage.  A frame that came in cached stays as it is."""
+    cached = df.storageLevel.useMemory or df.storageLevel.useDisk
+    if not cached:
+        df.persist(level)
     try:
         yield df
     finally:
-        df.unpersist()
+        if not cached:
+            df.unpersist()
 
 
 def coefficients_frame(spark: SparkSession, model, scored: DataFrame, features_col: str = "features",

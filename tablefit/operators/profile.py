@@ -22,6 +22,17 @@ from tablefit.functions.expr import as_col, round_half_away
 MAX_CORRELATION_COLUMNS = 1024
 
 
+def _c(name: str) -> Column:
+    """A column by its literal name (dots and backticks included)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _long(wide: DataFrame, names: Sequence[str], rows: Sequence[Sequence[Column]]) -> DataFrame:
+    """One row of aggregates to one row for each list of columns."""
+    structs = [F.struct(*[x.alias(n) for n, x in zip(names, row, strict=True)]) for row in rows]
+    return wide.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
+
+
 def row_count(df: DataFrame, alias: str = "n_rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(alias))
 
@@ -53,26 +64,22 @@ def preview(df: DataFrame, n: int = 20, order_by: Sequence[str | Column] = ()) -
 def summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """count / mean / sample stddev / min / max per column, numbers not strings.
 
-    One aggregation over all columns, then unpivoted with ``stack`` to one row
+    One aggregation over all columns, then unpivoted to one row
     per column: ``(column_name, count, mean, stddev, min, max)``.
     """
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
+        x = _c(c).try_cast("double")  # strings that are no numbers only count
         aggs += [
-            F.count(F.col(c)).alias(f"n{i}"),
+            F.count(_c(c)).alias(f"n{i}"),
             F.avg(x).alias(f"mean{i}"),
             F.stddev_samp(x).alias(f"sd{i}"),
             F.min(x).alias(f"min{i}"),
             F.max(x).alias(f"max{i}"),
         ]
     wide = df.agg(*aggs)
-    parts = ", ".join(
-        f"'{c}', n{i}, mean{i}, sd{i}, min{i}, max{i}" for i, c in enumerate(cols)
-    )
-    return wide.selectExpr(
-        f"stack({len(cols)}, {parts}) as (column_name, count, mean, stddev, min, max)"
-    )
+    return _long(wide, ("column_name", "count", "mean", "stddev", "min", "max"),
+                 [[F.lit(c), *[F.col(f"{n}{i}") for n in ("n", "mean", "sd", "min", "max")]] for i, c in enumerate(cols)])
 
 
 def aggregate(df: DataFrame, spec: Sequence[tuple[str, str, str]]) -> DataFrame:
@@ -117,8 +124,9 @@ def contingency(df: DataFrame, label: str, attributes: Sequence[str],
     long = df.select(label, *values).unpivot(
         ids=[label], values=attributes, variableColumnName="attribute", valueColumnName="value"
     )
+    # attributes of different types became strings: numbers among them still sort as numbers
     return (long.groupBy(label, "attribute", "value").agg(F.count(F.lit(1)).alias(alias))
-            .orderBy(label, "attribute", "value"))
+            .orderBy(label, "attribute", *([F.col("value").try_cast("double")] if len(types) > 1 else []), "value"))
 
 
 def missing(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -130,14 +138,13 @@ def missing(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     cols = list(cols or df.columns)
     aggs = []
     for i, c in enumerate(cols):
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"nul{i}"))
+        aggs.append(F.count_if(_c(c).isNull()).alias(f"nul{i}"))
         if isinstance(df.schema[c].dataType, (DoubleType, FloatType)):
-            aggs.append(F.count_if(F.isnan(F.col(c))).alias(f"nan{i}"))
+            aggs.append(F.count_if(F.isnan(_c(c))).alias(f"nan{i}"))
         else:
             aggs.append(F.lit(0).cast("bigint").alias(f"nan{i}"))
     wide = df.agg(*aggs)
-    parts = ", ".join(f"'{c}', nul{i}, nan{i}" for i, c in enumerate(cols))
-    return wide.selectExpr(f"stack({len(cols)}, {parts}) as (column_name, n_null, n_nan)")
+    return _long(wide, ("column_name", "n_null", "n_nan"), [[F.lit(c), F.col(f"nul{i}"), F.col(f"nan{i}")] for i, c in enumerate(cols)])
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False,
@@ -149,9 +156,8 @@ def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False,
     constant memory per column, for very wide or very large tables.
     """
     fn = (lambda c: F.approx_count_distinct(c, rsd)) if approx else F.count_distinct
-    wide = df.agg(*[fn(F.col(c)).alias(f"d{i}") for i, c in enumerate(cols)])
-    parts = ", ".join(f"'{c}', d{i}" for i, c in enumerate(cols))
-    return wide.selectExpr(f"stack({len(cols)}, {parts}) as (column_name, n_distinct)")
+    wide = df.agg(*[fn(_c(c)).alias(f"d{i}") for i, c in enumerate(cols)])
+    return _long(wide, ("column_name", "n_distinct"), [[F.lit(c), F.col(f"d{i}")] for i, c in enumerate(cols)])
 
 
 def correlation_long(df: DataFrame, cols: Sequence[str], method: str = "pearson",
@@ -162,8 +168,9 @@ def correlation_long(df: DataFrame, cols: Sequence[str], method: str = "pearson"
     tree-aggregated job, any method Spark ML has, e.g. spearman); only the
     d x d result comes to the driver, and d is capped.
     ``via="agg"``: pairwise ``corr`` aggregates in one job (pearson only), no
-    driver round trip; the diagonal is 1.0 by definition.
-    Nulls must be removed or imputed first (the assembler rejects them).
+    driver round trip; each pair is taken over the rows that have both values,
+    the diagonal is 1.0 by definition, NaN for a column without values.
+    ``via="matrix"`` needs nulls removed or imputed first (the assembler rejects them).
     """
     cols = list(cols)
     d = len(cols)
@@ -176,21 +183,18 @@ def correlation_long(df: DataFrame, cols: Sequence[str], method: str = "pearson"
         aggs, pairs = [], []
         for i in range(d):
             for j in range(i + 1, d):
-                x, y = F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")
+                x, y = _c(cols[i]).cast("double"), _c(cols[j]).cast("double")
+                both = x.isNotNull() & y.isNotNull()
+                x, y = F.when(both, x), F.when(both, y)
                 # ``corr`` raises DIVIDE_BY_ZERO under ANSI mode on a constant column
                 aggs.append(F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
                             .alias(f"c{i}_{j}"))
                 pairs.append((i, j))
-        if not aggs:
-            return spark.createDataFrame([(cols[0], cols[0], 1.0)], "x string, y string, corr double")
-        wide = df.agg(*aggs)
-        parts = []
-        for i in range(d):
-            parts.append(f"'{cols[i]}', '{cols[i]}', CAST(1.0 AS DOUBLE)")
-        for i, j in pairs:
-            parts.append(f"'{cols[i]}', '{cols[j]}', coalesce(c{i}_{j}, CAST('NaN' AS DOUBLE))")
-            parts.append(f"'{cols[j]}', '{cols[i]}', coalesce(c{i}_{j}, CAST('NaN' AS DOUBLE))")
-        return wide.selectExpr(f"stack({len(parts)}, {', '.join(parts)}) as (x, y, corr)")
+        aggs += [(F.count(_c(c)) > 0).alias(f"v{i}") for i, c in enumerate(cols)]
+        nan = F.lit(float("nan"))
+        rows = [[F.lit(c), F.lit(c), F.when(F.col(f"v{i}"), 1.0).otherwise(nan)] for i, c in enumerate(cols)]
+        rows += [[F.lit(cols[a]), F.lit(cols[b]), F.coalesce(f"c{i}_{j}", nan)] for i, j in pairs for a, b in ((i, j), (j, i))]
+        return _long(df.agg(*aggs), ("x", "y", "corr"), rows)
 
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.stat import Correlation

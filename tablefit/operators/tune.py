@@ -1,8 +1,10 @@
 """Grid search by k-fold cross-validation.
 
 Folds come from a hash of the key (``split.with_folds``) through
-``CrossValidator(foldCol=...)``, so every fold -- and so the chosen model --
-is the same on every run and partitioning.  ``parallelism`` fits grid points
+``CrossValidator(foldCol=...)``, so every fold is the same on every run and
+partitioning.  Metrics are sums of floating-point numbers whose order may
+differ from run to run; so the best point is chosen on metrics rounded to
+``METRIC_DIGITS`` digits, the first of the grid among equals.  ``parallelism`` fits grid points
 concurrently (driver threads, each fit itself distributed).  The training
 frame is persisted for the k x |grid| + 1 fits.
 """
@@ -19,6 +21,29 @@ from pyspark.sql import DataFrame, SparkSession
 from tablefit.operators.models import persisted
 
 
+METRIC_DIGITS = 10
+
+
+def best_point(metrics: Sequence[float], larger_is_better: bool) -> int:
+    """Index of the best rounded metric, the lowest among equals; NaN is never best."""
+    def key(i: int):
+        m = round(metrics[i], METRIC_DIGITS) if metrics[i] == metrics[i] else float("-inf" if larger_is_better else "inf")
+        return (-m if larger_is_better else m, i)
+
+    return min(range(len(metrics)), key=key)
+
+
+def _chosen(model: CrossValidatorModel, est, train: DataFrame) -> CrossValidatorModel:
+    """The model of the best point by ``best_point``: refitted where the search kept another one."""
+    larger = model.getEvaluator().isLargerBetter()
+    metrics = list(model.avgMetrics)
+    kept = max(range(len(metrics)), key=lambda i: metrics[i] if larger else -metrics[i])
+    best = best_point(metrics, larger)
+    if best != kept:
+        model.bestModel = est.fit(train, model.getEstimatorParamMaps()[best])
+    return model
+
+
 def param_grid(est, grid: Mapping[str, Sequence]) -> list:
     """Cartesian grid over named params of ``est``."""
     builder = ParamGridBuilder()
@@ -42,7 +67,7 @@ def cross_validate(est, grid: Mapping[str, Sequence], train: DataFrame, evaluato
     if fold_col:
         cv = cv.setFoldCol(fold_col)
     with persisted(train):
-        return cv.fit(train)
+        return _chosen(cv.fit(train), est, train)
 
 
 def _param_value(v):
@@ -54,8 +79,7 @@ def cv_results(spark: SparkSession, cv_model: CrossValidatorModel) -> DataFrame:
     maps = cv_model.getEstimatorParamMaps()
     means = list(cv_model.avgMetrics)
     stds = list(cv_model.stdMetrics) if cv_model.stdMetrics else [None] * len(means)
-    larger = cv_model.getEvaluator().isLargerBetter()
-    best = max(range(len(means)), key=lambda i: means[i] if larger else -means[i])
+    best = best_point(means, cv_model.getEvaluator().isLargerBetter())
     rows = []
     for i, (pm, m, s) in enumerate(zip(maps, means, stds)):
         params = json.dumps({p.name: _param_value(v) for p, v in sorted(pm.items(), key=lambda kv: kv[0].name)})
@@ -88,4 +112,4 @@ def cross_validate_pipeline(pipeline, final_stage, grid: Mapping[str, Sequence],
                         evaluator=evaluator or auc_evaluator(), numFolds=num_folds,
                         parallelism=parallelism, seed=seed, foldCol=fold_col)
     with persisted(train):
-        return cv.fit(train)
+        return _chosen(cv.fit(train), pipeline, train)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tablefit.operators import features, profile, split
 from tablefit.operators.impute import MissingValueImputer
+from tablefit.operators.models import persisted
+from tablefit.operators.quantile import exact_quantiles
 from tablefit.plans.profile_queries import PAY, prepared_clients
 from tablefit.plans.registry import query
 from tablefit.sources import blocks, numeric_columns
@@ -35,6 +37,28 @@ def q_impute_median(spark, base):
     return profile.with_rounded(out, {c: 6 for c in _RATIO})
 
 
+@query("impute_median_refined", "F2",
+       "SELECT 'balance' AS column_name, quantile_disc(balance, 0.5) AS median FROM blocks UNION ALL "
+       "SELECT 'total_value', quantile_disc(total_value, 0.5) FROM blocks UNION ALL "
+       "SELECT 'lines', quantile_disc(lines, 0.5)::DOUBLE FROM blocks")
+def q_impute_median_refined(spark, base):
+    """The exact median with coarse sketches and a short final list, so that all of its rounds run on any table."""
+    cols = ["balance", "total_value", "lines"]
+    with persisted(blocks(spark, base).select(*cols)) as df:
+        found = exact_quantiles(df, cols, 0.5, accuracy=100, final_limit=100)
+    return spark.createDataFrame([(c, found[c]) for c in cols], "column_name string, median double")
+
+
+@query("impute_bigint", "F2",
+       "WITH k AS (SELECT block_id, CASE WHEN lines IS NOT NULL THEN block_id + 9007199254740993 END AS big FROM blocks) "
+       "SELECT block_id, CASE WHEN big IS NULL THEN -1 ELSE big END AS big FROM k")
+def q_impute_bigint(spark, base):
+    """Integers beyond 2^53 that are not missing stay as they are (imputed ones are shown as -1)."""
+    df = blocks(spark, base).selectExpr("block_id", "CASE WHEN lines IS NOT NULL THEN block_id + 9007199254740993 END AS big")
+    model = MissingValueImputer(inputCols=["big"], outputCols=["filled"], strategy="mean").fit(df)
+    return model.transform(df).selectExpr("block_id", "CASE WHEN big IS NULL THEN -1 ELSE filled END AS big")
+
+
 @query("impute_mean", "F2",
        "WITH mu AS (SELECT avg(total_qty) AS m_q, avg(lines) AS m_l FROM blocks) "
        "SELECT block_id, round(coalesce(total_qty, m_q), 6) AS total_qty, "

@@ -53,7 +53,7 @@ def _clients() -> str:
 
 
 def _split(name: str, table: str, key: str) -> str:
-    return f"{name} AS (SELECT *, CAST({hx(None, key)} % 100 AS INTEGER) AS bucket FROM {table})"
+    return f"{name} AS (SELECT *, CAST(({hx(None, key)} * 100) // 4294967296 AS INTEGER) AS bucket FROM {table})"
 
 
 def _clients_prep() -> str:

@@ -15,6 +15,7 @@ from tablefit.sources import (
     load,
     read_table,
     rename_strict,
+    schema_frame,
     write_csv,
 )
 
@@ -41,7 +42,7 @@ def q_row_count(spark, base):
     return profile.row_count(load(spark, base, "orders"))
 
 
-@query("csv_roundtrip", "S1,S2,S5,P4", "SELECT * FROM clients")
+@query("csv_roundtrip", "S1,S2,P4", "SELECT * FROM clients")
 def q_csv_roundtrip(spark, base):
     """Write clients as a raw CSV (headers as delivered: pay_0, default), read it
     back with header + inference, repair the schema by strict rename + cast."""
@@ -63,6 +64,24 @@ def q_csv_schema_read(spark, base):
     return read_table(spark, path, fmt="csv", schema=src.schema, header=True, sep=";")
 
 
+@query("csv_reordered_header", "S1",
+       "SELECT o_orderkey AS id, o_totalprice AS total, o_orderstatus AS status FROM orders")
+def q_csv_reordered_header(spark, base):
+    """A file whose header has the schema's columns in another order: they are taken by name."""
+    src = load(spark, base, "orders").selectExpr("o_orderstatus AS status", "o_totalprice AS total", "o_orderkey AS id")
+    path = write_csv(src, scratch_path(spark, "orders-csv"))
+    return read_table(spark, path, fmt="csv", schema="id BIGINT, total DOUBLE, status STRING", header=True)
+
+
+@query("schema_orders", "S5",
+       "SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name AS column, "
+       "CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' "
+       "WHEN 'DOUBLE' THEN 'double' WHEN 'DATE' THEN 'date' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS type, "
+       "\"null\" = 'YES' AS nullable FROM (DESCRIBE SELECT * FROM orders)")
+def q_schema_orders(spark, base):
+    return schema_frame(spark, load(spark, base, "orders"))
+
+
 @query("preview_first", "S7,O3,P2", "SELECT * FROM clients ORDER BY id LIMIT 5")
 def q_preview_first(spark, base):
     return profile.preview(clients(spark, base), 5, order_by=["id"])
@@ -301,8 +320,20 @@ def q_hash_folds(spark, base):
     return split.with_folds(clients(spark, base).select("id"), "id", 4)
 
 
-@query("random_split", "D1")
+@query("random_split", "D1", "SELECT count(*) AS n_rows, 0::BIGINT AS n_overlap FROM clients")
 def q_random_split(spark, base):
-    train, test = split.random_split(clients(spark, base), [0.8, 0.2], seed=1234)
-    return (train.agg(F.count(F.lit(1)).alias("n")).withColumn("split", F.lit("train"))
-            .unionByName(test.agg(F.count(F.lit(1)).alias("n")).withColumn("split", F.lit("test"))))
+    """Rows of both parts together, and keys that are in both."""
+    train, test = split.random_split(clients(spark, base).select("id"), [0.8, 0.2], seed=1234)
+    parts = train.withColumn("part", F.lit(1)).unionAll(test.withColumn("part", F.lit(2)))
+    by_key = parts.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("part").alias("k"))
+    return by_key.agg(F.sum("n").alias("n_rows"), F.count_if(F.col("k") > 1).alias("n_overlap"))
+
+
+@query("correlation_agg_nulls", "A11",
+       "SELECT 'ext_price' AS x, 'total_value' AS y, round(corr(ext_price, total_value), 8) AS corr FROM blocks "
+       "UNION ALL SELECT 'total_value', 'ext_price', round(corr(ext_price, total_value), 8) FROM blocks "
+       "UNION ALL SELECT 'ext_price', 'ext_price', 1.0 UNION ALL SELECT 'total_value', 'total_value', 1.0")
+def q_correlation_agg_nulls(spark, base):
+    """A column with nulls: each pair over the rows that have both values."""
+    out = profile.correlation_long(blocks(spark, base), ["ext_price", "total_value"], via="agg")
+    return profile.with_rounded(out, {"corr": 8})

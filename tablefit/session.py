@@ -49,7 +49,8 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     Reads ``spark.checkpoint.dir`` (or a directory already given to
     ``setCheckpointDir``).  If neither is set -- local runs only -- a fresh
-    temporary folder is created and registered as the checkpoint dir.
+    temporary folder is created and registered as the checkpoint dir; on a
+    cluster, where such a folder is not shared, this raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,6 +58,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tablefit-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

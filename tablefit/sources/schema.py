@@ -20,6 +20,8 @@ def rename_strict(df: DataFrame, mapping: Mapping[str, str | Iterable[str]],
     the target name then.
     """
     present = {c.lower(): c for c in df.columns}
+    if len(present) < len(df.columns):
+        raise ValueError(f"column names that differ only by case: {df.columns}")
     renames: dict[str, str] = {}
     for src, dst in mapping.items():
         if isinstance(dst, str):
@@ -32,7 +34,13 @@ def rename_strict(df: DataFrame, mapping: Mapping[str, str | Iterable[str]],
                 continue
             raise KeyError(f"cannot rename {candidates} -> {target!r}: no such column in {df.columns}")
         renames[hit] = target
-    return df.withColumnsRenamed(renames) if renames else df
+    after = [renames.get(c, c).lower() for c in df.columns]
+    if len(set(after)) < len(after):
+        raise ValueError(f"renaming {renames} makes two columns of one name")
+    if not renames:
+        return df
+    # one projection: renames that hand a name on (a -> b, b -> c) must not be chained
+    return df.select(*[F.col("`" + c.replace("`", "``") + "`").alias(renames.get(c, c)) for c in df.columns])
 
 
 def schema_frame(spark: SparkSession, df: DataFrame) -> DataFrame:

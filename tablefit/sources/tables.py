@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 TABLES = (
@@ -26,18 +27,32 @@ def read_table(
     header: bool = True,
     sep: str = ",",
     infer_schema: bool | None = None,
+    **options,
 ) -> DataFrame:
-    """Read one table.
+    """Read one table; ``options`` go to the reader (quote, escape, nullValue, multiLine, mode, ...).
 
     CSV: with ``schema`` given, no inference job runs (production route);
     without it the header names the columns and types are inferred by a
-    separate pass over the file (the route of an exploratory session).
+    separate pass over the file (the route of an exploratory session).  With
+    a schema and a header, columns are taken by their header names, in whatever
+    order the file has them, and a value that is not of its type fails the
+    read; without a header they go by position, malformed lines failing
+    unless ``mode`` says otherwise.
     """
-    reader = spark.read.format(fmt)
+    reader = spark.read.format(fmt).options(**options)
     if fmt == "csv":
         reader = reader.option("header", header).option("sep", sep)
         if schema is None:
             reader = reader.option("inferSchema", True if infer_schema is None else infer_schema)
+        elif header:
+            wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+            named = reader.option("inferSchema", False).load(path)
+            absent = [f.name for f in wanted.fields if f.name not in named.columns]
+            if absent:
+                raise KeyError(f"no column {absent} in the header {named.columns}")
+            return named.select(*[F.col("`" + f.name.replace("`", "``") + "`").cast(f.dataType).alias(f.name) for f in wanted.fields])
+        elif "mode" not in options:
+            reader = reader.option("mode", "FAILFAST")
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)

@@ -4,13 +4,14 @@ one-pass profiles really scan once with partial aggregation."""
 import pytest
 
 import __spark_entry__ as entry
+from tablefit.plans import catalogue
 
 
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalogue.oracle_sql()))
 def test_no_python_udf_in_plan(spark, sf_small, name):
     plan = _plan(entry.queries()[name](spark, sf_small))
     assert "EvalPython" not in plan and "PythonUDF" not in plan
