@@ -13,10 +13,14 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
+from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablefit.operators.models import persisted
 
@@ -95,21 +99,32 @@ def best_params(spark: SparkSession, cv_model: CrossValidatorModel, names: Seque
     return spark.createDataFrame(rows, "param string, value string")
 
 
-def pipeline_grid(final_stage, grid: Mapping[str, Sequence]) -> list:
-    """Grid over params of the final stage of a pipeline (the whole pipeline
-    is what ``CrossValidator`` refits per fold, so no fitted statistic --
-    median, deviation, category list -- leaks from validation to training)."""
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(final_stage.getParam(name), list(values))
-    return builder.build()
-
-
-def cross_validate_pipeline(pipeline, final_stage, grid: Mapping[str, Sequence], train: DataFrame,
+def cross_validate_pipeline(prep, final_stage, grid: Mapping[str, Sequence], train: DataFrame,
                             evaluator=None, fold_col: str = "fold", num_folds: int = 3,
-                            parallelism: int = 1, seed: int = 1234) -> CrossValidatorModel:
-    cv = CrossValidator(estimator=pipeline, estimatorParamMaps=pipeline_grid(final_stage, grid),
-                        evaluator=evaluator or auc_evaluator(), numFolds=num_folds,
-                        parallelism=parallelism, seed=seed, foldCol=fold_col)
-    with persisted(train):
-        return _chosen(cv.fit(train), pipeline, train)
+                            parallelism: int = 1) -> CrossValidatorModel:
+    """Cross-validate ``final_stage`` behind a feature pipeline that is fitted on
+    each fold's own training rows, so no fitted statistic -- median, deviation,
+    category list -- leaks from validation to training.
+
+    The features do not depend on the grid: they are fitted once per fold, and
+    the grid is searched on the transformed rows.  The best model is the whole
+    pipeline, refitted on all rows.
+    """
+    evaluator = evaluator or auc_evaluator()
+    maps = param_grid(final_stage, grid)
+    metrics: list[list[float]] = [[] for _ in maps]
+    for fold in range(num_folds):
+        fitted = prep.fit(train.where(F.col(fold_col) != fold))
+        seen = fitted.transform(train.where(F.col(fold_col) != fold))
+        held = fitted.transform(train.where(F.col(fold_col) == fold))
+        with persisted(seen), persisted(held), ThreadPool(parallelism) as pool:
+            score = inheritable_thread_target(train.sparkSession)(
+                lambda point, seen=seen, held=held: evaluator.evaluate(final_stage.fit(seen, point).transform(held)))
+            for i, m in enumerate(pool.map(score, maps)):
+                metrics[i].append(m)
+    means = [sum(m) / num_folds for m in metrics]
+    stds = [(sum((x - mean) ** 2 for x in m) / num_folds) ** 0.5 for m, mean in zip(metrics, means)]
+    best = maps[best_point(means, evaluator.isLargerBetter())]
+    model = Pipeline(stages=[prep, final_stage.copy(best)]).fit(train)
+    out = CrossValidatorModel(model, avgMetrics=means, stdMetrics=stds)
+    return out._set(estimatorParamMaps=maps, evaluator=evaluator, numFolds=num_folds)

@@ -457,17 +457,15 @@ def q_rf_regression_cv(spark, base):
 
 @query("cv_leak_free", "T1,T2,T3,T6,F8,D2")
 def q_cv_leak_free(spark, base):
-    """Cross-validate the feature pipeline and the classifier together: each
-    fold refits imputation, scaling and one-hot widths on its own training
-    rows (unseen codes in a validation fold are kept as an all-zero slot)."""
-    from pyspark.ml import Pipeline
-
+    """The surveyed logistic search with the features refitted on each fold's own
+    training rows: imputation, scaling and one-hot widths (unseen codes in a
+    validation fold are kept as an all-zero slot)."""
+    name = "logistic_regression"
     df, pipe = client_features(spark, base, handle_invalid="keep")
-    train = split.with_folds(df.where(F.col("split") == "train"), "id", 3)
+    train = split.with_folds(df.where(F.col("split") == "train"), "id", models.FOLDS[name])
     train = cut_lineage(train.withColumn("label", F.col("label").cast("double")))
-    lr = models.estimator("logistic_regression")
-    whole = Pipeline(stages=[pipe, lr])
-    cvm = tune.cross_validate_pipeline(whole, lr, {"regParam": [0.1, 0.0]}, train, num_folds=3, parallelism=2)
+    cvm = tune.cross_validate_pipeline(pipe, models.estimator(name), models.GRIDS[name], train,
+                                       num_folds=models.FOLDS[name], parallelism=8)
     return tune.cv_results(spark, cvm)
 
 

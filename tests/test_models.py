@@ -84,3 +84,23 @@ def test_exact_quantile_property(spark, values, p):
     want = valid[max(1, math.ceil(p * len(valid))) - 1] if valid else None
     got = exact_quantiles(df, ["x"], p, accuracy=4, final_limit=3)["x"]
     assert got == want
+
+
+def test_leak_free_search_fits_features_on_the_other_folds(spark):
+    from pyspark.ml.evaluation import RegressionEvaluator
+
+    rows = [(float(i), float(3 * i % 11), i % 3) for i in range(60)] + [(1e6, 1.0, 0)]
+    train = spark.createDataFrame(rows, "x double, label double, fold int")
+    prep = features.numeric_stage(["x"], output_col="features", with_mean=True)
+    est = models.estimator("linear_regression")
+    cvm = tune.cross_validate_pipeline(prep, est, {"regParam": [0.0, 5.0]}, train, RegressionEvaluator(metricName="rmse"),
+                                       num_folds=3, parallelism=2)
+    assert len(cvm.avgMetrics) == len(cvm.stdMetrics) == 2
+    assert cvm.bestModel.transform(train).count() == 61
+    fold = []
+    for k in range(3):
+        fitted = prep.fit(train.where(f"fold <> {k}"))
+        model = est.copy({est.regParam: 5.0}).fit(fitted.transform(train.where(f"fold <> {k}")))
+        fold.append(RegressionEvaluator(metricName="rmse").evaluate(model.transform(fitted.transform(train.where(f"fold = {k}")))))
+    assert cvm.avgMetrics[1] == pytest.approx(sum(fold) / 3, rel=1e-9)
+    assert sum(r.is_best for r in tune.cv_results(spark, cvm).collect()) == 1
