@@ -72,6 +72,19 @@ def map_text(
     return given.mapInArrow(run, schema).select(*[F.col(n).alias(c) for n, c in zip(passed, [*kept, *names], strict=True)])
 
 
+def hand_out(spark: SparkSession, data):
+    """Broadcast of plain data of a size that the caller bounds, for ``in_worker``."""
+    return spark.sparkContext.broadcast({"data": data})
+
+
+def in_worker(shared, build: Callable):
+    """``build(data)``, once for each worker process: what it remembers serves all tasks that the process runs."""
+    held = shared.value
+    if "made" not in held:
+        held["made"] = build(held["data"])
+    return held["made"]
+
+
 def quoted(name: str) -> Column:
     """A column by its literal name (dots and backticks included)."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -7,6 +7,8 @@ import re
 import sentencepiece
 from pyspark.sql import SparkSession
 
+from tablefit.llm.common import hand_out
+
 SPACE = "▁"  # stands for a space in pieces
 _CHUNKS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 #: A vocabulary file is bounded by its number of pieces; larger files are refused rather than broadcast.
@@ -14,12 +16,12 @@ MAX_MODEL_BYTES = 64 * 1024 * 1024
 
 
 def shared_model(spark: SparkSession, path: str):
-    """Broadcast of the model file's bytes."""
+    """The model file's bytes, handed out to the workers."""
     with open(path, "rb") as f:
         data = f.read(MAX_MODEL_BYTES + 1)
     if len(data) > MAX_MODEL_BYTES:
         raise ValueError(f"{path} is larger than {MAX_MODEL_BYTES} bytes")
-    return spark.sparkContext.broadcast(data)
+    return hand_out(spark, data)
 
 
 class Pieces:
@@ -35,6 +37,7 @@ class Pieces:
         self.bytes_of = {i: b for b, i in self.byte_ids.items()}
         self.hidden = {i for i in range(len(self.strings)) if sp.is_control(i)}
         self.eos = sp.eos_id()
+        self.special = frozenset(self.bytes_of) | self.hidden
         if len(self.byte_ids) != 256:
             raise ValueError("the vocabulary has no byte pieces to fall back on")
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):

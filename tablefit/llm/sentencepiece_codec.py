@@ -14,19 +14,20 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tablefit.llm.common import map_text
+from tablefit.llm.common import in_worker, map_text
 from tablefit.llm.pieces import SPACE, Pieces, chunks, shared_model
 
-#: Chunks kept with their encoding in each task, and the longest one kept.
+#: Chunks that a worker keeps with their encoding (twice, latest and older ones), the longest one kept, and the pairs of pieces it remembers.
 CACHE_CHUNKS = 200_000
-CACHE_CHARS = 64
+CACHE_CHARS = 40
+CACHE_PAIRS = 500_000
 
 
 def merge(chars: str, scores: dict[str, float]) -> list[str]:
@@ -60,21 +61,15 @@ class Encoder:
             self.automaton.add_word(p, len(p))
         self.automaton.make_automaton()
         self.fits: dict[tuple[str, str], bool] = {}
-        self.stands: dict[str, bool] = {}
-        self.known: dict[str, tuple[list[int], str, str]] = {}
+        self.known: dict[str, tuple[int, str, str]] = {}
+        self.older: dict[str, tuple[int, str, str]] = {}
 
     def compatible(self, left: str, right: str) -> bool:
-        """Whether both come out as themselves when their join is merged anew."""
-        key = (left, right)
-        if (ok := self.fits.get(key)) is None:
-            if len(self.fits) >= CACHE_CHUNKS:
-                self.fits.clear()
-            ok = self.fits[key] = merge(left + right, self.pieces.scores) == [left, right]
-        return ok
-
-    def reachable(self, piece: str) -> bool:
-        if (ok := self.stands.get(piece)) is None:
-            ok = self.stands[piece] = merge(piece, self.pieces.scores) == [piece]
+        """Whether both come out as themselves when their join is merged anew (``right`` alone after an empty ``left``)."""
+        if len(self.fits) >= CACHE_PAIRS:
+            self.fits.clear()
+        ok = merge(left + right, self.pieces.scores) == ([left, right] if left else [right])
+        self.fits[left, right] = ok
         return ok
 
     def backtrack(self, run: str) -> list[str]:
@@ -83,50 +78,61 @@ class Encoder:
         lengths: list[list[int]] = [[] for _ in range(n)]
         for end, size in self.automaton.iter(run):  # by end, so ascending for each start
             lengths[end + 1 - size].append(size)
-        failed = bytearray(n // 8 + 1)
-        taken: list[tuple[str, int]] = []  # piece, index of its length among the matches at its start
+        fits, compatible = self.fits.get, self.compatible
+        failed: bytearray | None = None
+        taken: list[str] = []
+        tried: list[int] = []  # of each piece taken, the index of its length among the matches at its start
+        last = ""
         pos, choice = 0, len(lengths[0]) - 1
         while pos < n:
+            sizes = lengths[pos]
             while choice >= 0:
-                size = lengths[pos][choice]
-                end = pos + size
-                if not failed[end >> 3] >> (end & 7) & 1:
+                end = pos + sizes[choice]
+                if failed is None or not failed[end >> 3] >> (end & 7) & 1:
                     piece = run[pos:end]
-                    if self.compatible(taken[-1][0], piece) if taken else self.reachable(piece):
+                    ok = fits((last, piece))
+                    if compatible(last, piece) if ok is None else ok:
                         break
                 choice -= 1
             if choice >= 0:
-                taken.append((piece, choice))
-                pos = end
-                choice = len(lengths[pos]) - 1 if pos < n else -1
+                taken.append(piece)
+                tried.append(choice)
+                last, pos = piece, end
+                if pos < n:
+                    choice = len(lengths[pos]) - 1
             else:
+                if failed is None:
+                    failed = bytearray(n // 8 + 1)
                 failed[pos >> 3] |= 1 << (pos & 7)
-                piece, choice = taken.pop()
-                pos -= len(piece)
-                choice -= 1
-        return [p for p, _ in taken]
+                pos -= len(taken.pop())
+                choice = tried.pop() - 1
+                last = taken[-1] if taken else ""
+        return taken
 
     def chunk_ids(self, chunk: str) -> list[int]:
         ids, known = self.pieces.ids, self.pieces.byte_ids
+        if ids.keys() >= set(chunk):
+            return [ids[p] for p in self._run(chunk)]
         out: list[int] = []
         start = 0
         for i, c in enumerate(chunk):
             if c not in ids:  # merges never reach over an unknown character; it becomes its bytes
-                out += self._run(chunk[start:i])
+                out += [ids[p] for p in self._run(chunk[start:i])]
                 out += [known[b] for b in c.encode("utf-8", "replace")]
                 start = i + 1
-        return out + self._run(chunk[start:])
+        return out + [ids[p] for p in self._run(chunk[start:])]
 
-    def _run(self, run: str) -> list[int]:
+    def _run(self, run: str) -> list[str]:
         if not run:
             return []
-        pieces = merge(run, self.pieces.scores) if run.startswith(SPACE * 2) else self.backtrack(run)
-        return [self.pieces.ids[p] for p in pieces]
+        return merge(run, self.pieces.scores) if run.startswith(SPACE * 2) else self.backtrack(run)
 
     def decode_chunk(self, ids: list[int]) -> str:
         """Text of ids, spaces kept; runs of byte pieces are read as UTF-8."""
-        out, run = [], bytearray()
         p = self.pieces
+        if p.special.isdisjoint(ids):
+            return "".join([p.strings[i] for i in ids]).replace(SPACE, " ")
+        out, run = [], bytearray()
         for i in ids:
             if (b := p.bytes_of.get(i)) is not None:
                 run.append(b)
@@ -140,26 +146,38 @@ class Encoder:
             out.append(run.decode("utf-8", "replace"))
         return "".join(out)
 
-    def _chunk(self, chunk: str) -> tuple[list[int], str, str]:
+    def _chunk(self, chunk: str) -> tuple[int, str, str]:
         ids = self.chunk_ids(chunk)
-        found = (ids, " ".join(map(str, ids)), self.decode_chunk(ids))
+        found = (len(ids), " ".join(map(str, ids)), self.decode_chunk(ids))
         if len(chunk) <= CACHE_CHARS:
-            if len(self.known) >= CACHE_CHUNKS:
-                self.known.clear()
+            if len(self.known) >= CACHE_CHUNKS:  # the chunks seen since the last time go to the older half
+                self.older, self.known = self.known, {}
             self.known[chunk] = found
         return found
 
+    def _find(self, chunk: str) -> tuple[int, str, str]:
+        """A chunk that is not among the latest ones."""
+        if (found := self.older.get(chunk)) is None:
+            return self._chunk(chunk)
+        self.known[chunk] = found
+        return found
+
     def encode(self, text: str) -> list[int]:
         return [i for c in chunks(text) for i in self.chunk_ids(c)]
 
     def decode(self, ids: list[int]) -> str:
         return self.decode_chunk(ids).removeprefix(" ")
 
-    def round_trip(self, text: str) -> tuple[list[int], str, str]:
-        """The ids, the ids joined by spaces, and their decoded text; chunk by chunk, as byte runs end with their chunk."""
-        get, make = self.known.get, self._chunk
-        parts = [get(c) or make(c) for c in chunks(text)]
-        return list(chain.from_iterable([p[0] for p in parts])), " ".join([p[1] for p in parts]), "".join([p[2] for p in parts]).removeprefix(" ")
+    def round_trip(self, text: str) -> tuple[int, str, str]:
+        """Number of ids, the ids joined by spaces, and their decoded text; chunk by chunk, as byte runs end with their chunk."""
+        get, find = self.known.get, self._find
+        parts = []
+        for c in chunks(text):
+            if (p := get(c)) is None:
+                p = find(c)
+                get = self.known.get
+            parts.append(p)
+        return sum([p[0] for p in parts]), " ".join([p[1] for p in parts]), "".join([p[2] for p in parts]).removeprefix(" ")
 
 
 RESULTS = {"n_tokens": T.LongType(), "ids": T.ArrayType(T.IntegerType()), "ids_sha256": T.StringType(), "decoded": T.StringType(),
@@ -183,11 +201,11 @@ def encode_documents(docs: DataFrame, model_path: str, text_col: str = "text", c
     types = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32()), "ids_sha256": pa.string(), "decoded": pa.string(), "decoded_sha256": pa.string()}
 
     def make():
-        encoder = Encoder(model.value)
+        encoder = in_worker(model, Encoder)
         eos = encoder.pieces.eos
         get = {
-            "n_tokens": lambda ids, _, __: len(ids) + 1,
-            "ids": lambda ids, _, __: [*ids, eos],
+            "n_tokens": lambda n, _, __: n + 1,
+            "ids": lambda _, joined, __: np.fromstring(f"{joined} {eos}", dtype=np.int32, sep=" "),
             "ids_sha256": lambda _, joined, __: _sha(f"{joined} {eos}" if joined else str(eos)),
             "decoded": lambda _, __, decoded: decoded,
             "decoded_sha256": lambda _, __, decoded: _sha(decoded),

@@ -11,11 +11,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tablefit.llm.common import map_text
+from tablefit.llm.common import in_worker, map_text
 from tablefit.llm.pieces import Pieces, chunks, shared_model
 
 UNKNOWN = 10.0
-#: Terminal counts kept in each task, and the longest pre-token kept.
+#: Terminal counts kept in each worker, and the longest pre-token kept.
 CACHE_TOKENS = 300_000
 CACHE_CHARS = 64
 
@@ -81,7 +81,7 @@ def token_counts(docs: DataFrame, model_path: str, text_col: str = "text", carry
     model = shared_model(docs.sparkSession, model_path)
 
     def make():
-        counter = TrieCounter(model.value)
+        counter = in_worker(model, TrieCounter)
 
         def fn(texts):
             found = counter.count([t or "" for t in texts])
