@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablefit.llm.common import UPPER, map_text, quoted
+from tablefit.llm.common import UPPER, hand_out, in_worker, map_text, quoted
 from tablefit.session import cut_lineage
 
 WIDTH = 13
@@ -131,10 +131,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "ite
                         empty_ranges.alias("__ranges"), F.array().cast("array<string>").alias("__items"))
     for block in range(blocks):
         part = items.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == block) if blocks > 1 else items
-        shared = spark.sparkContext.broadcast([(r["item"], r["words"]) for r in part.toLocalIterator()])
+        shared = hand_out(spark, [(r["item"], r["words"]) for r in part.toLocalIterator()])
 
         def make(shared=shared):
-            index = WindowIndex(shared.value, width)
+            index = in_worker(shared, lambda items: WindowIndex(items, width))
 
             def fn(texts):
                 found = [index.scan(t) for t in texts]

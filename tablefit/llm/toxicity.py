@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablefit.llm.common import bound_batches, map_text, quoted
+from tablefit.llm.common import bound_batches, hand_out, in_worker, map_text, quoted
 
 ORDER = 12
 DISCOUNT = 0.75
@@ -39,7 +39,7 @@ MIN_COUNT = 3
 MAX_GRAMS = 400_000
 #: One in so many of the labelled texts is kept for the logistic curve.
 CALIBRATION = 4
-#: Words and texts that one task remembers.
+#: Words that one worker remembers.
 CACHE_WORDS = 200_000
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -113,10 +113,11 @@ class Differences:
         self.grams, self.histories = grams, histories
         self.known: dict[str, float] = {}
 
-    @classmethod
-    def of(cls, counts: dict[str, tuple[int, int]], types: dict[str, int]) -> Differences:
+    @staticmethod
+    def tables(counts: dict[str, tuple[int, int]], types: dict[str, int]) -> tuple[dict[str, float], dict[str, float]]:
+        """Differences after a counted gram, and those of the shared model's weight after a counted history."""
         logs, weights = class_model(counts, SharedBackoff(types))
-        return cls({g: a - b for g, (a, b) in logs.items()}, {h: a - b for h, (a, b) in weights.items()})
+        return {g: a - b for g, (a, b) in logs.items()}, {h: a - b for h, (a, b) in weights.items()}
 
     def word(self, word: str) -> float:
         s = f"^{word}$"
@@ -271,11 +272,11 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     counts = {r["gram"]: (r["toxic"], r["ordinary"]) for r in grams.toLocalIterator()}
     wanted = spark.sparkContext.broadcast({t for g in counts for t in tails_of(g)})  # at most ORDER * MAX_GRAMS
     types = {r["gram"]: r["n"] for r in _type_counts(corpus_words(texts), wanted).toLocalIterator()}
-    shared = spark.sparkContext.broadcast(Differences.of(counts, types))
+    shared = hand_out(spark, Differences.tables(counts, types))
     added = T.StructType([T.StructField(n, T.DoubleType()) for n in ("peak", "mean", "strongest")])
 
     def make():
-        model = shared.value
+        model = in_worker(shared, lambda tables: Differences(*tables))
 
         def fn(batch):
             found = [model.features(t) for t in batch]
