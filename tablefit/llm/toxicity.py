@@ -36,7 +36,7 @@ MAX_TOXIC = 10_000
 MAX_ORDINARY = 20_000
 #: An n-gram is held if the labelled texts have it so often; beyond so many n-grams, the rarest are left out.
 MIN_COUNT = 3
-MAX_GRAMS = 400_000
+MAX_GRAMS = 150_000
 #: One in so many of the labelled texts is kept for the logistic curve.
 CALIBRATION = 4
 #: Words that one worker remembers.
