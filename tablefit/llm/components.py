@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,7 +43,7 @@ def _state(edges: DataFrame) -> DataFrame:
     return cut_lineage(edges)
 
 
-def _mark(edges: DataFrame) -> tuple[int, int]:
-    """Tells two sets of links apart by their number and a sum of hashes."""
-    row = edges.agg(F.count("*").alias("n"), F.sum(F.shiftright(F.xxhash64("u", "v"), 8)).alias("h")).first()
+def _mark(edges: DataFrame) -> tuple[int, Decimal | None]:
+    """Tells two sets of links apart by their number and a sum of hashes; the sum is a decimal(38, 0), which no number of links overflows."""
+    row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(28,0)")).alias("h")).first()
     return row["n"], row["h"]

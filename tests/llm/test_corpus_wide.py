@@ -81,6 +81,12 @@ def test_components_of_paths_and_stars(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_a_million_links(spark):
+    links = spark.range(1_000_000).selectExpr("id + id div 7 + 1 AS a", "8 * (id div 7) AS b")  # stars of eight nodes
+    got = connected_components(links)
+    assert got.count() == got.where("root = node - node % 8").count() == 1_142_858
+
+
 def test_simhash_query_against_brute_force(spark, sf_small):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text").collect()}
     ids = sorted(docs)
