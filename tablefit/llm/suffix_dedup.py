@@ -136,6 +136,7 @@ def _find_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             continue
         anchor, content, owner, pack = (np.concatenate(x) for x in zip(*found, strict=True))
         order = np.lexsort((pack, owner, content, anchor))
+        order = order[_firsts(anchor[order], content[order], owner[order], pack[order])]  # repeated rows are one document
         anchor, content, owner, pack = anchor[order], content[order], owner[order], pack[order]
         again = ~_firsts(anchor, content)
         anchor = np.where(again, owner.astype(np.uint64) * _MULTIPLIERS[0] + pack.astype(np.uint64) * _MULTIPLIERS[1], anchor)
@@ -144,14 +145,21 @@ def _find_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def _settle_contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Over rows sorted by (anchor, content, id, pack): repeats as (null, id, pack), and for anchors with several contents the first
-    stretch of each as (anchor, id, pack)."""
+    stretch of each as (anchor, id, pack).  Equal rows come from repeated rows of a document and count once."""
     state = None  # anchor, content, its first stretch while it is the only one
+    before = None  # the last row
     for batch in batches:
         settled = batch.column(1).is_null().to_numpy(zero_copy_only=False)
         anchor, owner, pack = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3))
         content = batch.column(1).fill_null(0).to_numpy(zero_copy_only=False)
         repeats = [(owner[settled], pack[settled])]
         anchor, content, owner, pack = (x[~settled] for x in (anchor, content, owner, pack))
+        fresh = _firsts(anchor, content, owner, pack)
+        if len(fresh):
+            if before == (anchor[0], content[0], owner[0], pack[0]):
+                fresh[0] = False
+            before = (anchor[-1], content[-1], owner[-1], pack[-1])
+            anchor, content, owner, pack = (x[fresh] for x in (anchor, content, owner, pack))
         chosen = []
         if len(anchor):
             new_anchor, new_content = _firsts(anchor), _firsts(anchor, content)
@@ -235,7 +243,7 @@ def repeated_windows(bodies: list[bytes], ids: np.ndarray, packs: np.ndarray) ->
 
 
 def _sort_blocks(most: int):
-    """Over contents sorted by anchor: repeats as (null, null, id, pack); of an anchor with over ``most`` bytes its windows singly, as (digest, digest, id, pack)."""
+    """Over contents sorted by (anchor, id, pack), where equal ones count once: repeats as (null, null, id, pack); of an anchor with over ``most`` bytes its windows singly, as (digest, digest, id, pack)."""
 
     def settled(rows):
         ids, packs = repeated_windows([r[3] for r in rows], np.array([r[1] for r in rows]), np.array([r[2] for r in rows]))
@@ -261,8 +269,12 @@ def _sort_blocks(most: int):
         group: list[tuple] = []  # the anchor in progress
         sizes = [0, 0]
         large = None
+        before = None
         for batch in batches:
             for row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if row[:3] == before:  # of a repeated row
+                    continue
+                before = row[:3]
                 if large is not None and row[0] == large:
                     group.append(row)
                     if len(group) >= 1000:
@@ -373,7 +385,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     contents = given.join(wanted, ["id", "tag"]).select("id", "body", "wanted").mapInArrow(_fetch_contents, "anchor long, id long, pack long, body binary")
     schema = "high long, low long, id long, pack long"
-    found = contents.repartition(n, "anchor").sortWithinPartitions("anchor").mapInArrow(_sort_blocks(block_most), schema)
+    found = contents.repartition(n, "anchor").sortWithinPartitions("anchor", "id", "pack").mapInArrow(_sort_blocks(block_most), schema)
     by = ["high", "low", "id", "pack"]
     own = F.xxhash64("id", "pack")
     salted = F.coalesce(F.when(F.col("high").isNotNull(), F.xxhash64("high", F.pmod(F.xxhash64("id"), F.lit(SALTS)))), own)

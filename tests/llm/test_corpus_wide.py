@@ -178,6 +178,18 @@ def test_repeats_against_brute_force(spark, most):
     assert got == brute_repeats([(i, t.encode()) for i, t in rows])
 
 
+@pytest.mark.parametrize("most", [suffix_dedup.BLOCK_MOST, 1500])
+def test_repeated_rows_keep_the_first_occurrence(spark, most):
+    alone = " ".join(f"only{i}here" for i in range(40))
+    near = " ".join(f"word{i}" for i in range(80))
+    rows = [*repeating_rows(), (1001, alone), (1002, near), (1003, near + " and an end of its own"), (1004, "x " * 300)]
+    got = [(r["doc_id"], (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]))
+           for r in suffix_dedup.remove_repeats(edge_docs(spark, rows * 3), block_most=most).collect()]
+    want = brute_repeats([(i, t.encode()) for i, t in rows])
+    assert want[1001][1] == want[1002][1] == 0 < want[1003][1]
+    assert sorted(got) == sorted([*want.items()] * 3)
+
+
 def test_repeats_query_against_brute_force(spark, sf_small):
     docs = sorted((r["doc_id"], (r["text"] or "").encode()) for r in spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text").collect())
     got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in text_queries.op10_suffix_dedup(spark, sf_small).collect()}
