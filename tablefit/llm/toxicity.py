@@ -3,7 +3,8 @@
 Two character models of words, one for toxic and one for ordinary texts, are fitted on labelled texts: absolute discounting of
 each class's counts over histories of ORDER - 1 characters, the discounted mass going to one shared lower-order model.  The shared
 backoff counts are Kneser-Ney type counts (in how many different words an n-gram occurs), gathered from every word of the whole corpus,
-labelled or not; so an expression that is rare in a class is smoothed by what all texts say about it.
+labelled or not; so an expression that is rare in a class is smoothed by what all texts say about it.  No n-gram is left out; the counts stay in
+Spark tables, keyed by 64-bit hashes, and what scoring holds is one number for each n-gram and history of the labelled sample.
 
 The toxic and the ordinary log-likelihood, each divided by the number of words, are compared for the whole text, for each window of WINDOW words
 (a word repeated within a window counts once) and for the STRONGEST most telling different words.  The mean difference, the largest one of a window
@@ -19,11 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablefit.llm.common import bound_batches, hand_out, in_worker, map_text, quoted
+from tablefit.session import cut_lineage
 
 ORDER = 12
 DISCOUNT = 0.75
@@ -34,9 +36,12 @@ FLOOR = 1 / 2000
 #: The models are fitted on at most so many labelled texts of either class, those first by a hash of their ids.
 MAX_TOXIC = 10_000
 MAX_ORDINARY = 20_000
-#: An n-gram is held if the labelled texts have it so often; beyond so many n-grams, the rarest are left out.
-MIN_COUNT = 3
-MAX_GRAMS = 150_000
+#: log2 of the bits that tell which n-grams no labelled word has.  Counts of those are not needed; what passes wrongly is dropped by the joins.
+FILTER_BITS = 26
+#: Words whose n-grams are counted at a time.
+GROUP_WORDS = 50_000
+#: Rows that a task passes on at once.
+BATCH = 100_000
 #: One in so many of the labelled texts is kept for the logistic curve.
 CALIBRATION = 4
 #: Words that one worker remembers.
@@ -137,9 +142,14 @@ class Differences:
         self.known[word] = out
         return out
 
+    def learn(self, words: set[str]) -> None:
+        """Remembers the words at once, where that is cheaper."""
+
     def features(self, text: str | None) -> tuple[float, float, float]:
+        return self.of_words(words_of(text))
+
+    def of_words(self, words: list[str]) -> tuple[float, float, float]:
         """Differences of length-normalised log-likelihoods: the largest of a window, the whole text's, the strongest words'; zeros without words."""
-        words = words_of(text)
         if not words:
             return 0.0, 0.0, 0.0
         names: dict[str, int] = {}
@@ -156,6 +166,96 @@ class Differences:
         return float((sums[k:] - sums[:-k]).max() / WINDOW), float(each.mean()), float(strongest)
 
 
+class HashedDifferences(Differences):
+    """The same from sorted keys of grams and histories and their differences, in arrays."""
+
+    def learn(self, words: set[str]) -> None:
+        new = [w for w in words if w not in self.known]
+        if len(self.known) + len(new) > CACHE_WORDS:
+            self.known.clear()
+            new = list(words)
+        if not new:
+            return
+        owner, gram, history, _ = word_grams(new)
+        out = np.zeros(len(gram))
+        missing = np.ones(len(gram), dtype=bool)
+        for key, (keys, values) in ((gram, self.grams), (history, self.histories)):
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                hit = missing & (keys[at] == key)
+                out[hit] = values[at[hit]]
+                missing &= ~hit
+        self.known.update(zip(new, np.bincount(owner, weights=out, minlength=len(new)).tolist(), strict=True))
+
+    def word(self, word: str) -> float:
+        self.learn({word})
+        return self.known[word]
+
+
+EMPTY = np.uint64(0x2545F4914F6CDD1D)
+
+
+def _longer(keys: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """Keys of strings with one more character."""
+    h = (keys ^ symbols) * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(29))
+
+
+def _laid_out(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Characters of all words with their start and end, and of each position its word, whether it begins that, and where that ends."""
+    symbols = np.frombuffer("".join(f"^{w}$" for w in words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64) + np.uint64(1)
+    size = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 2
+    until = np.cumsum(size)
+    starts = np.zeros(len(symbols), dtype=bool)
+    starts[until - size] = True
+    return symbols, np.repeat(np.arange(len(words)), size), starts, np.repeat(until, size)
+
+
+def _substrings(words: list[str], alive=None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """By length up to ORDER: (word, whether it begins the word, key, key without the last character, position); beyond keys that ``alive`` denies, none."""
+    symbols, owner, starts, ends = _laid_out(words)
+    at, history = np.arange(len(symbols)), np.full(len(symbols), EMPTY)
+    for size in range(1, ORDER + 1):
+        keep = at + size <= ends[at]
+        if alive is not None and size > 1:
+            keep &= alive(history)
+        at, history = at[keep], history[keep]
+        key = _longer(history, symbols[at + size - 1])
+        yield owner[at], starts[at], key, history, at
+        history = key
+
+
+def word_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each n-gram of ``grams_of`` of each word: word, key, key of its history, place in the row of all words."""
+    parts = []
+    for size, (owner, first, key, history, at) in enumerate(_substrings(words), 1):
+        take = np.ones(len(at), dtype=bool) if size == ORDER else first if size > 1 else np.zeros(len(at), dtype=bool)
+        parts.append((owner[take], key[take], history[take], at[take] + size - 1))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def _bits(keys: np.ndarray) -> np.ndarray:
+    return (keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _signed(keys: np.ndarray) -> np.ndarray:
+    return keys.view(np.int64)
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Rows of the batches, at most some GROUP_WORDS together."""
+    rows: list[tuple] = []
+    for batch in batches:
+        rows += zip(*(c.to_pylist() for c in batch.columns), strict=True)
+        if len(rows) >= GROUP_WORDS:
+            yield rows
+            rows = []
+    if rows:
+        yield rows
+
+
 def logistic(features: np.ndarray, labels: np.ndarray, weights: np.ndarray, ridge: float = 0.01, rounds: int = 50) -> np.ndarray:
     """Weights (bias last) of a ridge-penalised logistic curve, by Newton steps; constant for labels of one kind."""
     x = np.column_stack([features, np.ones(len(features))])
@@ -177,8 +277,8 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 4 == 2, F.lit(False))
 
 
-def _gram_counts(train: DataFrame, text_col: str) -> DataFrame:
-    """(gram, toxic, ordinary) of rows (text, toxic); counted within each batch first."""
+def _word_counts(train: DataFrame, text_col: str) -> DataFrame:
+    """(word, toxic, ordinary) of rows (text, toxic); counted within each batch first."""
     bound_batches(train.sparkSession)
 
     def run(batches):
@@ -187,17 +287,58 @@ def _gram_counts(train: DataFrame, text_col: str) -> DataFrame:
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 for w in words_of(text):
                     words[w][0 if toxic else 1] += 1
-            found: dict[str, list[int]] = defaultdict(lambda: [0, 0])
-            for w, (t, o) in words.items():
-                for g in grams_of(w):
-                    x = found[g]
-                    x[0] += t
-                    x[1] += o
-            yield pa.RecordBatch.from_pydict({"gram": list(found), "toxic": [x[0] for x in found.values()], "ordinary": [x[1] for x in found.values()]},
-                                             schema=pa.schema([("gram", pa.string()), ("toxic", pa.int64()), ("ordinary", pa.int64())]))
+            yield pa.RecordBatch.from_pydict({"word": list(words), "toxic": [x[0] for x in words.values()], "ordinary": [x[1] for x in words.values()]},
+                                             schema=pa.schema([("word", pa.string()), ("toxic", pa.int64()), ("ordinary", pa.int64())]))
+
+    part = train.select(quoted(text_col), "toxic").mapInArrow(run, "word string, toxic long, ordinary long")
+    return part.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+
+
+def _class_grams(words: DataFrame) -> DataFrame:
+    """(gram, history, toxic, ordinary, tails) of rows (word, toxic, ordinary); tails: keys of the gram's endings, the shortest first."""
+    bound_batches(words.sparkSession)
 
-    part = train.select(quoted(text_col), "toxic").mapInArrow(run, "gram string, toxic long, ordinary long")
-    return part.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+    def run(batches):
+        for rows in _groups(batches):
+            names = [r[0] for r in rows]
+            each = np.array([r[1:] for r in rows], dtype=np.int64)
+            owner, gram, history, last = word_grams(names)
+            by_end = np.zeros((ORDER, int(sum(map(len, names)) + 2 * len(names))), dtype=np.uint64)
+            for size, (_, _, key, _, at) in enumerate(_substrings(names)):
+                by_end[size, at + size] = key
+            kinds, first, of = np.unique(gram, return_index=True, return_inverse=True)
+            begin = np.concatenate(([0], np.cumsum([len(n) + 2 for n in names])))[owner[first]]
+            length = np.minimum(last[first] - begin + 1, ORDER)
+            tails = by_end[:, last[first]].T
+            flat = tails[np.arange(ORDER)[None, :] < length[:, None]]
+            sums = [np.bincount(of, weights=each[owner, c], minlength=len(kinds)).astype(np.int64) for c in (0, 1)]
+            for a in range(0, len(kinds), BATCH):
+                cut = slice(a, a + BATCH)
+                ends = np.concatenate(([0], np.cumsum(length)))
+                lists = pa.ListArray.from_arrays(pa.array((ends[a : a + BATCH + 1] - ends[a])[: len(length[cut]) + 1], pa.int32()),
+                                                 pa.array(_signed(flat[ends[a] : ends[min(a + BATCH, len(kinds))]])))
+                yield pa.RecordBatch.from_arrays([pa.array(_signed(kinds[cut])), pa.array(_signed(history[first][cut])), pa.array(sums[0][cut]),
+                                                  pa.array(sums[1][cut]), lists], names=["gram", "history", "toxic", "ordinary", "tails"])
+
+    part = words.mapInArrow(run, "gram long, history long, toxic long, ordinary long, tails array<long>")
+    return part.groupBy("gram", "history").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"), F.first("tails").alias("tails"))
+
+
+def _filter_of(words: DataFrame) -> np.ndarray:
+    """One bit, by its key, for each n-gram of the words; FILTER_BITS bound it whatever their number."""
+    bound_batches(words.sparkSession)
+
+    def run(batches):
+        held = np.zeros(1 << FILTER_BITS, dtype=bool)
+        for rows in _groups(batches):
+            for _, _, key, _, _ in _substrings([r[0] for r in rows]):
+                held[_bits(key)] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(held, bitorder="little").tobytes()], pa.binary())], names=["bits"])
+
+    out = np.zeros(1 << (FILTER_BITS - 3), dtype=np.uint8)
+    for r in words.select("word").coalesce(6).mapInArrow(run, "bits binary").toLocalIterator():
+        out |= np.frombuffer(r["bits"], dtype=np.uint8)
+    return out
 
 
 def corpus_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -222,22 +363,84 @@ def corpus_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return found.select(F.explode("words").alias("word")).distinct()
 
 
-def _type_counts(words: DataFrame, wanted) -> DataFrame:
-    """(gram, n): in how many of the words each of the wanted n-grams occurs."""
-    bound_batches(words.sparkSession)
+def _type_counts(words: DataFrame, bits) -> DataFrame:
+    """(tail, n, total, kinds): in how many of the words each n-gram of the filter occurs, and how often and with how many
+    last characters its history does, over all words."""
+    spark = words.sparkSession
+    bound_batches(spark)
 
     def run(batches):
-        keep = wanted.value
-        for batch in batches:
-            found: Counter = Counter()
-            for w in batch.column(0).to_pylist():
-                s = f"^{w}$"
-                n = len(s)
-                found.update({s[i:j] for i in range(n) for j in range(max(i, 1) + 1, min(i + ORDER, n) + 1)} & keep)
-            yield pa.RecordBatch.from_pydict({"gram": list(found), "n": list(found.values())},
-                                             schema=pa.schema([("gram", pa.string()), ("n", pa.int64())]))
-
-    return words.mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+        held = bits.value
+
+        def alive(keys):
+            at = _bits(keys)
+            return (held[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+        for rows in _groups(batches):
+            for size, (owner, first, key, history, _) in enumerate(_substrings([r[0] for r in rows], alive), 1):
+                if size == 1:  # the start alone is no n-gram
+                    owner, key, history = owner[~first], key[~first], history[~first]
+                order = np.argsort(key, kind="stable")
+                owner, key, history = owner[order], key[order], history[order]
+                other = np.ones(len(key), dtype=bool)
+                other[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])  # once in a word
+                key, history = key[other], history[other]
+                at = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))[: len(key)])
+                n = np.diff(np.concatenate((at, [len(key)])))
+                key, history = key[at], history[at]
+                wanted = alive(key)
+                for a in range(0, len(key), BATCH):
+                    cut = slice(a, a + BATCH)
+                    yield pa.RecordBatch.from_arrays([pa.array(_signed(history[cut])), pa.array(_signed(key[cut])), pa.array(n[cut]), pa.array(wanted[cut])],
+                                                     names=["history", "tail", "n", "wanted"])
+
+    part = words.mapInArrow(run, "history long, tail long, n long, wanted boolean")
+    # by history: its n-grams are few, as many as there are characters, and their sums need no other shuffle
+    dealt = part.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "history")
+    types = dealt.groupBy("history", "tail", "wanted").agg(F.sum("n").alias("n"))
+    of = Window.partitionBy("history")
+    types = types.withColumn("total", F.sum("n").over(of)).withColumn("kinds", F.count("*").over(of))
+    return types.where("wanted").select("tail", "n", "total", "kinds")
+
+
+def _differences(grams: DataFrame, types: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, difference) after each class n-gram, and of the shared model's weight after each class history."""
+    chains = grams.select("gram", F.posexplode("tails").alias("size", "tail")).join(types, "tail")
+    low = F.aggregate(
+        F.sort_array(F.collect_list(F.struct("size", "n", "total", "kinds"))), F.lit(FLOOR),
+        lambda p, x: F.greatest(x["n"] - F.lit(DISCOUNT), F.lit(0.0)) / x["total"] + DISCOUNT * x["kinds"] / x["total"] * p)
+    shared = chains.groupBy("gram").agg(low.alias("low"))  # at most ORDER rows each
+
+    def weight(c):
+        return F.when(F.col(f"s_{c}") > 0, DISCOUNT * F.col(f"k_{c}") / F.col(f"s_{c}")).otherwise(1.0)
+
+    def log(c):
+        own = F.when(F.col(f"s_{c}") > 0, F.greatest(F.col(c) - F.lit(DISCOUNT), F.lit(0.0)) / F.col(f"s_{c}")).otherwise(0.0)
+        return F.log(own + weight(c) * F.col("low"))
+
+    kinds = ("toxic", "ordinary")
+    sums = grams.groupBy("history").agg(*[F.sum(c).alias(f"s_{c}") for c in kinds], *[F.count_if(F.col(c) > 0).alias(f"k_{c}") for c in kinds])
+    after = grams.drop("tails").join(shared, "gram").join(sums, "history").select(F.col("gram").alias("key"), (log("toxic") - log("ordinary")).alias("difference"))
+    return after, sums.select(F.col("history").alias("key"), (F.log(weight("toxic")) - F.log(weight("ordinary"))).alias("difference"))
+
+
+def _sorted_arrays(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order and their differences, 16 bytes for each of the labelled sample's."""
+    found = table.toArrow()
+    keys, values = (found.column(i).to_numpy() for i in range(2))
+    keys = keys.astype(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], values[order].astype(np.float64)
+
+
+def fitted_tables(train: DataFrame, texts: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """Tables of ``HashedDifferences`` from rows (text, toxic), which are among the texts."""
+    spark = texts.sparkSession
+    words = cut_lineage(_word_counts(train, "text"))
+    bits = spark.sparkContext.broadcast(_filter_of(words))
+    grams = cut_lineage(_class_grams(words))
+    after, histories = _differences(grams, _type_counts(corpus_words(texts), bits))
+    return _sorted_arrays(after), _sorted_arrays(histories)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
@@ -267,19 +470,16 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         only = float(shares.get(1, 0) > 0)
         return texts.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), F.lit(only).alias("score"))
 
-    grams = _gram_counts(train.where("not calibrate"), "text").where(F.col("toxic") + F.col("ordinary") >= MIN_COUNT)
-    grams = grams.orderBy(F.desc(F.col("toxic") + F.col("ordinary")), "gram").limit(MAX_GRAMS)
-    counts = {r["gram"]: (r["toxic"], r["ordinary"]) for r in grams.toLocalIterator()}
-    wanted = spark.sparkContext.broadcast({t for g in counts for t in tails_of(g)})  # at most ORDER * MAX_GRAMS
-    types = {r["gram"]: r["n"] for r in _type_counts(corpus_words(texts), wanted).toLocalIterator()}
-    shared = hand_out(spark, Differences.tables(counts, types))
+    shared = hand_out(spark, fitted_tables(train.where("not calibrate"), texts))
     added = T.StructType([T.StructField(n, T.DoubleType()) for n in ("peak", "mean", "strongest")])
 
     def make():
-        model = in_worker(shared, lambda tables: Differences(*tables))
+        model = in_worker(shared, lambda tables: HashedDifferences(*tables))
 
         def fn(batch):
-            found = [model.features(t) for t in batch]
+            words = [words_of(t) for t in batch]
+            model.learn(set().union(*words))
+            found = [model.of_words(w) for w in words]
             return [pa.array([x[i] for x in found], pa.float64()) for i in range(3)]
 
         return fn

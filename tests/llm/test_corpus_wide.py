@@ -266,6 +266,27 @@ def test_word_difference_against_plain_backoff():
     assert model.word("c") == pytest.approx(model.histories["^"])
 
 
+def test_fitted_tables_leave_no_n_gram_out(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "FILTER_BITS", 12)  # much passes wrongly
+    texts = [*random_texts(40, seed=4), "once extraordinarily", "twice twice banana", ""]
+    docs = spark.createDataFrame([(t, int(i % 3 == 0)) for i, t in enumerate(texts)], "text string, toxic int").repartition(3)
+    counts, types = {}, {}
+    for i, t in enumerate(texts[:20] + texts[40:]):
+        for g in (g for w in toxicity.words_of(t) for g in toxicity.grams_of(w)):
+            c = counts.setdefault(g, [0, 0])
+            c[0 if (i if i < 20 else i + 20) % 3 == 0 else 1] += 1
+    for w in {w for t in texts for w in toxicity.words_of(t)}:
+        s = f"^{w}$"
+        for g in {s[i:j] for i in range(len(s)) for j in range(max(i, 1) + 1, min(i + toxicity.ORDER, len(s)) + 1)}:
+            types[g] = types.get(g, 0) + 1
+    labelled = docs.where(docs["text"].isin(texts[:20] + texts[40:]))
+    model = toxicity.HashedDifferences(*toxicity.fitted_tables(labelled, docs))
+    plain = toxicity.Differences(*toxicity.Differences.tables({g: tuple(c) for g, c in counts.items()}, types))
+    assert any(sum(c) == 1 for c in counts.values()) and len(model.grams[0]) == len(plain.grams) and len(model.histories[0]) == len(plain.histories)
+    for w in sorted({w for t in texts for w in toxicity.words_of(t)} | {"zzz", "onceabc"}):
+        assert model.word(w) == pytest.approx(plain.word(w), abs=1e-9), w
+
+
 def test_toxicity_edge_rows(spark):
     docs = edge_docs(spark)
     labels = spark.createDataFrame([(i, i % 2, 1, "x") for i in range(1, 40)] + [(None, 1, 1, "x"), (5, None, 1, "x"), (5, 1, 1, "x")], "doc_id long, toxic int, score int, text string")
