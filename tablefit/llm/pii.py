@@ -1,4 +1,4 @@
-"""Personal data: regular expressions propose spans, checksums confirm them, words before them adjust a score.
+"""Personal data: regular expressions propose spans, checksums confirm them, words around them adjust a score.
 
 Only DataFrame functions.  Every pattern is written so that a scan is linear in the text: possessive quantifiers, and a
 run of pattern characters is entered at its start (or where the last match ended) only.
@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from tablefit.llm.common import quoted
 
-#: Code points before a span in which context words count.
+#: Code points before and after a span in which context words count.
 CONTEXT_CHARS = 32
+#: What stands between the items of a list; context words near one of them count for all.
+LIST_GAP = r"(?i)^[^\p{L}\p{N}]{1,8}(?:(?:and|or)[^\p{L}\p{N}]{1,4})?$"
 #: A span of an added kind is reported from this score on.
 ACCEPT = 0.5
 SPAN_TYPE = "array<struct<kind:string,start:int,end:int,score:double>>"
@@ -23,8 +25,9 @@ SPAN_TYPE = "array<struct<kind:string,start:int,end:int,score:double>>"
 
 @dataclass(frozen=True)
 class Kind:
-    """``base``: score of a confirmed match; ``context`` adds ``bonus`` when found shortly before it.  ``fixed`` kinds are
-    reported whenever confirmed; the score only informs."""
+    """``base``: score of a confirmed match; ``context`` adds ``bonus`` when found shortly before it, or shortly after it unless a colon or
+    equals sign there makes it the name of what follows (``after``, where that differs).  ``fixed`` kinds are reported whenever
+    confirmed; the score only informs."""
 
     name: str
     pattern: str
@@ -33,6 +36,7 @@ class Kind:
     context: str
     bonus: float
     fixed: bool = False
+    after: str | None = None
 
 
 def digits(hit: Column) -> Column:
@@ -92,7 +96,8 @@ ADDED_KINDS = (
     Kind("iban", r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Z0-9])", _iban,
          0.7, r"(?i)\b(?:iban|account|konto|bank)\b", 0.3),
     Kind("secret", r"(?<![A-Za-z0-9])[A-Fa-f0-9]{16,128}(?![A-Za-z0-9])", None,
-         0.2, r"(?i)(?:password|passwd|secret|token|api.?key|credential)[^A-Za-z0-9]{0,6}$", 0.6),
+         0.2, r"(?i)(?:password|passwd|secret|token|api.?key|credential)[^A-Za-z0-9]{0,6}$", 0.6,
+         after=r"(?i)^[^A-Za-z0-9]{0,6}(?:is (?:the|my|our|your) )?(?:password|passwd|secret|token|api.?key|credential)(?!\s*[:=])"),
     Kind("access_key", r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])", None, 0.8, r"(?i)key|secret|access", 0.2),
     Kind("id_number", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", None,
          0.3, r"(?i)\b(?:ssn|social security|tax id|id number)\b", 0.6),
@@ -108,13 +113,24 @@ def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda a, x: a + x)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, not at each use inside a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def running_totals(values: Column) -> Column:
     """Sums of the integers before each element of an array."""
-    blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(values) / F.lit(BLOCK)).cast("int") - 1),
-                         lambda b: _total(F.slice(values, b * BLOCK + 1, BLOCK)))
-    before = F.transform(blocks, lambda _, b: F.when(b > 0, _total(F.slice(blocks, 1, b))).otherwise(0))
-    return F.transform(values, lambda _, i: F.get(before, F.floor(i / BLOCK).cast("int"))
-                       + F.when(i % BLOCK > 0, _total(F.slice(values, i - i % BLOCK + 1, i % BLOCK))).otherwise(0))
+    def blocks(v: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.ceil(F.size(v) / F.lit(BLOCK)).cast("int") - 1), lambda b: _total(F.slice(v, b * BLOCK + 1, BLOCK)))
+
+    def before(t: Column) -> Column:
+        return F.transform(t, lambda _, b: F.when(b > 0, _total(F.slice(t, 1, b))).otherwise(0))
+
+    def totals(v: Column, sums: Column) -> Column:
+        return F.transform(v, lambda _, i: F.get(sums, F.floor(i / BLOCK).cast("int"))
+                           + F.when(i % BLOCK > 0, _total(F.slice(v, i - i % BLOCK + 1, i % BLOCK))).otherwise(0))
+
+    return _let(values, lambda v: _let(blocks(v), lambda t: _let(before(t), lambda sums: totals(v, sums))))
 
 
 def _spans(df: DataFrame, kind: Kind) -> DataFrame:
@@ -126,18 +142,44 @@ def _spans(df: DataFrame, kind: Kind) -> DataFrame:
     hits = hits.withColumn("__lengths", F.when(F.size("__hits") > 0, lengths))
     hits = hits.withColumn("__starts", F.when(F.size("__hits") > 0, running_totals(F.col("__lengths"))))
 
+    # base matches have two characters or more, the others eleven: so many pieces fill the context whatever lies between
+    some, n, pieces = F.size("__hits") > 0, F.size("__hits"), CONTEXT_CHARS // 2 if kind.fixed else 3
+    hits = hits.withColumn("__left", F.when(some, F.transform(F.col("__hits"), lambda h, i: F.right(
+        F.concat(F.right(F.get(F.col("__gaps"), i), F.lit(CONTEXT_CHARS)), F.right(h, F.lit(CONTEXT_CHARS))), F.lit(CONTEXT_CHARS)))))
+    hits = hits.withColumn("__right", F.when(some, F.transform(F.col("__hits"), lambda h, i: F.left(
+        F.concat(F.left(h, F.lit(CONTEXT_CHARS)), F.left(F.get(F.col("__gaps"), i + 1), F.lit(CONTEXT_CHARS))), F.lit(CONTEXT_CHARS)))))
+
+    def near(i: Column) -> Column:
+        left, right = F.col("__left"), F.col("__right")
+        # single pieces, as a slice would copy the whole array each time
+        before = F.concat(*[F.coalesce(F.get(left, i - k), F.lit("")) for k in range(pieces, 0, -1)], F.get(F.col("__gaps"), i))
+        behind = F.concat(F.get(F.col("__gaps"), i + 1), *[F.coalesce(F.get(right, i + k), F.lit("")) for k in range(1, pieces + 1)])
+        found = F.right(before, F.lit(CONTEXT_CHARS)).rlike(kind.context) | F.left(behind, F.lit(CONTEXT_CHARS)).rlike(
+            kind.after or rf"(?:{kind.context})(?!\s*[:=])")
+        return F.when(found, 1).otherwise(0)
+
+    # lists: the first match of each, the list of each match, and the matches with context before each match
+    hits = hits.withColumn("__near", F.when(some, F.transform(F.col("__hits"), lambda h, i: near(i))))
+    hits = hits.withColumn("__opens", F.when(some, F.transform(
+        F.col("__hits"), lambda h, i: F.when((i > 0) & F.get(F.col("__gaps"), i).rlike(LIST_GAP), 0).otherwise(1))))
+    hits = hits.withColumn("__list", F.when(some, F.transform(running_totals(F.col("__opens")), lambda r, i: r + F.get(F.col("__opens"), i))))
+    hits = hits.withColumn("__bounds", F.when(some, F.concat(
+        F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.get(F.col("__opens"), i) == 1), F.array(n))))
+    hits = hits.withColumn("__sums", F.when(some, F.concat(running_totals(F.col("__near")), F.array(_total(F.col("__near"))))))
+
     def span(hit: Column, i: Column) -> Column:
-        gap = F.get(F.col("__gaps"), i)
-        start = F.get(F.col("__starts"), i) + F.length(gap)
-        near = F.right(gap, F.lit(CONTEXT_CHARS))
-        score = F.lit(kind.base) + F.when(near.rlike(kind.context), kind.bonus).otherwise(0.0)
+        start = F.get(F.col("__starts"), i) + F.length(F.get(F.col("__gaps"), i))
+        of, bounds, sums = F.get(F.col("__list"), i), F.col("__bounds"), F.col("__sums")
+        told = F.get(sums, F.get(bounds, of)) > F.get(sums, F.get(bounds, F.get(F.col("__list"), i) - 1))
+        score = F.lit(kind.base) + F.when(told, kind.bonus).otherwise(0.0)
         return F.struct(F.lit(kind.name).alias("kind"), start.alias("start"), (start + F.length(hit)).alias("end"), score.alias("score"))
 
     marked = F.transform(F.col("__hits"), lambda h, i: F.struct(
         span(h, i).alias("span"), (kind.confirm(h) if kind.confirm else F.lit(True)).alias("ok")))
     good = F.filter(marked, lambda m: m["ok"] if kind.fixed else m["ok"] & (m["span"]["score"] >= ACCEPT))
     spans = F.transform(good, lambda m: m["span"]).cast(SPAN_TYPE)
-    return hits.withColumn(kind.name, F.when(F.size("__hits") > 0, spans).otherwise(none)).drop("__hits", "__gaps", "__lengths", "__starts")
+    return hits.withColumn(kind.name, F.when(F.size("__hits") > 0, spans).otherwise(none)).drop(
+        "__hits", "__gaps", "__lengths", "__starts", "__left", "__right", "__near", "__opens", "__list", "__bounds", "__sums")
 
 
 def find_pii(df: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

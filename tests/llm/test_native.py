@@ -141,6 +141,21 @@ def test_added_kinds_need_checksum_or_context(spark):
     assert ("id_number", "123-45-6789") in got[9] and ("local_phone", "555 123-4567") in got[10]
 
 
+def test_context_reaches_over_lists_and_from_behind(spark):
+    key = "1beb58b8af68854f"
+    cases = [
+        ("SSN: 123-45-6789, 987-65-4321", "id_number", 2), ("call 555-123-4567, 555-123-4568", "local_phone", 2),
+        ("ssn " + " and ".join(["123-45-6789"] * 300), "id_number", 300), (f"tokens {key}; {key[::-1]}, {key}", "secret", 0),
+        (f"token: {key}; {key[::-1]}, {key}", "secret", 3), (f"{key} is the password", "secret", 1), (f"{key} password: none", "secret", 0),
+        ("555-123-4567 (mobile)", "local_phone", 1), ("123-45-6789 is his social security number", "id_number", 1),
+        ("123-45-6789, 987-65-4321", "id_number", 0), ("ssn 123-45-6789 but 123-45-6789", "id_number", 2),
+        ("ssn 123-45-6789 and a good many other words after which stands 123-45-6789", "id_number", 1), ("1.2.3.4 " * 6000 + "fax 555-123-4567", "local_phone", 1),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r["doc_id"]: r["pii_spans"] for r in pii.find_pii(df).collect()}
+    assert [sum(s["kind"] == k for s in got[i]) for i, (_, k, _) in enumerate(cases)] == [n for _, _, n in cases]
+
+
 def test_digest_query_matches_brute_force(spark, sf_small):
     texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text").collect()}
     for r in native_queries.op9_pii(spark, sf_small).collect():
