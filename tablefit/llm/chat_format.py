@@ -65,8 +65,8 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
 
     Turns go by the turn column (null first), ties by role, then text; repeated rows are repeated turns.  Null roles and
     texts are empty; rows with a null id form one conversation of their own.  ``loss_spans`` holds the
-    [start, end) of each text of ``loss_role`` in ``formatted``, in code points.  Other columns are ignored.  A conversation
-    is the unit of the result: its turns meet in one row.
+    [start, end) of each text of ``loss_role`` in ``formatted``, in code points.  Other columns are ignored, whatever their names; an
+    empty table gives no rows.  A conversation is the unit of the result: its turns meet in one row, texts of any length whole.
     """
     given = turns.select(quoted(conv_col).alias("conv"), quoted(turn_col).alias("turn"),
                          F.coalesce(quoted(role_col).cast("string"), F.lit("")).alias("role"),

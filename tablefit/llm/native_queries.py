@@ -1,11 +1,11 @@
-"""Queries of the operators that use DataFrame functions only: chat formatting, URL filters, personal data."""
+"""Queries of the operators that use DataFrame functions only: chat formatting, URL filters, personal data, line dedup."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablefit.llm import chat_format, pii, url_filter
+from tablefit.llm import chat_format, line_dedup, pii, url_filter
 from tablefit.llm.common import table
 
 #: Fixed values of the query contract.
@@ -25,7 +25,8 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(-1, 0, "user", CONFLICTING_TEXT), (-1, 1, "assistant", CONFLICTING_TEXT)], "conv_id long, turn long, role string, text string")
     made = chat_format.format_conversations(given.unionByName(extra))
     read = made.withColumn("turns", chat_format.parse(F.col("formatted")))
-    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
+    masked = F.transform("loss_spans", lambda s: F.substring(F.col("formatted"), s["start"].cast("int") + 1, (s["end"] - s["start"]).cast("int")))
+    loss = F.array_join(F.transform(masked, chat_format.unescape_text), "")
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.withColumn("loss", loss).select(
         "conv_id",
@@ -97,5 +98,21 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op4_chat_format": op4_chat_format, "op8_url_filter": op8_url_filter, "op9_pii": op9_pii}
-ORACLES = {"op4_chat_format": OP4_SQL, "op8_url_filter": OP8_SQL}
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.drop_repeated_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP13_SQL = """
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(doc_id, 9223372036854775807) AS id, str_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+lines AS (SELECT k, id, unnest(range(1, len(parts) + 1)) AS pos, unnest(parts) AS line FROM d),
+keyed AS (SELECT *, trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key FROM lines),
+firsts AS (SELECT key, min(id) AS first_id FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT id) >= 2),
+judged AS (SELECT k, pos, line, first_id IS NOT NULL AND id <> first_id AS gone FROM keyed LEFT JOIN firsts USING (key)),
+done AS (SELECT k, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped, string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone) AS kept FROM judged GROUP BY k)
+SELECT doc_id, n_lines, n_dropped, sha256(coalesce(kept, '')) AS kept_sha256 FROM d JOIN done USING (k)
+"""
+
+
+QUERIES = {"op4_chat_format": op4_chat_format, "op8_url_filter": op8_url_filter, "op9_pii": op9_pii, "op13_line_dedup": op13_line_dedup}
+ORACLES = {"op4_chat_format": OP4_SQL, "op8_url_filter": OP8_SQL, "op13_line_dedup": OP13_SQL}

@@ -187,10 +187,11 @@ def find_pii(df: DataFrame, text_col: str = "text", keep: list[str] | None = Non
 
     ``pii_spans``: array of (kind, start, end, score) in the order of KINDS, then start; code points, end exclusive.
     Base kinds are leftmost non-overlapping matches that pass their check; failing matches are dropped without a
-    second try.  Spans of different kinds may overlap.  Null and empty texts have none; rows are judged one by one,
-    so repeated rows stay repeated.
+    second try.  Spans of different kinds may overlap.  Null and empty texts have none; texts of any length are read whole; rows are
+    judged one by one, so repeated rows stay repeated and an empty table gives no rows.  A kept column named ``pii_spans`` gives way to
+    the result; other names do not matter.
     """
-    kept = df.columns if keep is None else keep
+    kept = [c for c in (df.columns if keep is None else keep) if c != "pii_spans"]
     work = df.select(*[quoted(c).alias(f"__keep{i}") for i, c in enumerate(kept)],
                      F.coalesce(quoted(text_col).cast("string"), F.lit("")).alias("__text"))
     for kind in KINDS:
@@ -219,6 +220,11 @@ def mask_text(text: Column, spans: Column) -> Column:
 
 
 def mask_pii(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """The same columns with personal data masked in ``text_col``; null texts stay null."""
-    found = find_pii(df, text_col).withColumn("__masked", mask_text(quoted(text_col), F.col("pii_spans")))
-    return found.select(*[F.col("__masked").alias(c) if c == text_col else quoted(c) for c in df.columns])
+    """The same columns, whatever their names, with personal data masked in ``text_col``.
+
+    Null texts stay null, empty ones empty; repeated rows stay repeated; texts of any length are masked whole; an empty table gives no rows.
+    """
+    given = df.select(*[quoted(c).alias(f"__doc{i}") for i, c in enumerate(df.columns)])
+    text = f"__doc{df.columns.index(text_col)}"
+    found = find_pii(given, text).withColumn(text, mask_text(F.col(text), F.col("pii_spans")))
+    return found.select(*[F.col(f"__doc{i}").alias(c) for i, c in enumerate(df.columns)])
