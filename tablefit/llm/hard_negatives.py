@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablefit.llm.common import quoted
-from tablefit.llm.ranked import NONE, first_of_groups, first_of_rows, merged
+from tablefit.llm.ranked import NONE, Heap, first_of_rows, merged
 from tablefit.session import cut_lineage
 
 #: Rows of an anchor tile and of a candidate tile, about (they are dealt by hash), and rows of either whose scores are held at once.
@@ -111,18 +111,6 @@ def _scores(anchors: Tile, candidates: Tile):
             yield slice(i, i + len(a)), slice(j, j + c.shape[1]), strassen(a, c)
 
 
-class Heap:
-    """The best entries of each group so far; ``add`` merges more into them."""
-
-    def __init__(self, most: int) -> None:
-        self.most = most
-        self.group = self.score = self.id = np.empty(0, dtype=np.int64)
-
-    def add(self, group: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
-        given = [np.concatenate(x) for x in ((self.group, group), (self.score, score), (self.id, ids))]
-        self.group, self.score, self.id = first_of_groups(*given, self.most, *given)
-
-
 def tile_positives(anchors: Tile, candidates: Tile, most: int) -> Heap:
     """Of each anchor (by place), the best other candidates of its label."""
     heap = Heap(most)
