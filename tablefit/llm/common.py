@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import tablefit.llm
+from tablefit.session import scratch_path
 
 # tasks get this subpackage's functions with their code, whether or not the library is installed on the executors
 cloudpickle.register_pickle_by_value(tablefit.llm)
@@ -85,6 +86,13 @@ def in_worker(shared, build: Callable):
     return held["made"]
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a compressed table in the shared folder, read again: what it took to make it is not repeated, nor lost with an executor."""
+    path = scratch_path(df.sparkSession, name)
+    df.toDF(*[f"c{i}" for i in range(len(df.columns))]).write.parquet(path)  # plain names, whatever the columns are called
+    return df.sparkSession.read.parquet(path).toDF(*df.columns)
+
+
 def quoted(name: str) -> Column:
     """A column by its literal name (dots and backticks included)."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablefit.llm.common import UPPER, map_text, quoted
+from tablefit.llm.common import UPPER, map_text, quoted, written
 
 BAD, ABSTAIN, GOOD = 0, 1, 2
 WINDOW = 8
@@ -25,11 +25,16 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 #: A text is kept from this posterior probability of good quality on.
 KEEP_FROM = 0.5
-#: Where EM starts: P(bad, abstain, good vote) on bad texts and on good ones (an abstention counts 1), and the share of good texts.
-START = np.array([[0.30, 1.0, 0.60], [0.01, 1.0, 0.90]])
+#: Where EM starts, for bad texts and for good ones: P(bad vote), P(good vote where the vote is not bad) of a rule that votes either way, and the share
+#: of good texts.  Alarms are rare on any junk, as each knows one kind of it, and hardly ever ring on good texts; so a text with one alarm and
+#: nothing else against it is more likely bad.
+START_BAD_VOTE = np.array([0.15, 0.001])
+START_GOOD_VOTE = np.array([0.75, 0.95])
 START_GOOD = 0.9
-#: Weight of that start against all texts.
+#: Weight of that start against all texts, and of the bad votes on good texts: that an alarm hardly ever rings there is what the rule was written for, and
+#: weighs as much as all texts.
 PRIOR_SHARE = 0.05
+FALSE_ALARM_SHARE = 1.0
 
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -149,43 +154,66 @@ def quality_stats(docs: DataFrame, text_col: str = "text", carry: list[str] | No
     return map_text(docs, text_col, added, make, carry)
 
 
-def fit_label_model(patterns: dict[int, int], rounds: int = 200) -> dict[int, float]:
-    """Posterior probability of good quality by vote pattern, from the number of texts with each pattern.
+@dataclass(frozen=True)
+class LabelModel:
+    """``posterior``: probability of good quality by vote pattern; ``objective``: log-likelihood a text, with the prior's, before each round and at the end."""
+
+    posterior: dict[int, float]
+    objective: list[float]
+
 
-    EM for two classes, votes independent within a class, an abstention telling nothing.  The M-step estimates the share of
-    good texts and, for each rule, how often it votes bad or good on either class.  It starts from rules that seldom
-    vote bad on good texts, and keeps PRIOR_SHARE of the texts' weight on that start, so that no rule is turned round by
-    a few texts; a rule whose bad votes would speak for good counts as saying nothing.
+def fit_label_model(patterns: dict[int, int], rounds: int = 500) -> LabelModel:
+    """The label model from the number of texts with each vote pattern.
+
+    Two classes; within a class a rule votes bad, abstains or votes good independently of the others, with probabilities that sum to one (alarms never vote
+    good).  EM estimates them and the share of good texts.  The starting values also are a prior with PRIOR_SHARE of all texts' weight
+    (FALSE_ALARM_SHARE for bad votes on good texts), so that a few texts turn no rule round; a rule's bad votes may not be likelier on good texts than on bad ones, nor its good votes on bad
+    texts: where they would, both classes get the pooled value, which is the best one under that order.  So no round lowers the objective.
     """
     if not patterns:
-        return {}
+        return LabelModel({}, [])
     codes = sorted(patterns)
     votes = np.array([votes_of(c) for c in codes])
     weight = np.array([patterns[c] for c in codes], dtype=float)
     weight /= weight.sum()
-    table = np.repeat(START[:, None, :], len(RULES), axis=1)
-    good = START_GOOD
-    for _ in range(rounds):
-        post = _posterior(votes, table, good)
-        mass = np.stack([(1 - post) * weight, post * weight])
-        prior = PRIOR_SHARE * np.array([1 - START_GOOD, START_GOOD])
-        new = np.ones_like(table)
-        for v in (BAD, GOOD):
-            new[:, :, v] = (mass @ (votes == v) + prior[:, None] * START[:, None, v]) / (mass.sum(axis=1) + prior)[:, None]
-        turned = new[0, :, BAD] < new[1, :, BAD]
-        new[:, turned, :] = 1.0
-        moved = float(np.abs(new - table).max())
-        table, good = new, float(mass[1].sum() + prior[1]) / (1 + PRIOR_SHARE)
-        if moved < 1e-9:
+    either = np.array([r.good != NEVER for r in RULES])
+    class_prior = PRIOR_SHARE * np.array([1 - START_GOOD, START_GOOD])
+    alarm_prior = np.array([class_prior[0], FALSE_ALARM_SHARE])
+    bad = np.repeat(START_BAD_VOTE[:, None], len(RULES), axis=1)
+    good = np.repeat(START_GOOD_VOTE[:, None], len(RULES), axis=1)
+    share = START_GOOD
+    history: list[float] = []
+    for last in range(rounds + 1):
+        logs = _class_logs(votes, bad, good, either) + np.log([1 - share, share])[:, None]
+        whole = np.logaddexp(*logs)
+        post = np.exp(logs[1] - whole)
+        prior = (class_prior * np.log([1 - share, share])).sum()
+        for value, start, own in ((bad, START_BAD_VOTE, alarm_prior), (good[:, either], START_GOOD_VOTE, class_prior)):
+            prior += (own[:, None] * (start[:, None] * np.log(value) + (1 - start[:, None]) * np.log(1 - value))).sum()
+        history.append(float(weight @ whole + prior))
+        if last == rounds or len(history) > 1 and history[-1] - history[-2] < 1e-12:
             break
-    return dict(zip(codes, _posterior(votes, table, good).tolist(), strict=True))
+        mass = np.stack([(1 - post) * weight, post * weight])
+        share = float(mass[1].sum() + class_prior[1]) / (1 + PRIOR_SHARE)
+        bad = _ordered(mass @ (votes == BAD), mass.sum(axis=1)[:, None], START_BAD_VOTE, alarm_prior, larger=0)
+        good = _ordered(mass @ (votes == GOOD), mass @ (votes != BAD), START_GOOD_VOTE, class_prior, larger=1)
+    return LabelModel(dict(zip(codes, post.tolist(), strict=True)), history)
+
+
+def _ordered(hits: np.ndarray, of: np.ndarray, start: np.ndarray, weight: np.ndarray, larger: int) -> np.ndarray:
+    """Shares of hits by class, the start added with its weight; pooled where they are not larger for that class."""
+    hits, of = hits + (weight * start)[:, None], of + weight[:, None] + np.zeros_like(hits)
+    share = hits / of
+    wrong = share[larger] < share[1 - larger]
+    share[:, wrong] = (hits.sum(axis=0) / of.sum(axis=0))[wrong]
+    return share
 
 
-def _posterior(votes: np.ndarray, table: np.ndarray, good: float) -> np.ndarray:
-    logs = np.log(table)
-    score = [logs[c][np.arange(votes.shape[1]), votes].sum(axis=1) for c in (0, 1)]
-    diff = np.log(1 - good) + score[0] - np.log(good) - score[1]
-    return 1 / (1 + np.exp(np.clip(diff, -500, 500)))
+def _class_logs(votes: np.ndarray, bad: np.ndarray, good: np.ndarray, either: np.ndarray) -> np.ndarray:
+    """Log-probability of each pattern in each class."""
+    rest = np.log(1 - bad)
+    voted = np.stack([np.log(bad), rest + np.where(either, np.log(1 - good), 0.0), rest + np.where(either, np.log(good), 0.0)], axis=2)
+    return np.stack([table[np.arange(votes.shape[1]), votes].sum(axis=1) for table in voted])
 
 
 def quality_rules(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
@@ -193,15 +221,16 @@ def quality_rules(docs: DataFrame, text_col: str = "text", carry: list[str] | No
 
     ``quality``: posterior probability of good quality given all votes.  ``kept``: false where a base rule fails, else
     quality >= KEEP_FROM.  The label model is fitted on the number of texts with each of at most 3^rules vote patterns, counted
-    over all rows.  Null and empty texts have no words and fail; repeated rows count as often as they occur; carried columns
-    with the name of a result give way to it; an empty table gives no rows.
+    over all rows; votes and carried columns are written to the shared folder meanwhile, so each text is read once.  Null and empty texts have no
+    words and fail; texts of any length are judged whole; repeated rows count as often as they occur; equal votes get equal verdicts; carried
+    columns with the name of a result give way to it; an empty table gives no rows.
     """
-    counted = quality_stats(docs, text_col, carry=[]).groupBy("votes").count()
-    posterior = fit_label_model({r["votes"]: r["count"] for r in counted.collect()})  # N_PATTERNS rows at most
+    kept = [c for c in (docs.columns if carry is None else carry) if c not in (*STATS, "votes", "quality", "base_failed", "kept")]
+    stats = written(quality_stats(docs, text_col, kept), "quality")
+    counted = stats.groupBy("votes").count()
+    posterior = fit_label_model({r["votes"]: r["count"] for r in counted.collect()}).posterior  # N_PATTERNS rows at most
     model = docs.sparkSession.createDataFrame(sorted(posterior.items()), "votes long, quality double")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    kept = [c for c in (docs.columns if carry is None else carry) if c not in (*STATS, "votes", "quality", "base_failed", "kept")]
-    stats = quality_stats(docs, text_col, kept)
     return (
         stats.join(F.broadcast(model), "votes", "left").withColumn("base_failed", failed)
         .select(*[quoted(c) for c in kept], *STATS, "votes", "quality", "base_failed",

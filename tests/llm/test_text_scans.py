@@ -68,13 +68,77 @@ def test_quality_query_against_labels(spark, sf_small):
     assert right >= 0.97 * judged
 
 
+def vote_code(**votes):
+    """A pattern in which the rules named vote as given, the two-way rules good and the alarms not at all otherwise."""
+    code = 0
+    for r in quality.RULES:
+        code = 3 * code + votes.get(r.name, quality.ABSTAIN if r.good == quality.NEVER else quality.GOOD)
+    return code
+
+
 def test_label_model_keeps_what_no_rule_alarms():
-    good = sum(quality.GOOD * 3**i for i in range(3))  # the last three rules vote good, the others abstain
-    code = good + sum(quality.ABSTAIN * 3**i for i in range(3, len(quality.RULES)))
-    alarmed = code - quality.ABSTAIN * 3 ** (len(quality.RULES) - 3)  # symbols votes bad
-    post = quality.fit_label_model({code: 1000, alarmed: 40})
-    assert post[code] > 0.9 > 0.5 > post[alarmed]
-    assert quality.fit_label_model({}) == {}
+    clean, alarmed = vote_code(), vote_code(symbols=quality.BAD)
+    for n, m in ((1000, 40), (1000, 400), (10, 1)):
+        model = quality.fit_label_model({clean: n, alarmed: m})
+        assert model.posterior[clean] > 0.9 > 0.5 > model.posterior[alarmed]
+    assert quality.fit_label_model({}).posterior == {}
+    only = quality.fit_label_model({clean: 5})
+    assert only.posterior[clean] > 0.9
+
+
+def test_label_model_never_lowers_its_objective():
+    rnd = random.Random(8)
+    rules = [r.name for r in quality.RULES]
+    for _ in range(20):
+        patterns = Counter()
+        for _ in range(rnd.randint(1, 40)):
+            named = {n: rnd.choice([quality.BAD, quality.ABSTAIN] + [quality.GOOD] * (quality.RULES[rules.index(n)].good != quality.NEVER)) for n in rnd.sample(rules, 4)}
+            patterns[vote_code(**named)] += rnd.randint(1, 500)
+        got = quality.fit_label_model(dict(patterns))
+        assert all(b >= a - 1e-12 for a, b in itertools.pairwise(got.objective))
+        assert all(0 <= p <= 1 for p in got.posterior.values())
+
+
+def test_label_model_against_a_plain_em():
+    """The same rounds with plain sums, pattern by pattern."""
+    patterns = {vote_code(): 300, vote_code(symbols=quality.BAD): 30, vote_code(symbols=quality.BAD, wordless=quality.BAD): 20, vote_code(few_distinct=quality.ABSTAIN): 9,
+                vote_code(upper_case=quality.BAD, no_sentences=quality.ABSTAIN): 4}
+    total, rules = sum(patterns.values()), range(len(quality.RULES))
+    either = [r.good != quality.NEVER for r in quality.RULES]
+    weak = [quality.PRIOR_SHARE * (1 - quality.START_GOOD), quality.PRIOR_SHARE * quality.START_GOOD]
+    strong = [weak[0], quality.FALSE_ALARM_SHARE]
+    p_bad = [[float(quality.START_BAD_VOTE[c])] * len(rules) for c in (0, 1)]
+    p_good = [[float(quality.START_GOOD_VOTE[c])] * len(rules) for c in (0, 1)]
+    share = quality.START_GOOD
+
+    def posterior(code):
+        like = [1 - share, share]
+        for r, v in enumerate(quality.votes_of(code)):
+            for c in (0, 1):
+                if v == quality.BAD:
+                    like[c] *= p_bad[c][r]
+                else:
+                    like[c] *= (1 - p_bad[c][r]) * ((p_good[c][r] if v == quality.GOOD else 1 - p_good[c][r]) if either[r] else 1)
+        return like[1] / sum(like)
+
+    rounds = 7
+    for _ in range(rounds):
+        mass = {code: [n / total * (1 - posterior(code)), n / total * posterior(code)] for code, n in patterns.items()}
+        size = [sum(m[c] for m in mass.values()) for c in (0, 1)]
+        share = (size[1] + weak[1]) / (1 + quality.PRIOR_SHARE)
+        for r in rules:
+            bad, good = [], []
+            for c in (0, 1):
+                hit = {v: sum(m[c] for code, m in mass.items() if quality.votes_of(code)[r] == v) for v in (quality.BAD, quality.GOOD)}
+                bad.append((hit[quality.BAD] + strong[c] * quality.START_BAD_VOTE[c], size[c] + strong[c]))
+                good.append((hit[quality.GOOD] + weak[c] * quality.START_GOOD_VOTE[c], size[c] - hit[quality.BAD] + weak[c]))
+            for table, parts, larger in ((p_bad, bad, 0), (p_good, good, 1)):
+                found = [a / b for a, b in parts]
+                if found[larger] < found[1 - larger]:
+                    found = [sum(a for a, _ in parts) / sum(b for _, b in parts)] * 2
+                table[0][r], table[1][r] = found
+    got = quality.fit_label_model(patterns, rounds).posterior
+    assert all(abs(got[code] - posterior(code)) < 1e-9 for code in patterns)
 
 
 def test_quality_edge_rows(spark):
@@ -138,8 +202,8 @@ def test_encoding_equals_the_library(model, library, sf_small):
     encoder = Encoder(model)
     for t in texts:
         want = library.encode(t)
-        ids, joined, decoded = encoder.round_trip(t)
-        assert ids == want == encoder.encode(t) and joined == " ".join(map(str, want))
+        n_ids, joined, decoded = encoder.round_trip(t)
+        assert n_ids == len(want) and encoder.encode(t) == want and joined == " ".join(map(str, want))
         assert decoded == library.decode(want) == encoder.decode(want)
 
 
