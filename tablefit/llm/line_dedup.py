@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablefit.llm.common import ascii_lower, quoted
+from tablefit.session import cut_lineage
 
 #: ASCII white space, as stripped from both ends of a line.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -53,7 +54,8 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .where(F.length(key) >= min_chars)
         .select(*row, "pos", *[h.alias(n) for n, h in zip(("h1", "h2"), _wide_hash(key), strict=True)])
     )
-    repeated = (
+    # written: so both sides of the join below come from a shuffle of their own, and adaptive execution can split a very common line
+    repeated = cut_lineage(
         lines.groupBy("h1", "h2").agg(F.count_distinct("id").alias("n_docs"), F.min("id").alias("first_id"))
         .where(F.col("n_docs") >= min_docs).drop("n_docs")
     )
