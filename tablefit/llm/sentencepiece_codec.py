@@ -2,8 +2,8 @@
 
 The merges of a text end in the one sequence of pieces in which every two neighbours, taken as a text of their own and merged
 anew, come out as themselves.  The encoder looks for that sequence from the left: the longest piece at a position
-(all matches come from one Aho-Corasick pass) is taken if it is compatible with the piece before it; else the next
-shorter one is tried, and without any, the last piece is taken back and its end marked in a bitfield of failed positions, so that no position
+(the longest matches come from one Aho-Corasick pass) is taken if it is compatible with the piece before it; else the next
+shorter one that it begins with is tried, and without any, the last piece is taken back and its end marked in a bitfield of failed positions, so that no position
 fails twice.
 
 That holds where no two pieces have the same rank.  Runs of spaces do (their pieces share one score): a chunk that begins with two spaces or
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+from collections import defaultdict
 
 import ahocorasick
 import numpy as np
@@ -25,7 +26,7 @@ from tablefit.llm.common import in_worker, map_text
 from tablefit.llm.pieces import SPACE, Pieces, chunks, shared_model
 
 #: Chunks that a worker keeps with their encoding (twice, latest and older ones), the longest one kept, and the pairs of pieces it remembers.
-CACHE_CHUNKS = 200_000
+CACHE_CHUNKS = 300_000
 CACHE_CHARS = 40
 CACHE_PAIRS = 500_000
 
@@ -58,61 +59,79 @@ class Encoder:
         self.pieces = Pieces(model)
         self.automaton = ahocorasick.Automaton()
         for p in self.pieces.ids:
-            self.automaton.add_word(p, len(p))
+            self.automaton.add_word(p, p)
         self.automaton.make_automaton()
-        self.fits: dict[tuple[str, str], bool] = {}
-        self.known: dict[str, tuple[int, str, str]] = {}
-        self.older: dict[str, tuple[int, str, str]] = {}
+        own = {p: p for p in self.pieces.ids}  # one object for each piece, whose hash is worked out once
+        #: Of each piece the longest other piece that it begins with.
+        self.shorter = {p: q for p in own if (q := next((own[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in own), None))}
+        self.id_texts = {p: str(i) for p, i in self.pieces.ids.items()}
+        #: By left piece, then right piece.
+        self.fits: dict[str, dict[str, bool]] = defaultdict(dict)
+        self.n_fits = 0
+        #: By chunk without its first space: the ids joined by spaces; with the decoded text beside them where that is another one.
+        self.known: dict[str, str | tuple[str, str]] = {}
+        self.older: dict[str, str | tuple[str, str]] = {}
 
     def compatible(self, left: str, right: str) -> bool:
         """Whether both come out as themselves when their join is merged anew (``right`` alone after an empty ``left``)."""
-        if len(self.fits) >= CACHE_PAIRS:
-            self.fits.clear()
-        ok = merge(left + right, self.pieces.scores) == ([left, right] if left else [right])
-        self.fits[left, right] = ok
+        if self.n_fits >= CACHE_PAIRS:
+            for row in self.fits.values():
+                row.clear()
+            self.n_fits = 0
+        self.n_fits += 1
+        ok = self.fits[left][right] = merge(left + right, self.pieces.scores) == ([left, right] if left else [right])
         return ok
 
-    def backtrack(self, run: str) -> list[str]:
-        """Pieces of a run of known characters."""
-        n = len(run)
-        lengths: list[list[int]] = [[] for _ in range(n)]
-        for end, size in self.automaton.iter(run):  # by end, so ascending for each start
-            lengths[end + 1 - size].append(size)
-        fits, compatible = self.fits.get, self.compatible
-        failed: bytearray | None = None
+    def backtrack(self, run: str) -> list[str] | None:
+        """Pieces of a run of known characters; None with an unknown one."""
+        fits = self.fits
         taken: list[str] = []
-        tried: list[int] = []  # of each piece taken, the index of its length among the matches at its start
-        last = ""
-        pos, choice = 0, len(lengths[0]) - 1
-        while pos < n:
-            sizes = lengths[pos]
-            while choice >= 0:
-                end = pos + sizes[choice]
+        last, row, pos = "", fits[""], 0
+        for end, piece in self.automaton.iter_long(run):  # the longest piece at each place where the one before ends
+            if end + 1 - len(piece) != pos:
+                return None
+            ok = row.get(piece)
+            if not (self.compatible(last, piece) if ok is None else ok):
+                return self._step_back(run, taken, pos, self.shorter.get(piece))
+            taken.append(piece)
+            last, row, pos = piece, fits[piece], end + 1
+        return taken if pos == len(run) else None
+
+    def _step_back(self, run: str, taken: list[str], pos: int, piece: str | None) -> list[str] | None:
+        """Goes on from the pieces taken, with the next piece to try at ``pos``: shorter ones in turn, and a step back where none fits."""
+        fits, shorter, n = self.fits, self.shorter, len(run)
+        failed: bytearray | None = None
+        last = taken[-1] if taken else ""
+        while True:
+            row = fits[last]
+            while piece is not None:
+                end = pos + len(piece)
                 if failed is None or not failed[end >> 3] >> (end & 7) & 1:
-                    piece = run[pos:end]
-                    ok = fits((last, piece))
-                    if compatible(last, piece) if ok is None else ok:
+                    ok = row.get(piece)
+                    if self.compatible(last, piece) if ok is None else ok:
                         break
-                choice -= 1
-            if choice >= 0:
-                taken.append(piece)
-                tried.append(choice)
-                last, pos = piece, end
-                if pos < n:
-                    choice = len(lengths[pos]) - 1
-            else:
+                piece = shorter.get(piece)
+            if piece is None:
                 if failed is None:
                     failed = bytearray(n // 8 + 1)
                 failed[pos >> 3] |= 1 << (pos & 7)
-                pos -= len(taken.pop())
-                choice = tried.pop() - 1
+                piece = taken.pop()
+                pos -= len(piece)
                 last = taken[-1] if taken else ""
-        return taken
+                piece = shorter.get(piece)
+                continue
+            taken.append(piece)
+            last, pos = piece, end
+            if pos == n:
+                return taken
+            end, piece = next(self.automaton.iter_long(run, pos), (-1, ""))
+            if end + 1 - len(piece) != pos:
+                return None
 
     def chunk_ids(self, chunk: str) -> list[int]:
         ids, known = self.pieces.ids, self.pieces.byte_ids
-        if ids.keys() >= set(chunk):
-            return [ids[p] for p in self._run(chunk)]
+        if (taken := self._run(chunk)) is not None:
+            return [ids[p] for p in taken]
         out: list[int] = []
         start = 0
         for i, c in enumerate(chunk):
@@ -122,10 +141,10 @@ class Encoder:
                 start = i + 1
         return out + [ids[p] for p in self._run(chunk[start:])]
 
-    def _run(self, run: str) -> list[str]:
-        if not run:
-            return []
-        return merge(run, self.pieces.scores) if run.startswith(SPACE * 2) else self.backtrack(run)
+    def _run(self, run: str) -> list[str] | None:
+        if not run.startswith(SPACE * 2):
+            return self.backtrack(run)
+        return merge(run, self.pieces.scores) if self.pieces.ids.keys() >= set(run) else None
 
     def decode_chunk(self, ids: list[int]) -> str:
         """Text of ids, spaces kept; runs of byte pieces are read as UTF-8."""
@@ -146,20 +165,23 @@ class Encoder:
             out.append(run.decode("utf-8", "replace"))
         return "".join(out)
 
-    def _chunk(self, chunk: str) -> tuple[int, str, str]:
-        ids = self.chunk_ids(chunk)
-        found = (len(ids), " ".join(map(str, ids)), self.decode_chunk(ids))
-        if len(chunk) <= CACHE_CHARS:
+    def _find(self, rest: str) -> str | tuple[str, str]:
+        """A chunk, by what follows its first space, that is not among the latest ones."""
+        if (found := self.older.get(rest)) is None:
+            chunk = SPACE + rest
+            if (taken := self._run(chunk)) is None:
+                ids = self.chunk_ids(chunk)
+                found = " ".join(map(str, ids))
+            else:
+                ids = [self.pieces.ids[p] for p in taken]
+                found = " ".join([self.id_texts[p] for p in taken])
+            decoded = self.decode_chunk(ids)
+            if decoded != " " + rest.replace(SPACE, " "):
+                found = (found, decoded)
+        if len(rest) <= CACHE_CHARS:
             if len(self.known) >= CACHE_CHUNKS:  # the chunks seen since the last time go to the older half
                 self.older, self.known = self.known, {}
-            self.known[chunk] = found
-        return found
-
-    def _find(self, chunk: str) -> tuple[int, str, str]:
-        """A chunk that is not among the latest ones."""
-        if (found := self.older.get(chunk)) is None:
-            return self._chunk(chunk)
-        self.known[chunk] = found
+            self.known[rest] = found
         return found
 
     def encode(self, text: str) -> list[int]:
@@ -170,14 +192,23 @@ class Encoder:
 
     def round_trip(self, text: str) -> tuple[int, str, str]:
         """Number of ids, the ids joined by spaces, and their decoded text; chunk by chunk, as byte runs end with their chunk."""
-        get, find = self.known.get, self._find
-        parts = []
-        for c in chunks(text):
-            if (p := get(c)) is None:
-                p = find(c)
-                get = self.known.get
-            parts.append(p)
-        return sum([p[0] for p in parts]), " ".join([p[1] for p in parts]), "".join([p[2] for p in parts]).removeprefix(" ")
+        if not text:
+            return 0, "", ""
+        rests = text.split(" ")
+        if SPACE in text or not all(rests):
+            rests = [c[1:] for c in chunks(text)]
+        parts = list(map(self.known.get, rests))
+        odd = False
+        for i in [i for i, p in enumerate(parts) if p.__class__ is not str]:
+            if (p := parts[i]) is None:
+                p = parts[i] = self.known.get(rests[i]) or self._find(rests[i])
+            odd = odd or p.__class__ is not str
+        if odd:
+            joined = " ".join([p if p.__class__ is str else p[0] for p in parts])
+            decoded = "".join([" " + r.replace(SPACE, " ") if p.__class__ is str else p[1] for p, r in zip(parts, rests, strict=True)]).removeprefix(" ")
+        else:  # every chunk was found to decode to itself
+            joined, decoded = " ".join(parts), text.replace(SPACE, " ")
+        return joined.count(" ") + 1, joined, decoded
 
 
 RESULTS = {"n_tokens": T.LongType(), "ids": T.ArrayType(T.IntegerType()), "ids_sha256": T.StringType(), "decoded": T.StringType(),
