@@ -22,6 +22,8 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablefit.operators.fold_quantile import complement_quantiles
+from tablefit.operators.impute import MissingValueImputer, MissingValueImputerModel
 from tablefit.operators.models import persisted
 
 
@@ -99,6 +101,24 @@ def best_params(spark: SparkSession, cv_model: CrossValidatorModel, names: Seque
     return spark.createDataFrame(rows, "param string, value string")
 
 
+def _stages(stage) -> list:
+    """All stages of nested pipelines."""
+    return [s for part in stage.getStages() for s in _stages(part)] if isinstance(stage, Pipeline) else [stage]
+
+
+def _exact_median(stage) -> bool:
+    return isinstance(stage, MissingValueImputer) and stage.getOrDefault(stage.strategy) == "median" and stage.getRelativeError() == 0.0
+
+
+def _with_medians(stage, medians: Mapping[str, float | None]):
+    """The stage with its exact-median imputers replaced by models of the given medians; columns without one are left to the fit, which refuses them."""
+    if isinstance(stage, Pipeline):
+        return Pipeline(stages=[_with_medians(s, medians) for s in stage.getStages()])
+    if not _exact_median(stage) or any(medians.get(c) is None for c in stage.getInputCols()):
+        return stage
+    return stage._copyValues(MissingValueImputerModel(surrogates=[float(medians[c]) for c in stage.getInputCols()]))
+
+
 def cross_validate_pipeline(prep, final_stage, grid: Mapping[str, Sequence], train: DataFrame,
                             evaluator=None, fold_col: str = "fold", num_folds: int = 3,
                             parallelism: int = 1) -> CrossValidatorModel:
@@ -107,14 +127,17 @@ def cross_validate_pipeline(prep, final_stage, grid: Mapping[str, Sequence], tra
     category list -- leaks from validation to training.
 
     The features do not depend on the grid: they are fitted once per fold, and
-    the grid is searched on the transformed rows.  The best model is the whole
+    the grid is searched on the transformed rows.  Exact medians of all folds' training rows
+    are found together, in the rounds of one.  The best model is the whole
     pipeline, refitted on all rows.
     """
+    imputed = [c for s in _stages(prep) if _exact_median(s) for c in s.getInputCols()]
+    medians = complement_quantiles(train, imputed, num_folds, fold_col) if imputed else {}
     evaluator = evaluator or auc_evaluator()
     maps = param_grid(final_stage, grid)
     metrics: list[list[float]] = [[] for _ in maps]
     for fold in range(num_folds):
-        fitted = prep.fit(train.where(F.col(fold_col) != fold))
+        fitted = _with_medians(prep, medians.get(fold, {})).fit(train.where(F.col(fold_col) != fold))
         seen = fitted.transform(train.where(F.col(fold_col) != fold))
         held = fitted.transform(train.where(F.col(fold_col) == fold))
         with persisted(seen), persisted(held), ThreadPool(parallelism) as pool:
