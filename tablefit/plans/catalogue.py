@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tablefit.plans import feature_queries, model_queries, profile_queries  # noqa: F401  (registers)
+from tablefit.plans import feature_queries, model_queries, profile_queries, search_queries  # noqa: F401  (registers)
 from tablefit.plans.registry import ORACLES, QUERIES, SURVEY_IDS
 
 

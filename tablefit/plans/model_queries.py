@@ -17,12 +17,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
-from tablefit.operators import evaluate, features, models, profile, split, tune
+from tablefit.operators import evaluate, features, models, profile, search_log, split, tune
 from tablefit.plans.feature_queries import client_features
 from tablefit.plans.profile_queries import prepared_clients
 from tablefit.plans.registry import query
 from tablefit.session import cut_lineage
 from tablefit.sources import blocks, clients
+from tablefit.sources.tables import table_path
 
 TRAIN_BLOCKS = "(SELECT * FROM blocks_split WHERE bucket < 80)"
 TRAIN_CLIENTS = "(SELECT * FROM clients_split WHERE bucket < 80)"
@@ -252,7 +253,7 @@ def q_metric_bundle(spark, base):
 
 # ------------------------------------------------- leaderboard and tuning
 
-def _client_frames(spark, base):
+def client_frames(spark, base):
     df, pipe = client_features(spark, base)
     fitted = features.fit_features(pipe, df, train=df.where(F.col("split") == "train"))
     frame = cut_lineage(fitted.transform(df).select("id", "split", "features",
@@ -262,7 +263,7 @@ def _client_frames(spark, base):
 
 @query("leaderboard", "E8,M7,M8,M9,M10")
 def q_leaderboard(spark, base):
-    train, test = _client_frames(spark, base)
+    train, test = client_frames(spark, base)
     fitted = _fit_all(spark, train, ("logistic_regression", "decision_tree", "random_forest"))
     stacked = evaluate.stack_predictions(test, fitted)
     return evaluate.leaderboard([evaluate.model_metrics(stacked)], "balanced_accuracy")
@@ -289,30 +290,23 @@ def _fit_all(spark, train, names):
     return fitted
 
 
-_SEARCHES: dict = {}
-
-
-def _once(spark, base, name, make):
-    """One search of a session and table folder, shared by the queries that read its results, best point and score."""
-    key = (spark.sparkContext.applicationId, base, name)
-    if key not in _SEARCHES:
-        _SEARCHES[key] = make()
-    return _SEARCHES[key]
+def _logged(spark, base, tables, est, grid, train, folds, evaluator=None, about=""):
+    """A search that takes from the log in the shared folder what an earlier run on the same files has finished."""
+    evaluator = evaluator or tune.auc_evaluator()
+    version = search_log.input_version(spark, [table_path(base, t) for t in tables])
+    log = search_log.SearchLog(spark, search_log.search_key(version, est, grid, evaluator, folds, about))
+    return search_log.search(est, grid, train, log, evaluator, "fold", folds, parallelism=8)
 
 
 def _search(spark, base, name):
     """The surveyed grid and folds of a classifier of the registry: (search, test frame)."""
-    def make():
-        train, test = _once(spark, base, "client_frames", lambda: _client_frames(spark, base))
-        folds = models.FOLDS[name]
-        est = models.estimator(name)
-        if est.hasParam("seed"):
-            est = est.copy({est.getParam("seed"): 1234})
-        cvm = tune.cross_validate(est, models.GRIDS[name], split.with_folds(train, "id", folds),
-                                  fold_col="fold", num_folds=folds, parallelism=8)
-        return cvm, test
-
-    return _once(spark, base, name, make)
+    train, test = client_frames(spark, base)
+    folds = models.FOLDS[name]
+    est = models.estimator(name)
+    if est.hasParam("seed"):
+        est = est.copy({est.getParam("seed"): 1234})
+    found = _logged(spark, base, ("orders", "customer"), est, models.GRIDS[name], split.with_folds(train, "id", folds), folds, about="client_frames")
+    return found, test
 
 
 def _cv(spark, base):
@@ -321,9 +315,9 @@ def _cv(spark, base):
 
 def _search_rows(spark, base, name):
     """Per-point results of a search, the test metrics of its best model on the best row."""
-    cvm, test = _search(spark, base, name)
-    score = evaluate.model_metrics(evaluate.stack_predictions(test, {name: cvm.bestModel}))
-    return tune.cv_results(spark, cvm).withColumn("model", F.when(F.col("is_best"), F.lit(name))).join(
+    found, test = _search(spark, base, name)
+    score = evaluate.model_metrics(evaluate.stack_predictions(test, {name: found.best_model()}))
+    return found.results(spark).withColumn("model", F.when(F.col("is_best"), F.lit(name))).join(
         F.broadcast(score), "model", "left")  # one row
 
 
@@ -356,33 +350,30 @@ def _saturated_search(spark, base):
     the cell mean of the other folds."""
     from pyspark.ml.evaluation import RegressionEvaluator
 
-    def make():
-        df = split.with_folds(split.with_split(blocks(spark, base), "block_id"), "block_id", 3)
-        df = df.select("category", "status", "split", "fold", F.col("total_value").alias("label"))
-        prep = Pipeline(stages=[
-            StringIndexer(inputCols=["category", "status"], outputCols=["category_index", "status_index"]),
-            VectorAssembler(inputCols=["category_index", "status_index"], outputCol="features"),
-        ]).fit(df)
-        frame = prep.transform(df)
-        cvm = tune.cross_validate(DecisionTreeRegressor(), {"maxDepth": [0, TREE_DEPTH]}, frame.where("split = 'train'"),
-                                  evaluator=RegressionEvaluator(metricName="rmse"), num_folds=3, parallelism=2)
-        return cvm, frame.where("split = 'test'")
-
-    return _once(spark, base, "saturated", make)
+    df = split.with_folds(split.with_split(blocks(spark, base), "block_id"), "block_id", 3)
+    df = df.select("category", "status", "split", "fold", F.col("total_value").alias("label"))
+    prep = Pipeline(stages=[
+        StringIndexer(inputCols=["category", "status"], outputCols=["category_index", "status_index"]),
+        VectorAssembler(inputCols=["category_index", "status_index"], outputCol="features"),
+    ]).fit(df)
+    frame = cut_lineage(prep.transform(df).select("features", "label", "fold", "split"))
+    found = _logged(spark, base, ("orders", "customer", "lineitem"), DecisionTreeRegressor(), {"maxDepth": [0, TREE_DEPTH]}, frame.where("split = 'train'"), 3,
+                    RegressionEvaluator(metricName="rmse"), "saturated")
+    return found, frame.where("split = 'test'")
 
 
 @query("cv_saturated", "T1,T2,T3,T6",
        _SEARCH_SQL + "SELECT CAST(point AS INTEGER) AS point, params, round(mean_metric, 4) AS mean_metric, "
        "round(std_metric, 4) AS std_metric, point = best AS is_best FROM r, b")
 def q_cv_saturated(spark, base):
-    out = tune.cv_results(spark, _saturated_search(spark, base)[0])
+    out = _saturated_search(spark, base)[0].results(spark)
     return profile.with_rounded(out, {"mean_metric": 4, "std_metric": 4})
 
 
 @query("cv_saturated_best", "T4",
        _SEARCH_SQL + "SELECT 'maxDepth' AS param, CASE best WHEN 0 THEN '0' ELSE '8' END AS value FROM b")
 def q_cv_saturated_best(spark, base):
-    return tune.best_params(spark, _saturated_search(spark, base)[0], names=["maxDepth"])
+    return _saturated_search(spark, base)[0].best_params(spark, ["maxDepth"])
 
 
 @query("cv_saturated_score", "T5,E1",
@@ -390,27 +381,25 @@ def q_cv_saturated_best(spark, base):
        "SELECT count(*) AS n, round(sqrt(avg(power(y - CASE best WHEN 0 THEN p0 ELSE p8 END, 2))), 4) AS rmse "
        "FROM t JOIN c USING (category, status), a, b WHERE bucket >= 80")
 def q_cv_saturated_score(spark, base):
-    cvm, test = _saturated_search(spark, base)
-    out = evaluate.regression_metrics(cvm.transform(test)).select("n", "rmse")
+    found, test = _saturated_search(spark, base)
+    out = evaluate.regression_metrics(found.best_model().transform(test)).select("n", "rmse")
     return profile.with_rounded(out, {"rmse": 4})
 
 
 @query("cv_results", "T1,T2,T3,T6")
 def q_cv_results(spark, base):
-    cvm, _ = _cv(spark, base)
-    return tune.cv_results(spark, cvm)
+    return _cv(spark, base)[0].results(spark)
 
 
 @query("cv_best_params", "T4")
 def q_cv_best_params(spark, base):
-    cvm, _ = _cv(spark, base)
-    return tune.best_params(spark, cvm, names=["regParam", "elasticNetParam", "maxIter"])
+    return _cv(spark, base)[0].best_params(spark, ["regParam", "elasticNetParam", "maxIter"])
 
 
 @query("cv_score", "T5,E7")
 def q_cv_score(spark, base):
-    cvm, test = _cv(spark, base)
-    stacked = evaluate.stack_predictions(test, {"logistic_regression_cv": cvm.bestModel})
+    found, test = _cv(spark, base)
+    stacked = evaluate.stack_predictions(test, {"logistic_regression_cv": found.best_model()})
     return evaluate.model_metrics(stacked)
 
 
@@ -442,17 +431,16 @@ def q_regression_leaderboard(spark, base):
 
 @query("rf_regression_cv", "T1,T2,T3,T4,T5")
 def q_rf_regression_cv(spark, base):
+    """Per-point results of the surveyed forest search; on the best row, the held-out errors of its model."""
     from pyspark.ml.evaluation import RegressionEvaluator
 
     name = "random_forest_regression"
     train, test = _block_frames(spark, base)
-    train = split.with_folds(train, "block_id", models.FOLDS[name])
-    cvm = tune.cross_validate(models.estimator(name, seed=1234), models.GRIDS[name], train,
-                              evaluator=RegressionEvaluator(metricName="rmse"), fold_col="fold",
-                              num_folds=models.FOLDS[name], parallelism=8)
-    scored = cvm.transform(test)
-    held_out = evaluate.regression_metrics(scored).withColumn("model", F.lit("random_forest_regression_cv"))
-    return held_out
+    folds = models.FOLDS[name]
+    found = _logged(spark, base, ("orders", "customer", "lineitem"), models.estimator(name, seed=1234), models.GRIDS[name], split.with_folds(train, "block_id", folds), folds,
+                    RegressionEvaluator(metricName="rmse"), "block_frames")
+    held_out = evaluate.regression_metrics(found.best_model().transform(test)).withColumn("model", F.lit(name))
+    return found.results(spark).withColumn("model", F.when(F.col("is_best"), F.lit(name))).join(F.broadcast(held_out), "model", "left")  # one row
 
 
 @query("cv_leak_free", "T1,T2,T3,T6,F8,D2")
