@@ -20,6 +20,8 @@ from tablefit.functions.expr import as_col, round_half_away
 
 # Largest correlation matrix we bring to the driver (d x d doubles).
 MAX_CORRELATION_COLUMNS = 1024
+#: Columns of ``via="agg"``; ``wide_correlation`` has no such bound.
+MAX_PAIRWISE_COLUMNS = 64
 
 
 def _c(name: str) -> Column:
@@ -178,6 +180,8 @@ def correlation_long(df: DataFrame, cols: Sequence[str], method: str = "pearson"
         raise ValueError(f"{d} columns exceeds the correlation limit {MAX_CORRELATION_COLUMNS}")
     spark = df.sparkSession
     if via == "agg":
+        if d > MAX_PAIRWISE_COLUMNS:  # d * (d - 1) / 2 aggregates in one plan
+            raise ValueError(f"{d} columns exceed {MAX_PAIRWISE_COLUMNS} for pairwise aggregates; use correlation_wide")
         if method != "pearson":
             raise ValueError("via='agg' supports pearson only")
         aggs, pairs = [], []

@@ -457,6 +457,53 @@ def q_cv_leak_free(spark, base):
     return tune.cv_results(spark, cvm)
 
 
+_CELLS = (
+    f"WITH r AS (SELECT pay_1, sex, avg(label) AS p FROM {TRAIN_CLIENTS} GROUP BY ALL), "
+    "t AS (SELECT label, p, p > 0.5 AS hit FROM clients_split JOIN r USING (pay_1, sex) WHERE bucket >= 80), "
+    "c AS (SELECT count(*) FILTER (WHERE hit AND label = 1) AS tp, count(*) FILTER (WHERE hit AND label = 0) AS fp, "
+    "count(*) FILTER (WHERE NOT hit AND label = 1) AS fn, count(*) FILTER (WHERE NOT hit AND label = 0) AS tn FROM t), "
+    "m(model, rank) AS (VALUES ('decision_tree', 1), ('random_forest', 2)) "
+)
+
+
+@query("leaderboard_saturated", "E8,E7,M8,M9,M10",
+       _CELLS + "SELECT model, rank::INTEGER AS rank, tp, fp, fn, tn, round((tp / (tp + fn) + tn / (tn + fp)) / 2, 12) AS balanced_accuracy FROM m, c")
+def q_leaderboard_saturated(spark, base):
+    """Two fitted models that isolate every cell of two factors, scored on the held-out rows: their board has a closed form."""
+    df = split.with_split(prepared_clients(spark, base), "id").withColumn("label", F.col("label").cast("double"))
+    frame = cut_lineage(VectorAssembler(inputCols=["pay_1", "sex"], outputCol="features").transform(df).select("split", "features", "label"))
+    train = frame.where("split = 'train'")
+    learners = {"decision_tree": DecisionTreeClassifier(maxDepth=TREE_DEPTH),
+                "random_forest": RandomForestClassifier(maxDepth=TREE_DEPTH, numTrees=5, bootstrap=False, featureSubsetStrategy="all", seed=1234)}
+    with models.persisted(train):
+        fitted = {name: est.fit(train) for name, est in learners.items()}
+    board = evaluate.leaderboard([evaluate.model_metrics(evaluate.stack_predictions(frame.where("split = 'test'"), fitted))], "balanced_accuracy")
+    out = board.select("model", "rank", "tp", "fp", "fn", "tn", "balanced_accuracy")
+    return profile.with_rounded(out, {"balanced_accuracy": 12})
+
+
+@query("stream_rules", "M10,E6",
+       "SELECT label::DOUBLE AS label, CASE WHEN pay_1 >= 3 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, count(*) AS count FROM clients_prep GROUP BY ALL")
+def q_stream_rules(spark, base):
+    """All clients replayed as a file stream, scored by a rule, in a running confusion matrix."""
+    import uuid
+
+    from tablefit.session import scratch_path
+    from tablefit.streaming import read_stream, start_confusion
+
+    df = prepared_clients(spark, base).select("id", "pay_1", F.col("label").cast("double").alias("label"))
+    path = scratch_path(spark, "stream-rules")
+    df.repartition(4, "id").write.parquet(path)
+    stream = read_stream(spark, path, df.schema, max_files_per_trigger=2)
+    name = f"rules_{uuid.uuid4().hex[:12]}"
+    q = start_confusion(stream.withColumn("prediction", (F.col("pay_1") >= 3).cast("double")), name)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return spark.table(name)
+
+
 @query("stream_confusion", "M10,E6")
 def q_stream_confusion(spark, base):
     """The held-out clients, written as parquet parts to the shared folder,
