@@ -1,7 +1,8 @@
 """A training corpus from ``documents``: five stages, each over all that the one before kept.
 
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as
-the next one's docs.  All but the last return the columns of docs.  Docs columns with any other name are carried along unread.
+the next one's docs.  All but the last return the columns of docs.  Docs columns with any other name are carried along unread, also where they are
+called like a result of a stage.  Every stage reads texts of any length whole and gives no rows for an empty table.
 """
 
 from __future__ import annotations
@@ -30,25 +31,29 @@ def _back(docs: DataFrame, names: dict[str, str]) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep.  Null, empty and very short texts go; repeated rows are judged alike, and stay or go together."""
     given, names = _aside(docs)
     return _back(quality.quality_rules(given).where("kept"), names)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id."""
+    """One document of each group of near copies, the one with the smallest id.
+
+    Repeated rows and texts without words are copies of each other; null ids come last, and of several rows with one id and fingerprint the one first by a hash
+    of its columns stays.
+    """
     given, names = _aside(docs)
     return _back(simhash.drop_near_copies(given, SHINGLE_WORDS, MAX_BITS), names)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the contamination rule does not hit."""
+    """Documents that the contamination rule does not hit.  Null and empty texts have no words and stay; repeated rows are judged alike."""
     given, names = _aside(docs)
     return _back(decontaminate.find_contamination(given, table(spark, sf_dir, "benchmark")).where("not contaminated"), names)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data masked; ``n_chars`` follows a changed text."""
+    """All documents, personal data masked; ``n_chars`` follows a changed text.  Null texts stay null, empty ones empty; repeated rows stay repeated."""
     given, names = _aside(docs)
     masked = _back(pii.mask_pii(given.withColumn("__plain", F.col("text"))), {**names, "__plain": "__plain"})
     changed = ~F.col("__plain").eqNullSafe(F.col("text"))
@@ -57,7 +62,10 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The other columns of each document, with the ids of its text, their number, and a digest of the text decoded from them."""
+    """The other columns of each document, with the ids of its text, their number, and a digest of the text decoded from them.
+
+    Null texts are encoded as empty ones; repeated rows stay repeated; other columns called like these results give way to them.
+    """
     carry = [c for c in docs.columns if c != "text" and c not in ENCODED]
     return sentencepiece_codec.encode_documents(docs, piece_model(), carry=carry, results=ENCODED)
 
