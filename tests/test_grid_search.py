@@ -45,7 +45,7 @@ def test_sums_by_key_add_up(spark):
 
 
 def test_linear_search_equals_spark(frame):
-    grid = {"regParam": [0.0, 0.5, 20.0], "elasticNetParam": [0.0, 0.3, 1.0]}
+    grid = {"regParam": [0.0, 20.0], "elasticNetParam": [0.0, 0.3]}
     got = search_linear(frame.withColumn("label", F.col("value")), grid, 4)
     cv = tune.cross_validate(LinearRegression(labelCol="value", maxIter=500, tol=1e-12), grid, frame, RegressionEvaluator(labelCol="value", metricName="rmse"), num_folds=4)
     assert [p for p in got.points] == [{q.name: v for q, v in m.items()} for m in cv.getEstimatorParamMaps()]
