@@ -2,9 +2,12 @@
 
 Two character models of words, one for toxic and one for ordinary texts, are fitted on labelled texts: absolute discounting of
 each class's counts over histories of ORDER - 1 characters, the discounted mass going to one shared lower-order model.  The shared
-backoff counts are Kneser-Ney type counts (in how many different words an n-gram occurs), gathered from every word of the whole corpus,
-labelled or not; so an expression that is rare in a class is smoothed by what all texts say about it.  No n-gram is left out; the counts stay in
-Spark tables, keyed by 64-bit hashes, and what scoring holds is one number for each n-gram and history of the labelled sample.
+backoff counts are Kneser-Ney type counts (how often an n-gram occurs in the different words), gathered from every word of the whole corpus,
+labelled or not; so an expression that is rare in a class is smoothed by what all texts say about it.  No n-gram of the labelled sample is left out.
+
+The sample is bounded in texts and in characters of its different words, and so is all that comes to the driver or goes to the tasks: numbers
+for its n-grams and histories, by 64-bit keys.  The corpus' words stay in Spark: each distinct word once, as its endings, cut where the sample
+knows no longer history, dealt by their first two characters and counted in one sorted pass like a trie, with a stack of ORDER numbers.
 
 The toxic and the ordinary log-likelihood, each divided by the number of words, are compared for the whole text, for each window of WINDOW words
 (a word repeated within a window counts once) and for the STRONGEST most telling different words.  The mean difference, the largest one of a window
@@ -27,7 +30,7 @@ from pyspark.sql import types as T
 from tablefit.llm.common import bound_batches, hand_out, in_worker, map_text, quoted
 from tablefit.session import cut_lineage
 
-ORDER = 12
+ORDER = 8
 DISCOUNT = 0.75
 WINDOW = 8
 STRONGEST = 4
@@ -36,8 +39,8 @@ FLOOR = 1 / 2000
 #: The models are fitted on at most so many labelled texts of either class, those first by a hash of their ids.
 MAX_TOXIC = 10_000
 MAX_ORDINARY = 20_000
-#: log2 of the bits that tell which n-grams no labelled word has.  Counts of those are not needed; what passes wrongly is dropped by the joins.
-FILTER_BITS = 26
+#: ... and on no more texts than give this many characters in different words: else on half as many, and so on.
+MAX_WORD_CHARS = 2_000_000
 #: Words whose n-grams are counted at a time.
 GROUP_WORDS = 50_000
 #: Rows that a task passes on at once.
@@ -236,10 +239,6 @@ def word_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
-def _bits(keys: np.ndarray) -> np.ndarray:
-    return (keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-
-
 def _signed(keys: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
@@ -294,51 +293,53 @@ def _word_counts(train: DataFrame, text_col: str) -> DataFrame:
     return part.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
-def _class_grams(words: DataFrame) -> DataFrame:
-    """(gram, history, toxic, ordinary, tails) of rows (word, toxic, ordinary); tails: keys of the gram's endings, the shortest first."""
-    bound_batches(words.sparkSession)
-
-    def run(batches):
-        for rows in _groups(batches):
-            names = [r[0] for r in rows]
-            each = np.array([r[1:] for r in rows], dtype=np.int64)
-            owner, gram, history, last = word_grams(names)
-            by_end = np.zeros((ORDER, int(sum(map(len, names)) + 2 * len(names))), dtype=np.uint64)
-            for size, (_, _, key, _, at) in enumerate(_substrings(names)):
-                by_end[size, at + size] = key
-            kinds, first, of = np.unique(gram, return_index=True, return_inverse=True)
-            begin = np.concatenate(([0], np.cumsum([len(n) + 2 for n in names])))[owner[first]]
-            length = np.minimum(last[first] - begin + 1, ORDER)
-            tails = by_end[:, last[first]].T
-            flat = tails[np.arange(ORDER)[None, :] < length[:, None]]
-            sums = [np.bincount(of, weights=each[owner, c], minlength=len(kinds)).astype(np.int64) for c in (0, 1)]
-            for a in range(0, len(kinds), BATCH):
-                cut = slice(a, a + BATCH)
-                ends = np.concatenate(([0], np.cumsum(length)))
-                lists = pa.ListArray.from_arrays(pa.array((ends[a : a + BATCH + 1] - ends[a])[: len(length[cut]) + 1], pa.int32()),
-                                                 pa.array(_signed(flat[ends[a] : ends[min(a + BATCH, len(kinds))]])))
-                yield pa.RecordBatch.from_arrays([pa.array(_signed(kinds[cut])), pa.array(_signed(history[first][cut])), pa.array(sums[0][cut]),
-                                                  pa.array(sums[1][cut]), lists], names=["gram", "history", "toxic", "ordinary", "tails"])
-
-    part = words.mapInArrow(run, "gram long, history long, toxic long, ordinary long, tails array<long>")
-    return part.groupBy("gram", "history").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"), F.first("tails").alias("tails"))
-
-
-def _filter_of(words: DataFrame) -> np.ndarray:
-    """One bit, by its key, for each n-gram of the words; FILTER_BITS bound it whatever their number."""
-    bound_batches(words.sparkSession)
-
-    def run(batches):
-        held = np.zeros(1 << FILTER_BITS, dtype=bool)
-        for rows in _groups(batches):
-            for _, _, key, _, _ in _substrings([r[0] for r in rows]):
-                held[_bits(key)] = True
-        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(held, bitorder="little").tobytes()], pa.binary())], names=["bits"])
-
-    out = np.zeros(1 << (FILTER_BITS - 3), dtype=np.uint8)
-    for r in words.select("word").coalesce(6).mapInArrow(run, "bits binary").toLocalIterator():
-        out |= np.frombuffer(r["bits"], dtype=np.uint8)
-    return out
+class SampleGrams:
+    """All strings of up to ORDER characters in the sample's words, by length: sorted keys, and the keys of each one's history and ending."""
+
+    def __init__(self, words: list[str]) -> None:
+        parts: list[list[tuple[np.ndarray, ...]]] = [[] for _ in range(ORDER)]
+        for a in range(0, len(words), GROUP_WORDS):
+            own = words[a : a + GROUP_WORDS]
+            shorter = np.full(sum(map(len, own)) + 2 * len(own) + 1, EMPTY)
+            for part, (_, _, key, history, at) in zip(parts, _substrings(own), strict=True):
+                kinds, first = np.unique(key, return_index=True)
+                part.append((kinds, history[first], shorter[at[first] + 1]))
+                shorter = np.zeros_like(shorter)
+                shorter[at] = key
+        self.levels: list[tuple[np.ndarray, ...]] = []
+        for part in parts:
+            key, *rest = map(np.concatenate, zip(*part, strict=True))
+            kinds, first = np.unique(key, return_index=True)
+            self.levels.append((kinds, *(x[first] for x in rest)))
+        self.keys = np.unique(np.concatenate([level[0] for level in self.levels]))
+
+    def probabilities(self, counts: dict[str, tuple[np.ndarray, ...]]) -> tuple[np.ndarray, np.ndarray]:
+        """Keys, sorted, and the lower-order model's probability of each string's last character after the others."""
+        below = (np.array([EMPTY]), np.array([FLOOR]))
+        out = [], []
+        for kinds, history, ending in self.levels:
+            n = _looked_up(kinds, *counts["gram"])
+            total, others = (_looked_up(history, counts["history"][0], counts["history"][i]) for i in (1, 2))
+            some = np.maximum(total, 1)
+            p = np.maximum(n - DISCOUNT, 0) / some + np.where(total > 0, DISCOUNT * others / some, 1.0) * _looked_up(ending, *below, FLOOR)
+            below = kinds, p
+            out[0].append(kinds)
+            out[1].append(p)
+        keys, p = map(np.concatenate, out)
+        order = np.argsort(keys)
+        return keys[order], p[order]
+
+
+def _looked_up(wanted: np.ndarray, keys: np.ndarray, values: np.ndarray, other: float = 0.0) -> np.ndarray:
+    """Values by sorted keys."""
+    if not len(keys):
+        return np.full(len(wanted), other)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, values[at], other)
+
+
+def _held(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    return _looked_up(wanted, keys, np.ones(len(keys))) > 0
 
 
 def corpus_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -363,84 +364,136 @@ def corpus_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return found.select(F.explode("words").alias("word")).distinct()
 
 
-def _type_counts(words: DataFrame, bits) -> DataFrame:
-    """(tail, n, total, kinds): in how many of the words each n-gram of the filter occurs, and how often and with how many
-    last characters its history does, over all words."""
-    spark = words.sparkSession
-    bound_batches(spark)
+def _endings(words: DataFrame, sample) -> DataFrame:
+    """(ending, n) of the words, from each of their characters on: as many characters as the sample knows histories for, and ORDER at most."""
+    bound_batches(words.sparkSession)
 
     def run(batches):
-        held = bits.value
-
-        def alive(keys):
-            at = _bits(keys)
-            return (held[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
-
+        keys = in_worker(sample, lambda x: x)
         for rows in _groups(batches):
-            for size, (owner, first, key, history, _) in enumerate(_substrings([r[0] for r in rows], alive), 1):
-                if size == 1:  # the start alone is no n-gram
-                    owner, key, history = owner[~first], key[~first], history[~first]
-                order = np.argsort(key, kind="stable")
-                owner, key, history = owner[order], key[order], history[order]
-                other = np.ones(len(key), dtype=bool)
-                other[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])  # once in a word
-                key, history = key[other], history[other]
-                at = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))[: len(key)])
-                n = np.diff(np.concatenate((at, [len(key)])))
-                key, history = key[at], history[at]
-                wanted = alive(key)
-                for a in range(0, len(key), BATCH):
-                    cut = slice(a, a + BATCH)
-                    yield pa.RecordBatch.from_arrays([pa.array(_signed(history[cut])), pa.array(_signed(key[cut])), pa.array(n[cut]), pa.array(wanted[cut])],
-                                                     names=["history", "tail", "n", "wanted"])
-
-    part = words.mapInArrow(run, "history long, tail long, n long, wanted boolean")
-    # by history: its n-grams are few, as many as there are characters, and their sums need no other shuffle
-    dealt = part.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "history")
-    types = dealt.groupBy("history", "tail", "wanted").agg(F.sum("n").alias("n"))
-    of = Window.partitionBy("history")
-    types = types.withColumn("total", F.sum("n").over(of)).withColumn("kinds", F.count("*").over(of))
-    return types.where("wanted").select("tail", "n", "total", "kinds")
-
-
-def _differences(grams: DataFrame, types: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(key, difference) after each class n-gram, and of the shared model's weight after each class history."""
-    chains = grams.select("gram", F.posexplode("tails").alias("size", "tail")).join(types, "tail")
-    low = F.aggregate(
-        F.sort_array(F.collect_list(F.struct("size", "n", "total", "kinds"))), F.lit(FLOOR),
-        lambda p, x: F.greatest(x["n"] - F.lit(DISCOUNT), F.lit(0.0)) / x["total"] + DISCOUNT * x["kinds"] / x["total"] * p)
-    shared = chains.groupBy("gram").agg(low.alias("low"))  # at most ORDER rows each
-
-    def weight(c):
-        return F.when(F.col(f"s_{c}") > 0, DISCOUNT * F.col(f"k_{c}") / F.col(f"s_{c}")).otherwise(1.0)
-
-    def log(c):
-        own = F.when(F.col(f"s_{c}") > 0, F.greatest(F.col(c) - F.lit(DISCOUNT), F.lit(0.0)) / F.col(f"s_{c}")).otherwise(0.0)
-        return F.log(own + weight(c) * F.col("low"))
-
-    kinds = ("toxic", "ordinary")
-    sums = grams.groupBy("history").agg(*[F.sum(c).alias(f"s_{c}") for c in kinds], *[F.count_if(F.col(c) > 0).alias(f"k_{c}") for c in kinds])
-    after = grams.drop("tails").join(shared, "gram").join(sums, "history").select(F.col("gram").alias("key"), (log("toxic") - log("ordinary")).alias("difference"))
-    return after, sums.select(F.col("history").alias("key"), (F.log(weight("toxic")) - F.log(weight("ordinary"))).alias("difference"))
-
-
-def _sorted_arrays(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Keys in order and their differences, 16 bytes for each of the labelled sample's."""
-    found = table.toArrow()
-    keys, values = (found.column(i).to_numpy() for i in range(2))
-    keys = keys.astype(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], values[order].astype(np.float64)
+            names = [r[0] for r in rows]
+            text = "".join(f"^{w}$" for w in names)
+            size = np.zeros(len(text), dtype=np.int64)
+            for n, (_, _, _, _, at) in enumerate(_substrings(names, lambda history: _held(keys, history)), 1):
+                size[at] = n
+            starts = np.arange(len(text))
+            found = Counter([text[a:b] for a, b in zip(starts.tolist(), (starts + size).tolist(), strict=True)])
+            listed, times = list(found), list(found.values())
+            for a in range(0, len(listed), BATCH):
+                yield pa.RecordBatch.from_arrays([pa.array(listed[a : a + BATCH], pa.string()), pa.array(times[a : a + BATCH], pa.int64())], names=["ending", "n"])
+
+    return words.mapInArrow(run, "ending string, n long")
+
+
+_MASK = (1 << 64) - 1
+
+
+def _longer_key(key: int, char: str) -> int:
+    """``_longer`` of one string."""
+    h = (key ^ (ord(char) + 1)) * 0x9E3779B97F4A7C15 & _MASK
+    h ^= h >> 32
+    h = h * 0xD6E8FEB86659FD93 & _MASK
+    return h ^ (h >> 29)
+
+
+def _trie_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over sorted endings, all with one first pair of characters in one task: (kind, key, n, others) of each of their beginnings; kind 0 (2: a single
+    character): how often it occurs, kind 1: how often it goes on, and with how many characters."""
+    last = ""
+    keys, times, onward, others = ([0] * (ORDER + 1) for _ in range(4))
+    keys[0] = int(EMPTY)
+    out: list[tuple[int, int, int, int]] = []
+
+    def close(down_to: int) -> None:
+        for size in range(len(last), down_to, -1):
+            if size > 1 or last[0] != "^":  # the start alone is no n-gram
+                out.append((0 if size > 1 else 2, keys[size], times[size], 0))
+            if onward[size]:
+                out.append((1, keys[size], onward[size], others[size]))
+
+    def rows() -> pa.RecordBatch:
+        kind, key, n, more = zip(*out, strict=True) if out else ((),) * 4
+        key = np.array(key, dtype=np.uint64)
+        return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(_signed(key)), pa.array(n, pa.int64()), pa.array(more, pa.int64())],
+                                          names=["kind", "key", "n", "others"])
+
+    for batch in batches:
+        for ending, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            same = 0
+            for a, b in zip(last, ending):
+                if a != b:
+                    break
+                same += 1
+            close(same)
+            for size in range(same + 1, len(ending) + 1):
+                keys[size] = _longer_key(keys[size - 1], ending[size - 1])
+                times[size] = onward[size] = others[size] = 0
+                others[size - 1] += 1
+            for size in range(1, len(ending)):
+                times[size] += n
+                onward[size] += n
+            times[len(ending)] += n
+            last = ending
+        yield rows()
+        out.clear()
+    close(0)
+    yield rows()
+
+
+def corpus_counts(words: DataFrame, grams: SampleGrams) -> dict[str, tuple[np.ndarray, ...]]:
+    """"gram": keys of the sample's strings and how often each occurs in the words; "history": keys, how often a character follows, and how many different ones."""
+    spark = words.sparkSession
+    endings = _endings(words, hand_out(spark, grams.keys))  # 8 bytes for each string of the bounded sample
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = endings.repartition(n, F.substring("ending", 1, 2)).sortWithinPartitions("ending")
+    counted = dealt.mapInArrow(_trie_counts, "kind int, key long, n long, others long")
+    # a single character is counted in as many tasks as there are characters after it, all else in one
+    found = counted.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("others").alias("others")).toArrow()
+    kind, key, n, others = (found.column(i).to_numpy() for i in range(4))
+    key = key.astype(np.int64).view(np.uint64)
+    single = kind == 2
+    key, n, others = (np.concatenate(x) for x in ((key, [EMPTY]), (n, [n[single].sum()]), (others, [single.sum()])))  # all of them follow the empty history
+    history = np.concatenate((kind == 1, [True]))
+    order = np.argsort(key)
+    key, n, others, history = (x[order] for x in (key, n, others, history))
+    return {"gram": (key[~history], n[~history]), "history": (key[history], n[history], others[history])}
+
+
+def sampled_words(train: DataFrame) -> tuple[list[str], np.ndarray]:
+    """The words of rows (text, toxic, place), and how often each occurs in toxic and in ordinary texts; of so many rows, by their places, that the words'
+    characters keep to MAX_WORD_CHARS."""
+    counted = cut_lineage(_word_counts(train, "text"))
+    rows = train.agg(F.max("place")).first()[0]
+    while (counted.agg(F.sum(F.length("word"))).first()[0] or 0) > MAX_WORD_CHARS and rows:
+        rows //= 2
+        counted = cut_lineage(_word_counts(train.where(F.col("place") <= rows), "text"))
+    found = counted.orderBy("word").toArrow()
+    return found.column(0).to_pylist(), np.column_stack([found.column(i).to_numpy() for i in (1, 2)]).astype(np.int64).reshape(-1, 2)
 
 
 def fitted_tables(train: DataFrame, texts: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
-    """Tables of ``HashedDifferences`` from rows (text, toxic), which are among the texts."""
-    spark = texts.sparkSession
-    words = cut_lineage(_word_counts(train, "text"))
-    bits = spark.sparkContext.broadcast(_filter_of(words))
-    grams = cut_lineage(_class_grams(words))
-    after, histories = _differences(grams, _type_counts(corpus_words(texts), bits))
-    return _sorted_arrays(after), _sorted_arrays(histories)
+    """Tables of ``HashedDifferences`` from rows (text, toxic, place), which are among the texts."""
+    words, each = sampled_words(train)
+    if not words:
+        return (np.empty(0, dtype=np.uint64), np.empty(0)), (np.empty(0, dtype=np.uint64), np.empty(0))
+    grams = SampleGrams(words)
+    keys, low = grams.probabilities(corpus_counts(corpus_words(texts), grams))
+    parts = []
+    for a in range(0, len(words), GROUP_WORDS):
+        owner, gram, history, _ = word_grams(words[a : a + GROUP_WORDS])
+        own = each[a : a + GROUP_WORDS]
+        kinds, first, of = np.unique(gram, return_index=True, return_inverse=True)
+        parts.append((kinds, history[first], *(np.bincount(of, weights=own[owner, c], minlength=len(kinds)) for c in (0, 1))))
+    gram, history, *sums = map(np.concatenate, zip(*parts, strict=True))
+    kinds, first, of = np.unique(gram, return_index=True, return_inverse=True)
+    counts = np.column_stack([np.bincount(of, weights=x, minlength=len(kinds)) for x in sums])
+    histories, at = np.unique(history[first], return_inverse=True)
+    sums, seen = (np.column_stack([np.bincount(at, weights=x[:, c], minlength=len(histories)) for c in (0, 1)]) for x in (counts, counts > 0))
+    weight = np.where(sums > 0, DISCOUNT * seen / np.maximum(sums, 1), 1.0)
+    own = np.where(sums[at] > 0, np.maximum(counts - DISCOUNT, 0) / np.maximum(sums[at], 1), 0.0)
+    logs = np.log(own + weight[at] * _looked_up(kinds, keys, low)[:, None])
+    weight = np.log(weight)
+    return (kinds, logs[:, 0] - logs[:, 1]), (histories, weight[:, 0] - weight[:, 1])
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
@@ -463,8 +516,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     order = [F.xxhash64("id"), "id"]
     sample = [known.where(F.col("toxic") == c).orderBy(*order).limit(n) for c, n in take.items()]
     # at most max_toxic + max_ordinary ids
-    rows = [(r["id"], r["toxic"]) for part in sample for r in part.collect()]
-    train = texts.join(F.broadcast(spark.createDataFrame(rows, f"id {known.schema['id'].dataType.simpleString()}, toxic int")), "id") \
+    rows = [(r["id"], r["toxic"], i) for part in sample for i, r in enumerate(part.collect())]
+    train = texts.join(F.broadcast(spark.createDataFrame(rows, f"id {known.schema['id'].dataType.simpleString()}, toxic int, place int")), "id") \
         .withColumn("calibrate", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(CALIBRATION)) == 0)
     if len(shares) < 2:
         only = float(shares.get(1, 0) > 0)

@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tablefit.llm import simhash, suffix_dedup, suffix_sort, text_queries, toxicity
@@ -190,6 +191,22 @@ def test_repeated_rows_keep_the_first_occurrence(spark, most):
     assert sorted(got) == sorted([*want.items()] * 3)
 
 
+@pytest.mark.parametrize("one_id", [None, 7])
+@pytest.mark.parametrize("most", [suffix_dedup.BLOCK_MOST, 50_000])
+def test_thousands_of_texts_of_one_id_are_documents_of_their_own(spark, one_id, most):
+    rnd = random.Random(6)
+    passage = "".join(rnd.choice("abcdefgh ") for _ in range(150))
+    texts = [f"{i} {rnd.random()} " + (passage if i % 4 else "") + f" {rnd.random()} of {i}" for i in range(4000)] + [repeating_rows()[0][1]] * 2
+    df = spark.createDataFrame([(one_id, t) for t in texts], "doc_id long, text string").repartition(6)
+    order = df.select("text", F.xxhash64(F.lit(1), "text").alias("h"), F.xxhash64("text").bitwiseAND(F.lit((1 << suffix_dedup.TAG_BITS) - 1)).alias("g")).distinct()
+    docs = [(r["text"], r["text"].encode()) for r in order.orderBy("h", "g").collect()]
+    want = brute_repeats(docs)
+    got = suffix_dedup.remove_repeats(df, block_most=most).collect()
+    assert {r["doc_id"] for r in got} == {one_id}
+    assert sorted((r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == sorted(want[t] for t in texts)
+    assert sum(r["n_removed"] == 0 for r in got) >= 1001
+
+
 def test_repeats_query_against_brute_force(spark, sf_small):
     docs = sorted((r["doc_id"], (r["text"] or "").encode()) for r in spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text").collect())
     got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in text_queries.op10_suffix_dedup(spark, sf_small).collect()}
@@ -266,10 +283,12 @@ def test_word_difference_against_plain_backoff():
     assert model.word("c") == pytest.approx(model.histories["^"])
 
 
-def test_fitted_tables_leave_no_n_gram_out(spark, monkeypatch):
-    monkeypatch.setattr(toxicity, "FILTER_BITS", 12)  # much passes wrongly
+@pytest.mark.parametrize("order", [toxicity.ORDER, 12])
+def test_fitted_tables_leave_no_n_gram_out(spark, monkeypatch, order):
+    monkeypatch.setattr(toxicity, "ORDER", order)
+    monkeypatch.setattr(toxicity, "GROUP_WORDS", 30)
     texts = [*random_texts(40, seed=4), "once extraordinarily", "twice twice banana", ""]
-    docs = spark.createDataFrame([(t, int(i % 3 == 0)) for i, t in enumerate(texts)], "text string, toxic int").repartition(3)
+    docs = spark.createDataFrame([(t, int(i % 3 == 0), i) for i, t in enumerate(texts)], "text string, toxic int, place int").repartition(3)
     counts, types = {}, {}
     for i, t in enumerate(texts[:20] + texts[40:]):
         for g in (g for w in toxicity.words_of(t) for g in toxicity.grams_of(w)):
@@ -277,7 +296,7 @@ def test_fitted_tables_leave_no_n_gram_out(spark, monkeypatch):
             c[0 if (i if i < 20 else i + 20) % 3 == 0 else 1] += 1
     for w in {w for t in texts for w in toxicity.words_of(t)}:
         s = f"^{w}$"
-        for g in {s[i:j] for i in range(len(s)) for j in range(max(i, 1) + 1, min(i + toxicity.ORDER, len(s)) + 1)}:
+        for g in (s[i:j] for i in range(len(s)) for j in range(max(i, 1) + 1, min(i + toxicity.ORDER, len(s)) + 1)):
             types[g] = types.get(g, 0) + 1
     labelled = docs.where(docs["text"].isin(texts[:20] + texts[40:]))
     model = toxicity.HashedDifferences(*toxicity.fitted_tables(labelled, docs))
@@ -287,6 +306,15 @@ def test_fitted_tables_leave_no_n_gram_out(spark, monkeypatch):
         assert model.word(w) == pytest.approx(plain.word(w), abs=1e-9), w
 
 
+def test_a_sample_of_too_many_characters_is_halved(spark, monkeypatch):
+    rows = [(" ".join(f"word{'abcdefgh'[i]}{'xyz'[j]}" for j in range(3)), i % 2, i) for i in range(8)]
+    train = spark.createDataFrame(rows, "text string, toxic int, place int")
+    assert len(toxicity.sampled_words(train)[0]) == 24
+    monkeypatch.setattr(toxicity, "MAX_WORD_CHARS", 80)
+    words, each = toxicity.sampled_words(train)
+    assert len(words) == 12 and each.sum() == 12
+
+
 def test_toxicity_edge_rows(spark):
     docs = edge_docs(spark)
     labels = spark.createDataFrame([(i, i % 2, 1, "x") for i in range(1, 40)] + [(None, 1, 1, "x"), (5, None, 1, "x"), (5, 1, 1, "x")], "doc_id long, toxic int, score int, text string")
@@ -333,6 +361,26 @@ def test_stages_take_edge_rows(spark, sf_small, tmp_path):
             assert name == corpus_pipeline.STAGES[-1][0] or docs.columns == before.columns
 
 
+def test_stages_give_edge_rows_their_results(spark, sf_small):
+    docs, rows = edge_docs(spark), edge_texts()
+    stage = dict(corpus_pipeline.STAGES)
+
+    def ids(name, of=docs):
+        return sorted((r["doc_id"] for r in stage[name](spark, of, sf_small).collect()), key=lambda i: (i is None, i or 0))
+
+    kept = ids("quality rules")
+    assert kept and not {1, 2, 3, 4, 8, 9} & set(kept)  # null, empty, blank, one word, a word over and over, no words
+    assert kept.count(6) in (0, 2) and (5 in kept) == (6 in kept) == (20 in kept)  # repeated rows stay or go together
+    alone = ids("SimHash near-dedup")
+    assert 1 in alone and 5 in alone and not {2, 3, 6, 20, None} & set(alone)  # the smallest id of null, empty and blank texts, and of equal ones
+    assert len(alone) == len(set(alone)) + 1 and alone.count(10) == 2  # two texts of one id
+    assert len(ids("benchmark decontamination")) == len(rows)
+    masked = stage["PII"](spark, docs, sf_small).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in masked), key=repr) == sorted(rows, key=repr)  # none of them holds personal data
+    coded = stage["SentencePiece encoding and decoding"](spark, docs, sf_small).collect()
+    assert sorted(r["n_tokens"] for r in coded if r["doc_id"] in (1, 2)) == [1, 1] and len(coded) == len(rows)
+
+
 def test_run_equals_the_stages(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES:
