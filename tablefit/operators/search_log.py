@@ -4,7 +4,8 @@ Each metric is a one-row table of its own, written as soon as its fit is scored,
 change), the estimator with its parameters, the grid, the folds and the evaluator.  A search that starts again, in this session or another,
 fits only what the log has not; after a table is rewritten the key is another one, and everything is fitted anew.  Nothing is remembered in the process.
 
-The points of a fold are fitted at once, each in a scheduler pool of its own, on the persisted rows of the fold.
+The points of a fold are fitted at once, each in a scheduler pool of its own, on the persisted rows of the fold; on many rows fewer at once, for each
+fit keeps its rows in its own form.  Points of trees that differ in depth alone come from one fit.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablefit.operators.models import persisted
-from tablefit.operators.tune import _param_value, auc_evaluator, best_point, param_grid
+from tablefit.operators.tree_depths import by_depth, fitted_by_depth
+from tablefit.operators.tune import _param_value, at_once, auc_evaluator, best_point, param_grid
 from tablefit.session import checkpoint_root
 
 SCHEMA = "metric double, fold int, point int"
@@ -114,15 +116,23 @@ def search(est, grid: Mapping[str, Sequence], train: DataFrame, log: SearchLog,
         if not missing:
             continue
         seen, held = train.where(F.col(fold_col) != fold), train.where(F.col(fold_col) == fold)
-        with persisted(seen), persisted(held), ThreadPool(parallelism) as pool:
-            @inheritable_thread_target(spark)
-            def score(i: int, fold=fold, seen=seen, held=held) -> tuple[int, float]:
-                spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"point-{i}")
-                metric = evaluator.evaluate(est.fit(seen, maps[i]).transform(held))
-                log.add(fold, i, metric)
-                return i, metric
-
-            for i, metric in pool.imap_unordered(score, missing):
-                done[fold, i] = metric
-                fitted += 1
+        with persisted(seen), persisted(held):
+            threads = at_once(seen, parallelism)
+            with ThreadPool(threads) as fits, ThreadPool(threads) as scores:
+                @inheritable_thread_target(spark)
+                def fit(points: list[int], seen=seen) -> dict:
+                    spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"point-{points[0]}")
+                    return fitted_by_depth(est, maps, points, seen)
+
+                @inheritable_thread_target(spark)
+                def score(i: int, model, fold=fold, held=held) -> tuple[int, float]:
+                    spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"point-{i}")
+                    metric = evaluator.evaluate(model().transform(held))
+                    log.add(fold, i, metric)
+                    return i, metric
+
+                scored = [scores.apply_async(score, one) for found in fits.imap_unordered(fit, by_depth(est, maps, missing)) for one in found.items()]
+                for i, metric in (s.get() for s in scored):
+                    done[fold, i] = metric
+                    fitted += 1
     return Search(est, maps, [[done[f, i] for f in range(num_folds)] for i in range(len(maps))], evaluator.isLargerBetter(), train, fitted)

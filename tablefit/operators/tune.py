@@ -28,6 +28,14 @@ from tablefit.operators.models import persisted
 
 
 METRIC_DIGITS = 10
+#: Training rows, of all fits together, that the fits running at once may keep.
+ROWS_AT_ONCE = 80_000_000
+
+
+def at_once(train: DataFrame, parallelism: int) -> int:
+    """Fits to run at the same time on a persisted frame: each keeps a copy of its rows, and those of many large ones would go to disk and be read from
+    there in every step."""
+    return max(1, min(parallelism, ROWS_AT_ONCE // max(train.count(), 1)))
 
 
 def best_point(metrics: Sequence[float], larger_is_better: bool) -> int:
@@ -140,7 +148,7 @@ def cross_validate_pipeline(prep, final_stage, grid: Mapping[str, Sequence], tra
         fitted = _with_medians(prep, medians.get(fold, {})).fit(train.where(F.col(fold_col) != fold))
         seen = fitted.transform(train.where(F.col(fold_col) != fold))
         held = fitted.transform(train.where(F.col(fold_col) == fold))
-        with persisted(seen), persisted(held), ThreadPool(parallelism) as pool:
+        with persisted(seen), persisted(held), ThreadPool(at_once(seen, parallelism)) as pool:
             score = inheritable_thread_target(train.sparkSession)(
                 lambda point, seen=seen, held=held: evaluator.evaluate(final_stage.fit(seen, point).transform(held)))
             for i, m in enumerate(pool.map(score, maps)):
