@@ -18,11 +18,11 @@ from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearReg
 from pyspark.sql import functions as F
 
 from tablefit.operators import evaluate, features, models, profile, search_log, split, tune
-from tablefit.plans.feature_queries import client_features
+from tablefit.plans.feature_queries import client_features, client_spec
 from tablefit.plans.profile_queries import prepared_clients
 from tablefit.plans.registry import query
 from tablefit.session import cut_lineage
-from tablefit.sources import blocks, clients
+from tablefit.sources import blocks, clients, load, spread_rows
 from tablefit.sources.tables import table_path
 
 TRAIN_BLOCKS = "(SELECT * FROM blocks_split WHERE bucket < 80)"
@@ -253,11 +253,17 @@ def q_metric_bundle(spark, base):
 
 # ------------------------------------------------- leaderboard and tuning
 
+def _client_rows(df):
+    """What the models take of the clients, written once: statistics and features are then made from it."""
+    spec = client_spec()
+    return cut_lineage(df.select(spec.id, "split", F.col(spec.label).cast("double").alias("label"), *spec.numeric, *spec.integer_categorical))
+
+
 def client_frames(spark, base):
     df, pipe = client_features(spark, base)
+    df = _client_rows(df)
     fitted = features.fit_features(pipe, df, train=df.where(F.col("split") == "train"))
-    frame = cut_lineage(fitted.transform(df).select("id", "split", "features",
-                                                    F.col("label").cast("double").alias("label")))
+    frame = cut_lineage(fitted.transform(df).select("id", "split", "features", "label"))
     return frame.where(F.col("split") == "train"), frame.where(F.col("split") == "test")
 
 

@@ -7,7 +7,7 @@ from tablefit.sources.schema import (
     suffixed,
 )
 from tablefit.sources.standins import blocks, clients
-from tablefit.sources.tables import TABLES, load, read_table, spread, table_path, write_csv
+from tablefit.sources.tables import TABLES, load, read_table, spread, spread_rows, table_path, write_csv
 
 __all__ = [
     "TABLES",
@@ -21,6 +21,7 @@ __all__ = [
     "rename_strict",
     "schema_frame",
     "spread",
+    "spread_rows",
     "suffixed",
     "table_path",
     "write_csv",

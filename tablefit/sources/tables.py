@@ -83,3 +83,20 @@ def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFr
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, key)
+
+
+#: Rows of a table about to become wide that one task shall hold.
+ROWS_PER_PART = 500_000
+
+
+def spread_rows(df: DataFrame, rows: int, per_part: int = ROWS_PER_PART) -> DataFrame:
+    """Hash-partition ``df``, of about ``rows`` rows, into parts of about ``per_part`` rows where that makes more parts than the cluster
+    can run at once; otherwise return it unchanged.
+
+    Adaptive execution sizes the parts of a join by its narrow rows; what is computed from them later (one-hot vectors, binned copies of them in
+    tree fits) takes many times their room, and a fixed number of parts would grow with the table.
+    """
+    parts = -(-rows // per_part)
+    if parts <= df.sparkSession.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(parts, *df.columns)
