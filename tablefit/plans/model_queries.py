@@ -510,10 +510,14 @@ def q_stream_rules(spark, base):
     return spark.table(name)
 
 
+#: Rows of a part of the replayed stream, about.
+STREAM_ROWS = 200_000
+
+
 @query("stream_confusion", "M10,E6")
 def q_stream_confusion(spark, base):
     """The held-out clients, written as parquet parts to the shared folder,
-    replayed as a file stream (one part per micro-batch), scored by the fitted
+    replayed as a file stream (a quarter of the parts per micro-batch), scored by the fitted
     feature pipeline + logistic regression, and accumulated into a running
     confusion matrix (four keys of state); returns the final counts."""
     import uuid
@@ -523,14 +527,16 @@ def q_stream_confusion(spark, base):
 
     df, pipe = client_features(spark, base, handle_invalid="keep")
     df = df.withColumn("label", F.col("label").cast("double"))
-    train = df.where(F.col("split") == "train")
-    fitted = features.fit_features(pipe, df, train=train)
-    clf = models.estimator("logistic_regression").fit(cut_lineage(fitted.transform(train)))
+    train = _client_rows(df.where(F.col("split") == "train"))
+    fitted = features.fit_features(pipe, train, train=train)
+    with models.persisted(fitted.transform(train).select("features", "label")) as frame:
+        clf = models.estimator("logistic_regression").fit(frame)
 
     test = df.where(F.col("split") == "test").drop("split")
     path = scratch_path(spark, "stream-clients")
-    test.repartition(4, "id").write.parquet(path)
-    stream = read_stream(spark, path, test.schema, max_files_per_trigger=1)
+    files = max(1, load(spark, base, "orders").count() // 5 // 4 // STREAM_ROWS)  # a fifth is held out
+    test.repartition(4 * files, "id").write.parquet(path)
+    stream = read_stream(spark, path, test.schema, max_files_per_trigger=files)
     name = f"confusion_{uuid.uuid4().hex[:12]}"
     q = start_confusion(score_stream(clf, score_stream(fitted, stream)), name)
     try:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tablefit import streaming
 from tablefit.operators import tune
 from tablefit.plans import model_queries
 from tablefit.sources import load, spread_rows
@@ -32,3 +33,17 @@ def test_fewer_fits_at_once_on_many_rows(spark, monkeypatch):
     assert tune.at_once(train, 8) == 2
     monkeypatch.setattr(tune, "ROWS_AT_ONCE", 5)
     assert tune.at_once(train, 8) == 1
+
+
+def test_a_replayed_stream_has_more_parts_a_batch_on_more_rows(spark, sf_small, monkeypatch):
+    asked, read = [], streaming.read_stream
+
+    def reading(spark, path, schema, max_files_per_trigger=None):
+        asked.append((max_files_per_trigger, len(spark.read.parquet(path).inputFiles())))
+        return read(spark, path, schema, max_files_per_trigger=max_files_per_trigger)
+
+    monkeypatch.setattr(streaming, "read_stream", reading)
+    want = {tuple(r) for r in model_queries.q_stream_confusion(spark, sf_small).collect()}
+    monkeypatch.setattr(model_queries, "STREAM_ROWS", load(spark, sf_small, "orders").count() // 60)
+    got = {tuple(r) for r in model_queries.q_stream_confusion(spark, sf_small).collect()}
+    assert got == want and asked == [(1, 4), (3, 12)]
