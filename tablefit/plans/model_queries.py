@@ -456,8 +456,7 @@ def q_cv_leak_free(spark, base):
     validation fold are kept as an all-zero slot)."""
     name = "logistic_regression"
     df, pipe = client_features(spark, base, handle_invalid="keep")
-    train = split.with_folds(df.where(F.col("split") == "train"), "id", models.FOLDS[name])
-    train = cut_lineage(train.withColumn("label", F.col("label").cast("double")))
+    train = split.with_folds(_client_rows(df.where(F.col("split") == "train")), "id", models.FOLDS[name])
     cvm = tune.cross_validate_pipeline(pipe, models.estimator(name), models.GRIDS[name], train,
                                        num_folds=models.FOLDS[name], parallelism=8)
     return tune.cv_results(spark, cvm)
