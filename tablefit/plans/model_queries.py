@@ -411,16 +411,23 @@ def q_cv_score(spark, base):
 
 # ------------------------------------------------ regression comparison (A)
 
+#: Blocks in one task: their features are few, and each part of a deep forest's fit sends on the counts of all its nodes.
+BLOCKS_PER_PART = 1_000_000
+LEAST_BLOCKS = 50_000
+
+
 def _block_frames(spark, base):
     """blocks -> (train, test) modelling frames: numeric columns imputed and
     scaled, category one-hot; fitted on the training rows only."""
     from tablefit.plans.feature_queries import _block_numeric
 
     df = split.with_split(blocks(spark, base), "block_id")
-    pipe = features.feature_pipeline(numeric=_block_numeric(df), categorical=["category"])
+    numeric = _block_numeric(df)
+    df = df.select("block_id", "split", "category", F.col("total_value").alias("label"), *numeric)
+    df = cut_lineage(spread_rows(df, load(spark, base, "orders").count(), BLOCKS_PER_PART, LEAST_BLOCKS))
+    pipe = features.feature_pipeline(numeric=numeric, categorical=["category"])
     fitted = features.fit_features(pipe, df, train=df.where(F.col("split") == "train"))
-    frame = cut_lineage(fitted.transform(df).select("block_id", "split", "features",
-                                                    F.col("total_value").alias("label")))
+    frame = cut_lineage(fitted.transform(df).select("block_id", "split", "features", "label"))
     return frame.where(F.col("split") == "train"), frame.where(F.col("split") == "test")
 
 

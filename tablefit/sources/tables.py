@@ -89,14 +89,14 @@ def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFr
 ROWS_PER_PART = 500_000
 
 
-def spread_rows(df: DataFrame, rows: int, per_part: int = ROWS_PER_PART) -> DataFrame:
+def spread_rows(df: DataFrame, rows: int, per_part: int = ROWS_PER_PART, least: int | None = None) -> DataFrame:
     """Hash-partition ``df``, of about ``rows`` rows, into parts of about ``per_part`` rows where that makes more parts than the cluster
-    can run at once; otherwise return it unchanged.
+    can run at once; otherwise return it unchanged.  With ``least``, fewer rows are dealt over the cluster, too, at least that many to a part.
 
     Adaptive execution sizes the parts of a join by its narrow rows; what is computed from them later (one-hot vectors, binned copies of them in
     tree fits) takes many times their room, and a fixed number of parts would grow with the table.
     """
-    parts = -(-rows // per_part)
-    if parts <= df.sparkSession.sparkContext.defaultParallelism:
-        return df
-    return df.repartition(parts, *df.columns)
+    parts, cores = -(-rows // per_part), df.sparkSession.sparkContext.defaultParallelism
+    if parts <= cores:
+        parts = max(parts, min(cores, rows // least)) if least else 1
+    return df if parts <= 1 else df.repartition(parts, *df.columns)

@@ -20,12 +20,23 @@ def test_client_frames_have_parts_of_bounded_rows(spark, sf_small, monkeypatch):
     plain = [f.select("id", "label").orderBy("id").collect() for f in model_queries.client_frames(spark, sf_small)]
     rows = load(spark, sf_small, "orders").count()
     per_part = rows // (3 * spark.sparkContext.defaultParallelism)
-    monkeypatch.setattr(spread_rows, "__defaults__", (per_part,))
+    monkeypatch.setattr(spread_rows, "__defaults__", (per_part, None))
     train, test = model_queries.client_frames(spark, sf_small)
     assert train.rdd.getNumPartitions() == -(-rows // per_part)
     assert [f.select("id", "label").orderBy("id").collect() for f in (train, test)] == plain
 
 
+def test_block_frames_are_dealt_over_the_cluster(spark, sf_small, monkeypatch):
+    rows, cores = load(spark, sf_small, "orders").count(), spark.sparkContext.defaultParallelism
+    plain = [f.select("block_id", "label").orderBy("block_id").collect() for f in model_queries._block_frames(spark, sf_small)]
+    for per_part, least, parts in ((rows, rows // cores, cores), (rows // (2 * cores), 1, -(-rows // (rows // (2 * cores))))):
+        monkeypatch.setattr(model_queries, "BLOCKS_PER_PART", per_part)
+        monkeypatch.setattr(model_queries, "LEAST_BLOCKS", least)
+        train, test = model_queries._block_frames(spark, sf_small)
+        assert train.rdd.getNumPartitions() == parts
+        assert [f.select("block_id", "label").orderBy("block_id").collect() for f in (train, test)] == plain
+
+
 def test_fewer_fits_at_once_on_many_rows(spark, monkeypatch):
     train = spark.range(10)
     assert tune.at_once(train, 8) == 8
