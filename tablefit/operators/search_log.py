@@ -5,7 +5,8 @@ change), the estimator with its parameters, the grid, the folds and the evaluato
 fits only what the log has not; after a table is rewritten the key is another one, and everything is fitted anew.  Nothing is remembered in the process.
 
 The points of a fold are fitted at once, each in a scheduler pool of its own, on the persisted rows of the fold; on many rows fewer at once, for each
-fit keeps its rows in its own form.  Points of trees that differ in depth alone come from one fit.
+fit keeps its rows in its own form.  Points of trees and forests that differ in depth or number of trees alone come from one fit; where that leaves a
+fold with fewer fits than may run at once, several folds go together.  A search that fails ends its running fits before it raises.
 """
 
 from __future__ import annotations
@@ -14,18 +15,19 @@ import hashlib
 import json
 import os
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor, as_completed
+from contextlib import ExitStack
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
-
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablefit.operators.models import persisted
-from tablefit.operators.tree_depths import by_depth, fitted_by_depth
+from tablefit.operators.tree_depths import FOREST_LEARNERS, by_depth, fitted_by_depth
 from tablefit.operators.tune import _param_value, at_once, auc_evaluator, best_point, param_grid
 from tablefit.session import checkpoint_root
+from tablefit.sources.tables import ROWS_PER_PART
 
 SCHEMA = "metric double, fold int, point int"
 
@@ -104,6 +106,14 @@ class SearchLog:
         one.write.mode("overwrite").parquet(os.path.join(self.path, f"fold={fold}", f"point={point}"))
 
 
+def _for_fits(est, seen: DataFrame, beside: int) -> DataFrame:
+    """The rows as a forest's fit takes them, so many fits at once: every part sends on the counts of all nodes of a level, so no more parts than keep to
+    ROWS_PER_PART rows and give each fit its share of the cluster."""
+    if not isinstance(est, FOREST_LEARNERS):
+        return seen
+    return seen.coalesce(max(1, -(-seen.count() // ROWS_PER_PART), -(-seen.sparkSession.sparkContext.defaultParallelism // beside)))
+
+
 def search(est, grid: Mapping[str, Sequence], train: DataFrame, log: SearchLog, evaluator=None, fold_col: str = "fold", num_folds: int = 3,
            parallelism: int = 1) -> Search:
     """The metrics of ``CrossValidator`` with the same folds; what the log has is not fitted again (``Search.fitted`` counts what was)."""
@@ -111,28 +121,40 @@ def search(est, grid: Mapping[str, Sequence], train: DataFrame, log: SearchLog,
     maps = param_grid(est, grid)
     done = log.finished()
     spark, fitted = train.sparkSession, 0
-    for fold in range(num_folds):
-        missing = [i for i in range(len(maps)) if (fold, i) not in done]
-        if not missing:
-            continue
-        seen, held = train.where(F.col(fold_col) != fold), train.where(F.col(fold_col) == fold)
-        with persisted(seen), persisted(held):
-            threads = at_once(seen, parallelism)
-            with ThreadPool(threads) as fits, ThreadPool(threads) as scores:
-                @inheritable_thread_target(spark)
-                def fit(points: list[int], seen=seen) -> dict:
-                    spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"point-{points[0]}")
-                    return fitted_by_depth(est, maps, points, seen)
-
-                @inheritable_thread_target(spark)
-                def score(i: int, model, fold=fold, held=held) -> tuple[int, float]:
-                    spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"point-{i}")
-                    metric = evaluator.evaluate(model().transform(held))
-                    log.add(fold, i, metric)
-                    return i, metric
-
-                scored = [scores.apply_async(score, one) for found in fits.imap_unordered(fit, by_depth(est, maps, missing)) for one in found.items()]
-                for i, metric in (s.get() for s in scored):
-                    done[fold, i] = metric
+    missing = {f: [i for i in range(len(maps)) if (f, i) not in done] for f in range(num_folds)}
+    groups = {f: by_depth(est, maps, points) for f, points in missing.items() if points}
+
+    @inheritable_thread_target(spark)
+    def fit(points: list[int], seen: DataFrame) -> dict:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"point-{points[0]}")
+        return fitted_by_depth(est, maps, points, seen)
+
+    @inheritable_thread_target(spark)
+    def score(fold: int, i: int, model, held: DataFrame) -> tuple[int, int, float]:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"point-{i}")
+        metric = evaluator.evaluate(model().transform(held))
+        log.add(fold, i, metric)
+        return fold, i, metric
+
+    threads = at_once(train, parallelism) if groups else 1
+    together = max(1, threads // max(map(len, groups.values()), default=1))
+    folds = list(groups)
+    for part in (folds[a : a + together] for a in range(0, len(folds), together)):
+        with ExitStack() as kept:
+            fits, scores = (kept.enter_context(ThreadPoolExecutor(threads)) for _ in range(2))
+            beside = min(threads, sum(len(groups[f]) for f in part))
+            rows = {f: (_for_fits(est, train.where(F.col(fold_col) != f), beside), train.where(F.col(fold_col) == f)) for f in part}
+            for df in (df for both in rows.values() for df in both):
+                kept.enter_context(persisted(df))
+            try:
+                fitting = {fits.submit(fit, points, rows[f][0]): f for f in part for points in groups[f]}
+                scored = [scores.submit(score, fitting[found], i, model, rows[fitting[found]][1])
+                          for found in as_completed(fitting) for i, model in found.result().items()]
+                for f, i, metric in (s.result() for s in as_completed(scored)):
+                    done[f, i] = metric
                     fitted += 1
+            except BaseException:
+                for pool in (fits, scores):
+                    pool.shutdown(cancel_futures=True)  # waits for those that run
+                raise
     return Search(est, maps, [[done[f, i] for f in range(num_folds)] for i in range(len(maps))], evaluator.isLargerBetter(), train, fitted)

@@ -1,10 +1,14 @@
-"""Trees of several depths from one fit.
+"""Trees of several depths, and forests of several sizes, from one fit.
 
 A tree is grown level by level, and no split depends on how deep the tree may become: the tree of a smaller ``maxDepth`` is the deep one cut at
 that level, its cut nodes leaves with the statistics that they had as inner nodes, and leaves of one parent that predict the same merged, as Spark merges
 them.  So a grid over ``maxDepth`` needs one fit, of its greatest depth.  The same holds for the trees of a forest; with random subsets of features,
 each cut tree is one that the smaller depth may have drawn.  Boosted trees learn from the trees before them, and are not cut.
 
+The trees of a forest are drawn and grown independently of each other.  So the first n trees of a larger forest are a forest of n trees, one that a
+fit with ``numTrees`` = n may have drawn, and a grid over ``numTrees`` needs one fit, of the most trees.  A single tree is left out of this: Spark's
+``auto`` gives it other subsets of features than the trees of a forest.
+
 Models are cut in the form Spark saves them in, each tree by itself, and loaded again.
 """
 
@@ -30,57 +34,70 @@ from tablefit.session import scratch_path
 cloudpickle.register_pickle_by_value(tablefit.operators)
 
 LEARNERS = (DecisionTreeClassifier, DecisionTreeRegressor, RandomForestClassifier, RandomForestRegressor)
+FOREST_LEARNERS = (RandomForestClassifier, RandomForestRegressor)
 TREES = (DecisionTreeClassificationModel, DecisionTreeRegressionModel)
 FORESTS = (RandomForestClassificationModel, RandomForestRegressionModel)
 
 
 def by_depth(est, maps: Sequence[dict], points: Sequence[int]) -> list[list[int]]:
-    """The points that one fit serves, the deepest first in each list; lists of one for estimators that are not cut."""
+    """The points that one fit serves, the deepest (of these the largest forest) first in each list; lists of one for estimators that are not cut."""
     if not isinstance(est, LEARNERS):
         return [[i] for i in points]
     groups: dict[tuple, list[int]] = {}
     for i in points:
-        groups.setdefault(tuple(sorted((p.name, repr(v)) for p, v in maps[i].items() if p.name != "maxDepth")), []).append(i)
-    return [sorted(g, key=lambda i: -_depth(est, maps[i])) for g in groups.values()]
+        rest = sorted((p.name, repr(v)) for p, v in maps[i].items() if p.name not in ("maxDepth", "numTrees"))
+        groups.setdefault((_shape(est, maps[i])[1] == 1, *rest), []).append(i)
+    return [sorted(g, key=lambda i: _shape(est, maps[i]), reverse=True) for g in groups.values()]
 
 
-def _depth(est, point: dict) -> int:
-    return point.get(est.maxDepth, est.getMaxDepth())
+def _shape(est, point: dict) -> tuple[int, int]:
+    """(depth, trees) of a point."""
+    return tuple(int(point.get(p, est.getOrDefault(p))) if p else 1 for p in (est.maxDepth, getattr(est, "numTrees", None)))
 
 
 def fitted_by_depth(est, maps: Sequence[dict], points: Sequence[int], train: DataFrame) -> dict[int, Callable]:
-    """The deepest model of one list of ``by_depth``, fitted; for each point a function that gives its model."""
-    spark, deepest = train.sparkSession, est.fit(train, maps[points[0]])
-    depths = {i: _depth(est, maps[i]) for i in points} if len(points) > 1 else {}
-    most = max(depths.values(), default=None)
-    if any(d < most for d in depths.values()):
+    """The deepest and largest model of one list of ``by_depth``, fitted; for each point a function that gives its model."""
+    spark, shapes = train.sparkSession, {i: _shape(est, maps[i]) if len(points) > 1 else None for i in points}
+    most, fit = None, maps[points[0]]
+    if len(points) > 1:
+        most = tuple(map(max, zip(*shapes.values(), strict=True)))
+        fit = fit | {est.maxDepth: most[0]} | ({est.numTrees: most[1]} if isinstance(est, FOREST_LEARNERS) else {})
+    model = est.fit(train, fit)
+    if any(x != most for x in shapes.values()):
         saved = scratch_path(spark, "tree")
-        deepest.save(saved)
-    return {i: partial(cut_saved, spark, saved, type(deepest), depths[i]) if depths and depths[i] < most else lambda: deepest for i in points}
+        model.save(saved)
+    return {i: partial(cut_saved, spark, saved, type(model), *shapes[i]) if shapes[i] != most else lambda: model for i in points}
 
 
-def cut(model, depth: int):
-    """The model, a tree or a forest of trees, as it would be with ``maxDepth`` = depth."""
+def cut(model, depth: int, trees: int | None = None):
+    """The model, a tree or a forest of trees, as it would be with ``maxDepth`` = depth; of a forest the first so many trees, all by default."""
     spark = SparkSession.active()
     path = scratch_path(spark, "tree")
     model.save(path)
-    return cut_saved(spark, path, type(model), depth)
+    return cut_saved(spark, path, type(model), depth, trees)
 
 
-def cut_saved(spark, path: str, kind: type, depth: int):
+def cut_saved(spark, path: str, kind: type, depth: int, trees: int | None = None):
     if kind not in TREES + FORESTS:
         raise TypeError(f"{kind.__name__} is not cut by depth")
     to = scratch_path(spark, f"tree-{depth}")
+    about = json.loads(spark.read.text(os.path.join(path, "metadata")).head()[0])
+    about["paramMap"]["maxDepth"] = depth
     nodes = spark.read.parquet(os.path.join(path, "data"))
+    if kind in FORESTS:
+        each = spark.read.parquet(os.path.join(path, "treesMetadata"))
+        if trees is not None:
+            if not 1 <= trees <= about["numTrees"]:
+                raise ValueError(f"{trees} trees of a forest of {about['numTrees']}")
+            about["numTrees"] = about["paramMap"]["numTrees"] = trees
+            nodes, each = (x.where(F.col(i) < trees) for x, i in ((nodes, "treeID"), (each, each.columns[0])))
     flat = nodes.select("treeID", "nodeData.*") if kind in FORESTS else nodes.withColumn("treeID", F.lit(0))
     columns = [c for c in flat.columns if c != "treeID"]
     short = flat.groupBy("treeID").applyInArrow(lambda t: _cut_nodes(t, depth), flat.schema)  # a group is one tree
     short = short.select("treeID", F.struct(*columns).alias("nodeData")) if kind in FORESTS else short.select(*columns)
     short.write.parquet(os.path.join(to, "data"))
     if kind in FORESTS:
-        spark.read.parquet(os.path.join(path, "treesMetadata")).write.parquet(os.path.join(to, "treesMetadata"))
-    about = json.loads(spark.read.text(os.path.join(path, "metadata")).head()[0])
-    about["paramMap"]["maxDepth"] = depth
+        each.write.parquet(os.path.join(to, "treesMetadata"))
     spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.text(os.path.join(to, "metadata"))
     return kind.load(to)
 

@@ -311,6 +311,8 @@ def _search(spark, base, name):
     est = models.estimator(name)
     if est.hasParam("seed"):
         est = est.copy({est.getParam("seed"): 1234})
+    if est.hasParam("numTrees"):
+        est = models.with_checkpointing(est, spark)
     found = _logged(spark, base, ("orders", "customer"), est, models.GRIDS[name], split.with_folds(train, "id", folds), folds, about="client_frames")
     return found, test
 
@@ -450,7 +452,7 @@ def q_rf_regression_cv(spark, base):
     name = "random_forest_regression"
     train, test = _block_frames(spark, base)
     folds = models.FOLDS[name]
-    found = _logged(spark, base, ("orders", "customer", "lineitem"), models.estimator(name, seed=1234), models.GRIDS[name], split.with_folds(train, "block_id", folds), folds,
+    found = _logged(spark, base, ("orders", "customer", "lineitem"), models.with_checkpointing(models.estimator(name, seed=1234), spark), models.GRIDS[name], split.with_folds(train, "block_id", folds), folds,
                     RegressionEvaluator(metricName="rmse"), "block_frames")
     held_out = evaluate.regression_metrics(found.best_model().transform(test)).withColumn("model", F.lit(name))
     return found.results(spark).withColumn("model", F.when(F.col("is_best"), F.lit(name))).join(F.broadcast(held_out), "model", "left")  # one row

@@ -1,6 +1,7 @@
 """Searches that go on where they stopped."""
 
 import json
+import time
 
 import pytest
 from pyspark.ml.classification import LogisticRegression
@@ -81,3 +82,21 @@ def test_the_key_follows_estimator_grid_and_folds(spark):
         (est, GRID, 3, ""), (LogisticRegression(maxIter=7), GRID, 3, ""), (est, {"regParam": [0.0]}, 3, ""), (est, GRID, 4, ""), (est, GRID, 3, "other"))}
     assert len(keys) == 5 and search_key([("f", 1, "t")], LogisticRegression(), GRID, tune.auc_evaluator(), 3) in keys
     assert search_key([("f", 2, "t")], est, GRID, ev, 3) not in keys
+
+
+def test_a_failed_search_leaves_nothing_running(spark, monkeypatch):
+    log, late = SearchLog(spark, "failed", scratch_path(spark, "log")), []
+
+    def add(self, fold, point, metric):
+        if not late:
+            late.append("first")
+            raise Stop
+        time.sleep(1)
+        late.append("other")
+
+    monkeypatch.setattr(SearchLog, "add", add)
+    with pytest.raises(Stop):
+        search(LogisticRegression(), GRID, frame(made(spark)), log, parallelism=3)
+    seen = len(late)
+    time.sleep(3)
+    assert len(late) == seen

@@ -48,6 +48,39 @@ def test_a_search_over_depths_fits_once_a_fold(spark, frame, monkeypatch):
     assert got.means == pytest.approx(want.avgMetrics, abs=1e-12)
 
 
+def test_a_forest_cut_to_its_first_trees(frame):
+    est = RandomForestClassifier(numTrees=6, maxDepth=7, featureSubsetStrategy="sqrt", seed=5)
+    large = est.fit(frame)
+    got = tree_depths.cut(large, 7, 4)
+    assert got.getNumTrees == got.getOrDefault("numTrees") == 4
+    assert [t.toDebugString.split("\n", 1)[1] for t in got.trees] == [t.toDebugString.split("\n", 1)[1] for t in large.trees[:4]]
+    assert [t.numNodes for t in tree_depths.cut(large, 3, 2).trees] == [t.numNodes for t in tree_depths.cut(large, 3).trees][:2]
+    with pytest.raises(ValueError):
+        tree_depths.cut(large, 7, 8)
+
+
+def test_a_search_over_forest_sizes_fits_once_a_fold(spark, frame, monkeypatch):
+    fits, parts, real = [], [], RandomForestClassifier.fit
+
+    def fit(self, df, params=None):
+        fits.append((params[self.maxDepth], params[self.numTrees]))
+        parts.append(df.rdd.getNumPartitions())
+        return real(self, df, params)
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", fit)
+    grid = {"maxDepth": [2, 6], "numTrees": [1, 3, 5]}
+    est = RandomForestClassifier(bootstrap=False, featureSubsetStrategy="all", seed=5)
+    log = search_log.SearchLog(spark, "sizes", scratch_path(spark, "log"))
+    log.add(0, 5, 0.25)  # the deepest and largest point of a fold is there
+    got = search_log.search(est, grid, frame, log, parallelism=8)
+    assert sorted(fits) == sorted([(6, 1), (6, 5)] * 3) and set(parts) <= {1, 2} and got.fitted == 3 * 6 - 1
+    # a forest of equal trees: each point's metrics are those of a fit of its own
+    want = tune.cross_validate(est, {"maxDepth": [2, 6], "numTrees": [1, 3]}, frame)
+    at = [i for i, m in enumerate(got.maps) if m[est.numTrees] != 5]
+    assert [got.means[i] for i in at] == pytest.approx(want.avgMetrics, abs=1e-12)
+    assert got.metrics[5][0] == 0.25
+
+
 def test_only_independent_trees_are_cut(frame):
     est = GBTRegressor(labelCol="value", maxIter=2)
     maps = tune.param_grid(est, {"maxDepth": [2, 3]})
