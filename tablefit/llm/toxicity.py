@@ -294,38 +294,42 @@ def _word_counts(train: DataFrame, text_col: str) -> DataFrame:
 
 
 class SampleGrams:
-    """All strings of up to ORDER characters in the sample's words, by length: sorted keys, and the keys of each one's history and ending."""
+    """All strings of up to ORDER characters in the sample's words, by length: sorted keys, and the places of each one's history and ending among the
+    strings one shorter (the empty string alone, of length 0)."""
 
     def __init__(self, words: list[str]) -> None:
         parts: list[list[tuple[np.ndarray, ...]]] = [[] for _ in range(ORDER)]
         for a in range(0, len(words), GROUP_WORDS):
             own = words[a : a + GROUP_WORDS]
-            shorter = np.full(sum(map(len, own)) + 2 * len(own) + 1, EMPTY)
-            for part, (_, _, key, history, at) in zip(parts, _substrings(own), strict=True):
-                kinds, first = np.unique(key, return_index=True)
-                part.append((kinds, history[first], shorter[at[first] + 1]))
-                shorter = np.zeros_like(shorter)
-                shorter[at] = key
+            place = np.zeros(sum(map(len, own)) + 2 * len(own) + 1, dtype=np.int32)
+            for part, (_, _, key, _, at) in zip(parts, _substrings(own), strict=True):
+                kinds, first, of = np.unique(key, return_index=True, return_inverse=True)
+                part.append((kinds, place[at[first]], place[at[first] + 1]))
+                place[at] = of
         self.levels: list[tuple[np.ndarray, ...]] = []
-        for part in parts:
-            key, *rest = map(np.concatenate, zip(*part, strict=True))
-            kinds, first = np.unique(key, return_index=True)
-            self.levels.append((kinds, *(x[first] for x in rest)))
-        self.keys = np.unique(np.concatenate([level[0] for level in self.levels]))
+        places = [np.zeros(1, dtype=np.int32) for _ in parts[0]]
+        for i in range(ORDER):
+            part, parts[i] = parts[i], []  # a length's parts are let go before the next one's are joined
+            kinds, first = np.unique(np.concatenate([x[0] for x in part]), return_index=True)
+            self.levels.append((kinds, *(np.concatenate([own[x[j]] for own, x in zip(places, part, strict=True)])[first] for j in (1, 2))))
+            places = [np.searchsorted(kinds, x[0]).astype(np.int32) for x in part]
+
+    @property
+    def keys(self) -> np.ndarray:
+        """Of the strings of all lengths, sorted."""
+        return np.unique(np.concatenate([level[0] for level in self.levels]))
 
     def probabilities(self, counts: dict[str, tuple[np.ndarray, ...]]) -> tuple[np.ndarray, np.ndarray]:
         """Keys, sorted, and the lower-order model's probability of each string's last character after the others."""
-        below = (np.array([EMPTY]), np.array([FLOOR]))
-        out = [], []
+        shorter, below = np.array([EMPTY]), np.array([FLOOR])
+        out = []
         for kinds, history, ending in self.levels:
-            n = _looked_up(kinds, *counts["gram"])
-            total, others = (_looked_up(history, counts["history"][0], counts["history"][i]) for i in (1, 2))
-            some = np.maximum(total, 1)
-            p = np.maximum(n - DISCOUNT, 0) / some + np.where(total > 0, DISCOUNT * others / some, 1.0) * _looked_up(ending, *below, FLOOR)
-            below = kinds, p
-            out[0].append(kinds)
-            out[1].append(p)
-        keys, p = map(np.concatenate, out)
+            total, others = (_looked_up(shorter, counts["history"][0], counts["history"][i])[history] for i in (1, 2))
+            others = np.where(total > 0, DISCOUNT * others / np.maximum(total, 1), 1.0)
+            p = np.maximum(_looked_up(kinds, *counts["gram"]) - DISCOUNT, 0) / np.maximum(total, 1) + others * below[ending]
+            shorter, below = kinds, p
+            out.append(p)
+        keys, p = np.concatenate([level[0] for level in self.levels]), np.concatenate(out)
         order = np.argsort(keys)
         return keys[order], p[order]
 
@@ -443,20 +447,33 @@ def _trie_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def corpus_counts(words: DataFrame, grams: SampleGrams) -> dict[str, tuple[np.ndarray, ...]]:
     """"gram": keys of the sample's strings and how often each occurs in the words; "history": keys, how often a character follows, and how many different ones."""
     spark = words.sparkSession
-    endings = _endings(words, hand_out(spark, grams.keys))  # 8 bytes for each string of the bounded sample
+    sample = hand_out(spark, grams.keys)  # 8 bytes for each string of the bounded sample
+    endings = _endings(words, sample)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = endings.repartition(n, F.substring("ending", 1, 2)).sortWithinPartitions("ending")
-    counted = dealt.mapInArrow(_trie_counts, "kind int, key long, n long, others long")
+
+    def run(batches):
+        keys = in_worker(sample, lambda x: x)
+        for rows in _trie_counts(batches):
+            # an ending's last character may make a string that the sample has not, which no one asks for; single characters all count
+            kind, key = rows.column(0).to_numpy(), rows.column(1).to_numpy().view(np.uint64)
+            yield rows.filter(pa.array((kind == 2) | _held(keys, key)))
+
     # a single character is counted in as many tasks as there are characters after it, all else in one
-    found = counted.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("others").alias("others")).toArrow()
-    kind, key, n, others = (found.column(i).to_numpy() for i in range(4))
-    key = key.astype(np.int64).view(np.uint64)
-    single = kind == 2
-    key, n, others = (np.concatenate(x) for x in ((key, [EMPTY]), (n, [n[single].sum()]), (others, [single.sum()])))  # all of them follow the empty history
-    history = np.concatenate((kind == 1, [True]))
-    order = np.argsort(key)
-    key, n, others, history = (x[order] for x in (key, n, others, history))
-    return {"gram": (key[~history], n[~history]), "history": (key[history], n[history], others[history])}
+    found = dealt.mapInArrow(run, "kind int, key long, n long, others long").groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("others").alias("others")).toArrow()
+    sample.destroy()
+    kind = found.column(0).to_numpy()
+    out = {}
+    for name, rows, columns in (("gram", kind != 1, (1, 2)), ("history", kind == 1, (1, 2, 3))):
+        key, *values = (found.column(i).to_numpy()[rows] for i in columns)
+        if name == "gram":
+            single = (kind[rows] == 2).sum(), values[0][kind[rows] == 2].sum()  # all of them follow the empty history
+        else:
+            values = [np.append(x, one) for x, one in zip(values, single[::-1], strict=True)]
+        key = key.astype(np.int64).view(np.uint64) if name == "gram" else np.append(key.astype(np.int64).view(np.uint64), EMPTY)
+        order = np.argsort(key)
+        out[name] = (key[order], *(x[order] for x in values))
+    return out
 
 
 def sampled_words(train: DataFrame) -> tuple[list[str], np.ndarray]:
@@ -478,6 +495,7 @@ def fitted_tables(train: DataFrame, texts: DataFrame) -> tuple[tuple[np.ndarray,
         return (np.empty(0, dtype=np.uint64), np.empty(0)), (np.empty(0, dtype=np.uint64), np.empty(0))
     grams = SampleGrams(words)
     keys, low = grams.probabilities(corpus_counts(corpus_words(texts), grams))
+    del grams
     parts = []
     for a in range(0, len(words), GROUP_WORDS):
         owner, gram, history, _ = word_grams(words[a : a + GROUP_WORDS])

@@ -386,3 +386,26 @@ def test_run_equals_the_stages(spark, sf_small):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf_small)
     assert sorted(map(str, docs.collect())) == sorted(map(str, corpus_pipeline.run(spark, sf_small).collect()))
+
+
+def test_only_counts_of_the_samples_strings_come_to_the_driver(spark):
+    sample, corpus = ["abcab", "zug", "é"], ["abcab", "abcdefgh", "zug", "zugabe", "é", "qqqq"]
+    grams = toxicity.SampleGrams(sample)
+    counts = toxicity.corpus_counts(spark.createDataFrame([(w,) for w in corpus], "word string"), grams)
+    marked = [f"^{w}$" for w in sample]
+    wanted = {w[a:b] for w in marked for a in range(len(w)) for b in range(a + 1, min(len(w), a + toxicity.ORDER) + 1)}
+    keys = {}
+    for g in wanted | {c for w in corpus for c in w}:
+        key = int(toxicity.EMPTY)
+        for c in g:
+            key = toxicity._longer_key(key, c)
+        keys[key] = g
+    assert {keys[int(k)] for k in grams.keys} == wanted
+    # nothing but the sample's strings and single characters
+    got = {keys[int(k)]: n for k, n in zip(*counts["gram"], strict=True)}
+    assert all(n == sum(f"^{w}$".startswith(g, i) for w in corpus for i in range(len(w) + 2)) for g, n in got.items())
+    assert {g for g in wanted if g != "^"} == {g for g in got if len(g) > 1 or g in wanted}
+    for (kinds, history, ending), shorter in zip(grams.levels, [np.array([toxicity.EMPTY])] + [level[0] for level in grams.levels], strict=False):
+        for key, h, e in zip(kinds, history, ending, strict=True):
+            g = keys[int(key)]
+            assert (keys.get(int(shorter[h]), ""), keys.get(int(shorter[e]), "")) == (g[:-1], g[1:])
