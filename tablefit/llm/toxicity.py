@@ -20,10 +20,11 @@ import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,10 +52,17 @@ CALIBRATION = 4
 CACHE_WORDS = 200_000
 
 _WORD = re.compile(r"[^\W\d_]+")
+#: For the bytes of a text in UTF-8: of ASCII, all but letters become spaces.
+_SPACED = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+    """The matches of ``_WORD`` in the lower-cased text; that is matched itself only where the parts between ASCII characters are more than letters."""
+    if not text:
+        return []
+    low = text.lower()
+    parts = low.encode("utf-8", "surrogatepass").translate(_SPACED).decode("utf-8", "surrogatepass").split()
+    return parts if low.isascii() or "".join(parts).isalpha() else _WORD.findall(low)
 
 
 def grams_of(word: str) -> Iterator[str]:
@@ -145,9 +153,6 @@ class Differences:
         self.known[word] = out
         return out
 
-    def learn(self, words: set[str]) -> None:
-        """Remembers the words at once, where that is cheaper."""
-
     def features(self, text: str | None) -> tuple[float, float, float]:
         return self.of_words(words_of(text))
 
@@ -170,29 +175,119 @@ class Differences:
 
 
 class HashedDifferences(Differences):
-    """The same from sorted keys of grams and histories and their differences, in arrays."""
+    """The same from sorted keys of grams and histories and their differences, in arrays, and for many texts at once."""
+
+    def __init__(self, grams: tuple[np.ndarray, np.ndarray], histories: tuple[np.ndarray, np.ndarray]) -> None:
+        super().__init__(grams, histories)
+        self.known_grams, self.known_histories = Keys(grams[0]), Keys(histories[0])
+        self.places: dict[str, int] = {}
+        self.values = np.empty(0)
 
     def learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
+        """Remembers the words' differences, by place."""
+        new = [w for w in words if w not in self.places]
+        if len(self.places) + len(new) > CACHE_WORDS:
+            self.places.clear()
+            self.values = np.empty(0)
             new = list(words)
-        if not new:
-            return
-        owner, gram, history, _ = word_grams(new)
-        out = np.zeros(len(gram))
-        missing = np.ones(len(gram), dtype=bool)
-        for key, (keys, values) in ((gram, self.grams), (history, self.histories)):
-            if len(keys):
-                at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                hit = missing & (keys[at] == key)
-                out[hit] = values[at[hit]]
-                missing &= ~hit
-        self.known.update(zip(new, np.bincount(owner, weights=out, minlength=len(new)).tolist(), strict=True))
+        parts = [self.values]
+        for a in range(0, len(new), GROUP_WORDS):
+            own = new[a : a + GROUP_WORDS]
+            owner, gram, history = word_grams(own)
+            out = np.zeros(len(gram))
+            at = self.known_grams.find(gram)
+            out[at >= 0] = self.grams[1][at[at >= 0]]
+            missing = np.flatnonzero(at < 0)
+            at = self.known_histories.find(history[missing])
+            out[missing[at >= 0]] = self.histories[1][at[at >= 0]]
+            parts.append(np.bincount(owner, weights=out, minlength=len(own)))
+        self.places.update(zip(new, range(len(self.places), len(self.places) + len(new)), strict=True))
+        self.values = np.concatenate(parts)
 
     def word(self, word: str) -> float:
         self.learn({word})
-        return self.known[word]
+        return float(self.values[self.places[word]])
+
+    def of_texts(self, texts: list[str | None]) -> np.ndarray:
+        """``features`` of each text, a row for each, some GROUP_WORDS words at a time."""
+        out, held, n = [], [], 0
+        for t in texts:
+            held.append(words_of(t))
+            n += len(held[-1])
+            if n >= GROUP_WORDS:
+                out.append(self.of_lists(held))
+                held, n = [], 0
+        return np.concatenate([*out, self.of_lists(held)])
+
+    def of_lists(self, texts: list[list[str]]) -> np.ndarray:
+        """``of_words`` of each list, a row for each."""
+        out = np.zeros((len(texts), 3))
+        size = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+        filled = np.flatnonzero(size)
+        if not len(filled):
+            return out
+        size = size[filled]
+        words = list(chain.from_iterable(texts))
+        self.learn(set(words))
+        ids = np.fromiter(map(self.places.__getitem__, words), dtype=np.int64, count=len(words))
+        each = self.values[ids]
+        first = np.cumsum(size) - size
+        out[filled, 0] = _peaks(ids, each, first, size) / WINDOW
+        out[filled, 1] = np.add.reduceat(each, first) / size
+        out[filled, 2] = _strongest(ids, each, first, size) / STRONGEST
+        return out
+
+
+def _peaks(ids: np.ndarray, each: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The largest sum of a window of each text, a word repeated within a window counted once; the texts lie one behind the other."""
+    # so much space between them that no window reaches the next one
+    slot = np.arange(len(ids)) + np.repeat(np.arange(len(size)) * (WINDOW - 1), size)
+    spaced, once = np.full(len(ids) + len(size) * (WINDOW - 1), -1), np.zeros(len(ids) + len(size) * (WINDOW - 1))
+    spaced[slot], once[slot] = ids, each
+    for k in range(1, WINDOW):
+        once[k:][spaced[k:] == spaced[:-k]] = 0.0
+    sums = once.copy()
+    for k in range(1, WINDOW):
+        sums[:-k] += once[k:]
+    windows = sums[slot]
+    # not those that end beyond their text, unless it has no other
+    windows[np.arange(len(ids)) >= np.repeat(first + np.maximum(size - WINDOW + 1, 1), size)] = -np.inf
+    return np.maximum.reduceat(windows, first)
+
+
+def _strongest(ids: np.ndarray, each: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The sum of the STRONGEST largest values of different words of each text."""
+    left, found = each.copy(), []
+    for _ in range(STRONGEST):
+        top = np.maximum.reduceat(left, first)
+        at = np.flatnonzero(left == np.repeat(top, size))
+        text = np.searchsorted(first, at, side="right")
+        chosen = ids[at[np.concatenate(([True], text[1:] != text[:-1]))]]
+        left[ids == np.repeat(chosen, size)] = -np.inf
+        found.append(np.where(np.isinf(top), 0.0, top))
+    return sum(reversed(found))
+
+
+class Keys:
+    """Sorted 64-bit keys that are spread evenly: one is sought from the first one with the same leading bits."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.keys, self.shift = keys, np.uint64(64 - max(len(keys).bit_length(), 1))
+        starts = np.searchsorted(keys, np.arange(2 ** max(len(keys).bit_length(), 1), dtype=np.uint64) << self.shift)
+        self.starts = np.minimum(starts, max(len(keys) - 1, 0)).astype(np.int32)
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """The place of each; -1 if it is not there."""
+        if not len(self.keys):
+            return np.full(len(wanted), -1)
+        at = self.starts[wanted >> self.shift]
+        found = self.keys[at]
+        low = np.flatnonzero(found < wanted)
+        while len(low := low[at[low] < len(self.keys) - 1]):
+            at[low] += 1
+            found[low] = self.keys[at[low]]
+            low = low[found[low] < wanted[low]]
+        return np.where(found == wanted, at, -1)
 
 
 EMPTY = np.uint64(0x2545F4914F6CDD1D)
@@ -206,9 +301,16 @@ def _longer(keys: np.ndarray, symbols: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def _symbols(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64) + np.uint64(1)
+
+
+_START = _symbols("^")[0]
+
+
 def _laid_out(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Characters of all words with their start and end, and of each position its word, whether it begins that, and where that ends."""
-    symbols = np.frombuffer("".join(f"^{w}$" for w in words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64) + np.uint64(1)
+    symbols = _symbols("".join(f"^{w}$" for w in words))
     size = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 2
     until = np.cumsum(size)
     starts = np.zeros(len(symbols), dtype=bool)
@@ -216,26 +318,32 @@ def _laid_out(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return symbols, np.repeat(np.arange(len(words)), size), starts, np.repeat(until, size)
 
 
-def _substrings(words: list[str], alive=None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """By length up to ORDER: (word, whether it begins the word, key, key without the last character, position); beyond keys that ``alive`` denies, none."""
-    symbols, owner, starts, ends = _laid_out(words)
-    at, history = np.arange(len(symbols)), np.full(len(symbols), EMPTY)
+def _substrings(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """By length up to ORDER: (key, position) of each substring of each word."""
+    symbols, _, _, ends = _laid_out(words)
+    at, key = np.arange(len(symbols)), np.full(len(symbols), EMPTY)
     for size in range(1, ORDER + 1):
         keep = at + size <= ends[at]
-        if alive is not None and size > 1:
-            keep &= alive(history)
-        at, history = at[keep], history[keep]
-        key = _longer(history, symbols[at + size - 1])
-        yield owner[at], starts[at], key, history, at
-        history = key
+        at, key = at[keep], key[keep]
+        key = _longer(key, symbols[at + size - 1])
+        yield key, at
 
 
-def word_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of each n-gram of ``grams_of`` of each word: word, key, key of its history, place in the row of all words."""
-    parts = []
-    for size, (owner, first, key, history, at) in enumerate(_substrings(words), 1):
-        take = np.ones(len(at), dtype=bool) if size == ORDER else first if size > 1 else np.zeros(len(at), dtype=bool)
-        parts.append((owner[take], key[take], history[take], at[take] + size - 1))
+def word_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each n-gram of ``grams_of`` of each word: word, key, key of its history."""
+    symbols, owner, starts, ends = _laid_out(words)
+    first = np.flatnonzero(starts)
+    size = ends[first] - first
+    key, parts = np.full(len(symbols), EMPTY), []
+    for n in range(1, ORDER + 1):
+        if len(symbols) < n:
+            break
+        history, key = key[: len(symbols) - n + 1], _longer(key[: len(symbols) - n + 1], symbols[n - 1 :])
+        if n < ORDER:  # the beginnings of the words alone are shorter
+            at = first[size >= n] if n > 1 else first[:0]
+        else:
+            at = np.flatnonzero(np.arange(n, len(symbols) + 1) <= ends[: len(key)])
+        parts.append((owner[at], key[at], history[at]))
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
@@ -302,7 +410,7 @@ class SampleGrams:
         for a in range(0, len(words), GROUP_WORDS):
             own = words[a : a + GROUP_WORDS]
             place = np.zeros(sum(map(len, own)) + 2 * len(own) + 1, dtype=np.int32)
-            for part, (_, _, key, _, at) in zip(parts, _substrings(own), strict=True):
+            for part, (key, at) in zip(parts, _substrings(own), strict=True):
                 kinds, first, of = np.unique(key, return_index=True, return_inverse=True)
                 part.append((kinds, place[at[first]], place[at[first] + 1]))
                 place[at] = of
@@ -342,30 +450,27 @@ def _looked_up(wanted: np.ndarray, keys: np.ndarray, values: np.ndarray, other:
     return np.where(keys[at] == wanted, values[at], other)
 
 
-def _held(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    return _looked_up(wanted, keys, np.ones(len(keys))) > 0
-
-
 def corpus_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Every different word of the corpus once; each task passes a word on once, as far as it remembers."""
 
-    def make():
-        sent: set[str] = set()
+    bound_batches(docs.sparkSession)
 
-        def fn(texts):
-            out = []
-            for t in texts:
+    def run(batches):
+        sent: set[str] = set()
+        out: list[str] = []
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
                 new = set(words_of(t)).difference(sent)
                 if len(sent) > CACHE_WORDS:
                     sent.clear()
                 sent.update(new)
-                out.append(list(new))
-            return [pa.array(out, pa.list_(pa.string()))]
-
-        return fn
+                out += new
+                if len(out) >= GROUP_WORDS:
+                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["word"])
+                    out = []
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["word"])
 
-    found = map_text(docs, text_col, T.StructType([T.StructField("words", T.ArrayType(T.StringType()))]), make, [])
-    return found.select(F.explode("words").alias("word")).distinct()
+    return docs.select(quoted(text_col).cast("string").alias("text")).mapInArrow(run, "word string").distinct()
 
 
 def _endings(words: DataFrame, sample) -> DataFrame:
@@ -373,18 +478,30 @@ def _endings(words: DataFrame, sample) -> DataFrame:
     bound_batches(words.sparkSession)
 
     def run(batches):
-        keys = in_worker(sample, lambda x: x)
+        keys = in_worker(sample, Keys)
         for rows in _groups(batches):
             names = [r[0] for r in rows]
-            text = "".join(f"^{w}$" for w in names)
-            size = np.zeros(len(text), dtype=np.int64)
-            for n, (_, _, _, _, at) in enumerate(_substrings(names, lambda history: _held(keys, history)), 1):
-                size[at] = n
-            starts = np.arange(len(text))
-            found = Counter([text[a:b] for a, b in zip(starts.tolist(), (starts + size).tolist(), strict=True)])
-            listed, times = list(found), list(found.values())
-            for a in range(0, len(listed), BATCH):
-                yield pa.RecordBatch.from_arrays([pa.array(listed[a : a + BATCH], pa.string()), pa.array(times[a : a + BATCH], pa.int64())], names=["ending", "n"])
+            symbols, _, _, ends = _laid_out(names)
+            most = np.minimum(ends - np.arange(len(symbols)), ORDER)
+            key = np.full(len(symbols), EMPTY)
+            for n in range(1, min(ORDER, len(symbols)) + 1):
+                part = key[: len(symbols) - n + 1]
+                part[:] = np.where(most[: len(part)] >= n, _longer(part, symbols[n - 1 :]), part)
+            _, first, times = np.unique(key, return_index=True, return_counts=True)
+            # the different ones, cut where the sample knows no longer history
+            key, size, alive = np.full(len(first), EMPTY), np.zeros(len(first), dtype=np.int64), np.arange(len(first))
+            for n in range(1, ORDER + 1):
+                alive = alive[most[first[alive]] >= n]
+                if n > 1:
+                    alive = alive[keys.find(key[alive]) >= 0]
+                key[alive] = _longer(key[alive], symbols[first[alive] + n - 1])
+                size[alive] = n
+            _, at, of = np.unique(key, return_index=True, return_inverse=True)
+            times = np.bincount(of, weights=times).astype(np.int64)
+            text, starts = "".join(f"^{w}$" for w in names), first[at]
+            found = [text[a:b] for a, b in zip(starts.tolist(), (starts + size[at]).tolist(), strict=True)]
+            for a in range(0, len(found), BATCH):
+                yield pa.RecordBatch.from_arrays([pa.array(found[a : a + BATCH], pa.string()), pa.array(times[a : a + BATCH])], names=["ending", "n"])
 
     return words.mapInArrow(run, "ending string, n long")
 
@@ -400,48 +517,35 @@ def _longer_key(key: int, char: str) -> int:
     return h ^ (h >> 29)
 
 
-def _trie_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _trie_counts(batches: Iterator[pa.RecordBatch], keys: Keys) -> Iterator[pa.RecordBatch]:
     """Over sorted endings, all with one first pair of characters in one task: (kind, key, n, others) of each of their beginnings; kind 0 (2: a single
-    character): how often it occurs, kind 1: how often it goes on, and with how many characters."""
+    character): how often it occurs, kind 1: how often it goes on, and with how many characters.  Only single characters and strings with one of the keys."""
     last = ""
-    keys, times, onward, others = ([0] * (ORDER + 1) for _ in range(4))
-    keys[0] = int(EMPTY)
-    out: list[tuple[int, int, int, int]] = []
-
-    def close(down_to: int) -> None:
-        for size in range(len(last), down_to, -1):
-            if size > 1 or last[0] != "^":  # the start alone is no n-gram
-                out.append((0 if size > 1 else 2, keys[size], times[size], 0))
-            if onward[size]:
-                out.append((1, keys[size], onward[size], others[size]))
-
-    def rows() -> pa.RecordBatch:
-        kind, key, n, more = zip(*out, strict=True) if out else ((),) * 4
-        key = np.array(key, dtype=np.uint64)
-        return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(_signed(key)), pa.array(n, pa.int64()), pa.array(more, pa.int64())],
-                                          names=["kind", "key", "n", "others"])
-
-    for batch in batches:
-        for ending, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            same = 0
-            for a, b in zip(last, ending):
-                if a != b:
-                    break
-                same += 1
-            close(same)
-            for size in range(same + 1, len(ending) + 1):
-                keys[size] = _longer_key(keys[size - 1], ending[size - 1])
-                times[size] = onward[size] = others[size] = 0
-                others[size - 1] += 1
-            for size in range(1, len(ending)):
-                times[size] += n
-                onward[size] += n
-            times[len(ending)] += n
-            last = ending
-        yield rows()
-        out.clear()
-    close(0)
-    yield rows()
+    for rows in _groups(batches):
+        # the ending before these, no longer counted, tells which beginnings are not new
+        endings, n = [last, *(r[0] for r in rows)], np.array([0, *(r[1] for r in rows)], dtype=np.int64)
+        last = endings[-1]
+        symbols = _symbols("".join(endings))
+        size = np.fromiter(map(len, endings), dtype=np.int64, count=len(endings))
+        begin = np.cumsum(size) - size
+        key = np.full(len(endings), EMPTY)
+        out: list[tuple[np.ndarray, ...]] = []
+        for length in range(1, size.max() + 1):
+            at = np.flatnonzero(size >= length)
+            history, char = key[at], symbols[begin[at] + length - 1]
+            key[at] = longer = _longer(history, char)
+            own = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1] + 1) | (longer[1:] != longer[:-1]))))
+            times, new, history = np.add.reduceat(n[at], own), at[own] > 0, history[own]
+            single = length == 1
+            told = (times > 0) & (char[own] != _START if single else keys.find(longer[own]) >= 0)  # the start alone is no n-gram
+            out.append((np.full(told.sum(), 2 if single else 0), longer[own][told], times[told], np.zeros(told.sum(), dtype=np.int64)))
+            if not single:
+                same = np.flatnonzero(np.concatenate(([True], history[1:] != history[:-1])))
+                times, others, history = np.add.reduceat(times, same), np.add.reduceat(new.astype(np.int64), same), history[same]
+                told = (times > 0) & (keys.find(history) >= 0)
+                out.append((np.full(told.sum(), 1), history[told], times[told], others[told]))
+        kind, found, times, others = map(np.concatenate, zip(*out, strict=True))
+        yield pa.RecordBatch.from_arrays([pa.array(kind.astype(np.int32)), pa.array(_signed(found)), pa.array(times), pa.array(others)], names=["kind", "key", "n", "others"])
 
 
 def corpus_counts(words: DataFrame, grams: SampleGrams) -> dict[str, tuple[np.ndarray, ...]]:
@@ -453,11 +557,8 @@ def corpus_counts(words: DataFrame, grams: SampleGrams) -> dict[str, tuple[np.nd
     dealt = endings.repartition(n, F.substring("ending", 1, 2)).sortWithinPartitions("ending")
 
     def run(batches):
-        keys = in_worker(sample, lambda x: x)
-        for rows in _trie_counts(batches):
-            # an ending's last character may make a string that the sample has not, which no one asks for; single characters all count
-            kind, key = rows.column(0).to_numpy(), rows.column(1).to_numpy().view(np.uint64)
-            yield rows.filter(pa.array((kind == 2) | _held(keys, key)))
+        # an ending's last character may make a string that the sample has not, which no one asks for; single characters all count
+        return _trie_counts(batches, in_worker(sample, Keys))
 
     # a single character is counted in as many tasks as there are characters after it, all else in one
     found = dealt.mapInArrow(run, "kind int, key long, n long, others long").groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("others").alias("others")).toArrow()
@@ -498,7 +599,7 @@ def fitted_tables(train: DataFrame, texts: DataFrame) -> tuple[tuple[np.ndarray,
     del grams
     parts = []
     for a in range(0, len(words), GROUP_WORDS):
-        owner, gram, history, _ = word_grams(words[a : a + GROUP_WORDS])
+        owner, gram, history = word_grams(words[a : a + GROUP_WORDS])
         own = each[a : a + GROUP_WORDS]
         kinds, first, of = np.unique(gram, return_index=True, return_inverse=True)
         parts.append((kinds, history[first], *(np.bincount(of, weights=own[owner, c], minlength=len(kinds)) for c in (0, 1))))
@@ -548,10 +649,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         model = in_worker(shared, lambda tables: HashedDifferences(*tables))
 
         def fn(batch):
-            words = [words_of(t) for t in batch]
-            model.learn(set().union(*words))
-            found = [model.of_words(w) for w in words]
-            return [pa.array([x[i] for x in found], pa.float64()) for i in range(3)]
+            return [pa.array(x) for x in model.of_texts(batch).T]
 
         return fn
 

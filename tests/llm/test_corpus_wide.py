@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -409,3 +410,78 @@ def test_only_counts_of_the_samples_strings_come_to_the_driver(spark):
         for key, h, e in zip(kinds, history, ending, strict=True):
             g = keys[int(key)]
             assert (keys.get(int(shorter[h]), ""), keys.get(int(shorter[e]), "")) == (g[:-1], g[1:])
+
+
+def gram_key(gram):
+    key = int(toxicity.EMPTY)
+    for c in gram:
+        key = toxicity._longer_key(key, c)
+    return key
+
+
+def in_arrays(values):
+    found = sorted((gram_key(g), x) for g, x in values.items())
+    return np.array([k for k, _ in found], dtype=np.uint64), np.array([x for _, x in found])
+
+
+def test_words_between_any_characters():
+    rnd = random.Random(3)
+    some = "aZ09_ .-\n\t\0éßÀİſ漢字²½٣ⅷªº‿’—　 ́𝒜𐐀😀"
+    texts = ["".join(rnd.choice(some) for _ in range(rnd.randint(0, 30))) for _ in range(3000)] + ["".join(map(chr, range(a, a + 64))) for a in range(0, 0x3000, 64)]
+    for t in [None, "", *texts]:
+        assert toxicity.words_of(t) == toxicity._WORD.findall((t or "").lower()), t
+
+
+def test_keys_are_found_by_their_leading_bits():
+    rnd = np.random.default_rng(1)
+    top = ~np.uint64(0)
+    for held in ([], [0], [top], [5, 6, 7, 8, top], rnd.integers(0, top, 5000, dtype=np.uint64), np.append(rnd.integers(0, 300, 200, dtype=np.uint64), top)):
+        held = np.unique(np.array(held, dtype=np.uint64))
+        asked = np.concatenate((held, held + np.uint64(1), held - np.uint64(1), rnd.integers(0, top, 500, dtype=np.uint64), np.array([0, top], dtype=np.uint64)))
+        places = {int(k): i for i, k in enumerate(held)}
+        assert toxicity.Keys(held).find(asked).tolist() == [places.get(int(k), -1) for k in asked]
+
+
+@pytest.mark.parametrize("group, cache", [(50_000, 200_000), (50_000, 40), (7, 40), (1, 200_000)])
+def test_texts_scored_together_score_as_alone(monkeypatch, group, cache):
+    texts = [*random_texts(60, seed=6), "", None, "one", "one one one", "a b c d e f g", "b " * 20, "a b " * 9, "0 9 .", "é 漢字 and so on and on " * 40, "x" * 3000]
+    counts, types = {}, {}
+    for i, w in enumerate(w for t in texts[:30] for w in toxicity.words_of(t)):
+        for g in toxicity.grams_of(w):
+            counts[g] = tuple(n + (c == i % 3 > 0) for c, n in enumerate(counts.get(g, (0, 1))))
+            types |= {x: types.get(x, 0) + 1 for x in toxicity.tails_of(g)}
+    plain = toxicity.Differences(*toxicity.Differences.tables(counts, types))
+    monkeypatch.setattr(toxicity, "GROUP_WORDS", group)
+    monkeypatch.setattr(toxicity, "CACHE_WORDS", cache)
+    model, asked = toxicity.HashedDifferences(in_arrays(plain.grams), in_arrays(plain.histories)), []
+    real = model.of_lists
+    monkeypatch.setattr(model, "of_lists", lambda lists: asked.append(len(lists)) or real(lists))
+    got = model.of_texts(texts)
+    assert np.allclose(got, [plain.features(t) for t in texts], atol=1e-9) and np.abs(got).max() > 0.1
+    assert sum(asked) == len(texts) and (len(asked) == 1 if group == 50_000 else len(asked) > 50)  # not text by text
+    assert model.of_texts([None, "", "1 2"]).tolist() == [[0.0] * 3] * 3 and model.of_texts([]).shape == (0, 3)
+
+
+@pytest.mark.parametrize("group", [1, 2, 5, 1000])
+def test_endings_counted_in_groups_of_any_size(monkeypatch, group):
+    rnd = random.Random(7)
+    endings = sorted("^" * rnd.randint(0, 1) + "".join(rnd.choice("abé漢") for _ in range(rnd.randint(1, 6))) + "$" * rnd.randint(0, 1) for _ in range(300)) + ["é", "漢$"]
+    endings.sort(key=str.encode)
+    asked = {e[:n] for e in endings[::3] for n in range(1, len(e) + 1)}
+    want = {}
+    for size in range(1, 9):
+        for g in {e[:size] for e in endings if len(e) >= size}:
+            times = sum(e.startswith(g) for e in endings)
+            if g != "^" and (size == 1 or g in asked):
+                want[0 if size > 1 else 2, g] = (2 * times, 0)
+            after = [e[size] for e in endings if e.startswith(g) and len(e) > size]
+            if after and g in asked:
+                want[1, g] = (2 * len(after), len(set(after)))
+    monkeypatch.setattr(toxicity, "GROUP_WORDS", group)
+    batches = [pa.RecordBatch.from_pydict({"ending": endings[a : a + 7], "n": [2] * len(endings[a : a + 7])}) for a in range(0, len(endings), 7)]
+    names, got = {gram_key(e[:n]): e[:n] for e in endings for n in range(1, len(e) + 1)}, {}
+    for batch in toxicity._trie_counts(iter(batches), toxicity.Keys(np.unique(np.array([gram_key(g) for g in asked], dtype=np.uint64)))):
+        for r in batch.to_pylist():
+            at = r["kind"], names[r["key"] % 2**64]
+            got[at] = tuple(a + b for a, b in zip(got.get(at, (0, 0)), (r["n"], r["others"])))
+    assert got == want
