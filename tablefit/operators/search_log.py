@@ -23,6 +23,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablefit.operators.forest_fit import ForestClassifier
 from tablefit.operators.models import persisted
 from tablefit.operators.tree_depths import FOREST_LEARNERS, by_depth, fitted_by_depth
 from tablefit.operators.tune import _param_value, at_once, auc_evaluator, best_point, param_grid
@@ -30,6 +31,9 @@ from tablefit.session import checkpoint_root
 from tablefit.sources.tables import ROWS_PER_PART
 
 SCHEMA = "metric double, fold int, point int"
+#: Forests grown, and scored, at the same time where they come from more training rows than these: deep ones have hundreds of thousands of nodes, and the
+#: driver holds each while it is loaded and sent out.
+FORESTS_AT_ONCE, FOREST_ROWS = 3, 1_000_000
 
 
 def input_version(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, int, str]]:
@@ -137,6 +141,8 @@ def search(est, grid: Mapping[str, Sequence], train: DataFrame, log: SearchLog,
         return fold, i, metric
 
     threads = at_once(train, parallelism) if groups else 1
+    if groups and isinstance(est, ForestClassifier) and train.count() > FOREST_ROWS:
+        threads = min(threads, FORESTS_AT_ONCE)
     together = max(1, threads // max(map(len, groups.values()), default=1))
     folds = list(groups)
     for part in (folds[a : a + together] for a in range(0, len(folds), together)):

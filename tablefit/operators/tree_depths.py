@@ -63,10 +63,12 @@ def fitted_by_depth(est, maps: Sequence[dict], points: Sequence[int], train: Dat
         most = tuple(map(max, zip(*shapes.values(), strict=True)))
         fit = fit | {est.maxDepth: most[0]} | ({est.numTrees: most[1]} if isinstance(est, FOREST_LEARNERS) else {})
     model = est.fit(train, fit)
-    if any(x != most for x in shapes.values()):
+    kind, saved = type(model), getattr(model, "saved_at", None)
+    whole = partial(kind.load, saved) if saved else lambda: model  # what is saved is not kept on the driver
+    if not saved and any(x != most for x in shapes.values()):
         saved = scratch_path(spark, "tree")
         model.save(saved)
-    return {i: partial(cut_saved, spark, saved, type(model), *shapes[i]) if shapes[i] != most else lambda: model for i in points}
+    return {i: partial(cut_saved, spark, saved, kind, *shapes[i]) if shapes[i] != most else whole for i in points}
 
 
 def cut(model, depth: int, trees: int | None = None):

@@ -17,7 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
-from tablefit.operators import evaluate, features, models, profile, search_log, split, tune
+from tablefit.operators import evaluate, features, forest_fit, models, profile, search_log, split, tune
 from tablefit.plans.feature_queries import client_features, client_spec
 from tablefit.plans.profile_queries import prepared_clients
 from tablefit.plans.registry import query
@@ -312,7 +312,7 @@ def _search(spark, base, name):
     if est.hasParam("seed"):
         est = est.copy({est.getParam("seed"): 1234})
     if est.hasParam("numTrees"):
-        est = models.with_checkpointing(est, spark)
+        est = forest_fit.forest_classifier(models.with_checkpointing(est, spark))
     found = _logged(spark, base, ("orders", "customer"), est, models.GRIDS[name], split.with_folds(train, "id", folds), folds, about="client_frames")
     return found, test
 
